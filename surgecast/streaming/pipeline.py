@@ -1,0 +1,120 @@
+"""The streaming campaign pipeline.
+
+    messages -> decode -> clean -> watermark -> dedup -> sliding window
+             -> consents -> cells -> threshold -> decide -> foreachBatch sinks
+
+Everything up to the decision is the same DataFrame code as the batch chain;
+the stream adds the source, the trigger, the checkpoint and the sinks.
+State (dedup keys, open windows) is bounded by the watermark. The number of
+shuffle partitions is frozen into the checkpoint, so it is set before the
+first start.
+
+With ``refresh_tables`` the static tables are re-read inside every
+micro-batch (the stream stops at the window aggregate), so changed consent
+and cell tables take effect at the next batch.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from surgecast.config import CampaignConfig
+from surgecast.operators import clean as C
+from surgecast.operators import decide as D
+from surgecast.operators import enrich as E
+from surgecast.operators import windows as W
+from surgecast.operators.joins import StaticSide, as_side, measure
+from surgecast.plans.chain import campaign_plan
+from surgecast.sources import wire
+from surgecast.sources.reference_tables import read_cells, read_consents
+from surgecast.streaming.sinks import DecisionSink
+
+CLEANING_METRIC = "cleaning"
+
+
+def decoded_stream(messages: DataFrame, observe: bool = True) -> DataFrame:
+    """Decode messages; attach the cleaning metric (rows in / kept), read
+    from ``query.lastProgress['observedMetrics']``."""
+    dec = wire.decode(messages)
+    if observe:
+        dec = dec.observe(
+            CLEANING_METRIC,
+            F.count(F.lit(1)).alias("rowsIn"),
+            F.count_if(C.is_valid()).alias("rowsKept"),
+        )
+    return dec
+
+
+def decision_stream(
+    messages: DataFrame,
+    consents: DataFrame | StaticSide,
+    cells: DataFrame | StaticSide,
+    cfg: CampaignConfig | None = None,
+) -> DataFrame:
+    cfg = cfg or CampaignConfig()
+    # window bounds leave as plain epoch-ms columns: a persisted micro-batch
+    # frame cannot carry the watermarked window attribute
+    return W.flatten_window(campaign_plan(decoded_stream(messages), consents, cells, cfg).decisions)
+
+
+@dataclass
+class RefreshingSink:
+    """foreachBatch writer that joins each batch of window aggregates with
+    freshly read static tables, then decides and writes."""
+
+    consents_path: str
+    cells_path: str
+    sink: DecisionSink
+    cfg: CampaignConfig
+
+    def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
+        spark = batch_df.sparkSession
+        consents = measure(read_consents(spark, self.consents_path), "consents", self.cfg.broadcast_max_bytes)
+        cells = measure(read_cells(spark, self.cells_path), "cells", self.cfg.broadcast_max_bytes)
+        enriched = E.with_cells(E.with_consents(batch_df, consents), cells)
+
+        self.sink(D.decide(E.candidates(enriched, self.cfg), self.cfg), batch_id)
+
+
+def start_pipeline(
+    spark: SparkSession,
+    messages: DataFrame,
+    consents_path: str,
+    cells_path: str,
+    feed_path: str,
+    sent_path: str,
+    checkpoint: str,
+    cfg: CampaignConfig | None = None,
+    available_now: bool = False,
+    refresh_tables: bool = False,
+    kafka_sink: bool = False,
+    console_rows: int = 0,
+    query_name: str | None = None,
+) -> tuple[StreamingQuery, DecisionSink]:
+    """Start the streaming query; returns it with its sink (for tallies)."""
+    cfg = cfg or CampaignConfig()
+    if cfg.state_store_provider:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", cfg.state_store_provider)
+    sink = DecisionSink(feed_path, sent_path, cfg, kafka_enabled=kafka_sink, console_rows=console_rows)
+    if refresh_tables:
+        from surgecast.operators import dedup as DD
+        from surgecast.plans.chain import with_event_time
+
+        cleaned = C.clean(with_event_time(decoded_stream(messages)))
+        stream_df = W.flatten_window(W.window_aggregate(DD.dedup(DD.with_watermark(cleaned, cfg.watermark_delay)), cfg))
+        writer_fn = RefreshingSink(consents_path, cells_path, sink, cfg)
+    else:
+        # static tables read and measured once, at start (row counts logged)
+        consents = as_side(read_consents(spark, consents_path), "consents", cfg.broadcast_max_bytes)
+        cells = as_side(read_cells(spark, cells_path), "cells", cfg.broadcast_max_bytes)
+        stream_df = decision_stream(messages, consents, cells, cfg)
+        writer_fn = sink
+    writer = stream_df.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(writer_fn)
+    if query_name:
+        writer = writer.queryName(query_name)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=cfg.trigger_interval)
+    return writer.start(), sink
