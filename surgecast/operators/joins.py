@@ -99,6 +99,15 @@ def measure(df: DataFrame, name: str = "table", limit: int | None = None) -> Sta
     return side
 
 
+def bounded(df: DataFrame, name: str, rows: int, max_row_bytes: int, limit: int | None = None) -> StaticSide:
+    """A static table whose size is known by construction (e.g. built from
+    a formula over ``spark.range``): no job is needed to bound it."""
+    lim = broadcast_limit(df.sparkSession, limit)
+    side = StaticSide(df=df, name=name, rows=rows, bytes=rows * (ROW_OVERHEAD_BYTES + max_row_bytes), limit=lim)
+    log.info("[static] %s: <= %d rows, <= %d bytes (by construction)", name, side.rows, side.bytes)
+    return side
+
+
 def as_side(table: DataFrame | StaticSide, name: str, limit: int | None = None) -> StaticSide:
     return table if isinstance(table, StaticSide) else measure(table, name, limit)
 

@@ -24,11 +24,10 @@ from surgecast.operators import dedup as DD
 from surgecast.operators import reports as R
 from surgecast.operators import windows as W
 from surgecast.operators.enrich import with_cells, with_consents
-from surgecast.operators.joins import measure
 from surgecast.plans.chain import CampaignPlan, campaign_plan
 from surgecast.sources import fixtures as FX
 from surgecast.sources import wire
-from surgecast.sources.reference_tables import build_cells, build_consents
+from surgecast.sources.reference_tables import cells_side, consents_side
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,8 +51,8 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _tables(spark: SparkSession, cfg: CampaignConfig):
     return (
-        measure(build_consents(spark), "consents", cfg.broadcast_max_bytes),
-        measure(build_cells(spark), "cells", cfg.broadcast_max_bytes),
+        consents_side(spark, limit=cfg.broadcast_max_bytes),
+        cells_side(spark, limit=cfg.broadcast_max_bytes),
     )
 
 

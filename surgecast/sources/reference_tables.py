@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from surgecast import schemas
 from surgecast.functions import fixed_values as FV
+from surgecast.operators.joins import StaticSide, bounded
 
 log = logging.getLogger(__name__)
 
@@ -80,6 +81,28 @@ def build_cells(spark: SparkSession, n_cells: int = FV.CELL_COUNT) -> DataFrame:
     )
 
 
+def consents_side(
+    spark: SparkSession, n_clients: int = FV.CONSENT_CLIENTS, n_cells: int = FV.CELL_COUNT, limit: int | None = None
+) -> StaticSide:
+    """The consent table with its size bound derived from the formula."""
+    cell_id = len(f"CELL_{n_cells:03d}")
+    row = (
+        len(f"CLIENT_{n_clients:04d}")
+        + 1
+        + max(len(s) for s in FV.CONSENT_SEGMENT_CYCLE)
+        + max(FV.CELLS_PER_SEGMENT.values()) * (cell_id + 1)
+        + 4
+    )
+    return bounded(build_consents(spark, n_clients, n_cells), "consents", n_clients, row, limit)
+
+
+def cells_side(spark: SparkSession, n_cells: int = FV.CELL_COUNT, limit: int | None = None) -> StaticSide:
+    """The cell table with its size bound derived from the formula."""
+    text = max(len(c.encode()) + len(z.encode()) for c, z in FV.CELL_LOCATIONS)
+    row = len(f"CELL_{n_cells:03d}") + 1 + 4 + text
+    return bounded(build_cells(spark, n_cells), "cells", n_cells, row, limit)
+
+
 def write_table(df: DataFrame, path: str) -> None:
     """Re-runnable write: a second run replaces, never duplicates or fails."""
     df.write.mode("overwrite").parquet(path)
