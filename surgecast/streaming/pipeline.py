@@ -64,19 +64,36 @@ def decision_stream(
 @dataclass
 class RefreshingSink:
     """foreachBatch writer that joins each batch of window aggregates with
-    freshly read static tables, then decides and writes."""
+    freshly read static tables, then decides and writes.
+
+    A table is measured again only when its file listing changed (a rewrite
+    produces new files), so an unchanged large table costs a listing per
+    batch, not a scan."""
 
     consents_path: str
     cells_path: str
     sink: DecisionSink
     cfg: CampaignConfig
 
+    def __post_init__(self):
+        self._sides: dict[str, tuple[tuple, StaticSide]] = {}
+        self.measurements = 0
+
+    def _side(self, df: DataFrame, name: str) -> StaticSide:
+        files = tuple(sorted(df.inputFiles()))
+        hit = self._sides.get(name)
+        if hit is not None and hit[0] == files:
+            return StaticSide(df, name, hit[1].rows, hit[1].bytes, hit[1].limit)
+        side = measure(df, name, self.cfg.broadcast_max_bytes)
+        self.measurements += 1
+        self._sides[name] = (files, side)
+        return side
+
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
-        consents = measure(read_consents(spark, self.consents_path), "consents", self.cfg.broadcast_max_bytes)
-        cells = measure(read_cells(spark, self.cells_path), "cells", self.cfg.broadcast_max_bytes)
+        consents = self._side(read_consents(spark, self.consents_path), "consents")
+        cells = self._side(read_cells(spark, self.cells_path), "cells")
         enriched = E.with_cells(E.with_consents(batch_df, consents), cells)
-
         self.sink(D.decide(E.candidates(enriched, self.cfg), self.cfg), batch_id)
 
 
