@@ -24,7 +24,7 @@ from surgecast.plans.chain import campaign_plan
 from surgecast.session import build_session
 from surgecast.sources import wire
 from surgecast.sources.reference_tables import read_cells, read_consents, setup_tables
-from surgecast.streaming.pipeline import start_pipeline
+from surgecast.streaming.runner import start_pipeline
 from surgecast.streaming.sinks import DecisionSink
 from surgecast.streaming.sources import file_messages, kafka_messages
 

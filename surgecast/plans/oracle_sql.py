@@ -75,8 +75,8 @@ def _window_agg(name: str, size_ms: int, slide_ms: int, src: str = "dedup") -> s
          CAST(trunc(avg("signalDbm")) AS INTEGER) AS "avgSignalDbm",
          arg_max(technology, "timestamp") AS technology,
          count(*) AS "eventCount"
-  FROM (SELECT d.*, ("timestamp" // {slide_ms} - o) * {slide_ms} AS ws
-        FROM {src} d, range({n}) r(o)) x
+  FROM (SELECT *, ("timestamp" // {slide_ms} - o) * {slide_ms} AS ws
+        FROM (SELECT *, unnest(range({n})) AS o FROM {src}) e) x
   GROUP BY ws, "clientId", "cellId"
 )"""
 

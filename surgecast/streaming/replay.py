@@ -22,7 +22,7 @@ from surgecast.config import CampaignConfig
 from surgecast.session import work_path
 from surgecast.sources import fixtures as FX
 from surgecast.sources.reference_tables import build_cells, build_consents, write_table
-from surgecast.streaming.pipeline import start_pipeline
+from surgecast.streaming.runner import start_pipeline
 from surgecast.streaming.sources import file_messages
 
 log = logging.getLogger(__name__)

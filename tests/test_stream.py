@@ -11,7 +11,7 @@ from surgecast.operators import reports as R
 from surgecast.plans import catalog
 from surgecast.sources import wire
 from surgecast.sources.reference_tables import build_cells, build_consents, setup_tables, write_table
-from surgecast.streaming.pipeline import RefreshingSink, start_pipeline
+from surgecast.streaming.runner import RefreshingSink, start_pipeline
 from surgecast.streaming.replay import replay_events_stream
 from surgecast.streaming.sinks import DecisionSink, kafka_alert_records
 from surgecast.streaming.sources import file_messages
@@ -164,7 +164,7 @@ def _agg_stream(spark, inbox, out, build):
     from surgecast.operators import clean as C
     from surgecast.operators import dedup as DD
     from surgecast.plans.chain import with_event_time
-    from surgecast.streaming.pipeline import decoded_stream
+    from surgecast.streaming.runner import decoded_stream
 
     ev = DD.dedup(DD.with_watermark(C.clean(with_event_time(decoded_stream(file_messages(spark, f"{inbox}/*", 1)))), "30 seconds"))
     agg = catalog._flat(build(ev))
