@@ -8,6 +8,7 @@ tests) do we pick a fresh local folder and record it on the session.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -16,13 +17,28 @@ from pyspark.sql import SparkSession
 CHECKPOINT_DIR_KEY = "spark.checkpoint.dir"
 
 
+def _local_cores(master: str) -> int | None:
+    m = re.fullmatch(r"local\[(\d+|\*)(?:,\d+)?\]", master.strip())
+    if not m:
+        return 1 if master.strip() == "local" else None
+    return os.cpu_count() or 1 if m.group(1) == "*" else int(m.group(1))
+
+
 def build_session(
     master: str = "local[*]",
     app_name: str = "surgecast",
     shuffle_partitions: int = 8,
     extra: dict | None = None,
 ) -> SparkSession:
-    """A session tuned for this workload (used by tests, bench and CLI runs)."""
+    """A session tuned for this workload (used by tests, bench and CLI runs).
+
+    Adaptive execution stays on (skew splitting, join re-planning). Merging
+    small shuffle partitions is turned off only for a local master whose
+    partition count does not exceed its cores: there every partition already
+    has its own core, and merging them serialises the work.
+    """
+    cores = _local_cores(master)
+    coalesce = cores is None or shuffle_partitions > cores
     builder = (
         SparkSession.builder.master(master)
         .appName(app_name)
@@ -30,7 +46,7 @@ def build_session(
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        .config("spark.sql.adaptive.coalescePartitions.enabled", str(coalesce).lower())
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.streaming.noDataMicroBatches.enabled", "true")
