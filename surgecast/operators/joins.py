@@ -15,6 +15,7 @@ import logging
 import re
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -112,6 +113,21 @@ def as_side(table: DataFrame | StaticSide, name: str, limit: int | None = None)
     return table if isinstance(table, StaticSide) else measure(table, name, limit)
 
 
+def colocated(side: StaticSide, key: str, partitions: int | None = None) -> StaticSide:
+    """For a long-running stream: a static side too large to broadcast is
+    hash-partitioned on the join key once and persisted, so each micro-batch
+    shuffles only its own rows and reads the static side in place. Lost
+    blocks are recomputed from the table. Broadcastable sides are returned
+    unchanged."""
+    if side.broadcastable:
+        return side
+    spark = side.df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df = side.df.repartition(n, key).persist(StorageLevel.MEMORY_AND_DISK)
+    log.warning("[static] %s: hash-partitioned on %s into %d partitions and persisted", side.name, key, n)
+    return StaticSide(df=df, name=side.name, rows=side.rows, bytes=side.bytes, limit=side.limit)
+
+
 def semi_filter(df: DataFrame, side: StaticSide, key: str, keep: Column | None = None) -> DataFrame:
     """Keep rows of ``df`` whose ``key`` appears in ``side`` (rows passing
     ``keep``). Only when the side is broadcastable: a map-side filter that

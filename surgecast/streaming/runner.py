@@ -27,7 +27,7 @@ from surgecast.operators import clean as C
 from surgecast.operators import decide as D
 from surgecast.operators import enrich as E
 from surgecast.operators import windows as W
-from surgecast.operators.joins import StaticSide, as_side, measure
+from surgecast.operators.joins import StaticSide, as_side, colocated, measure
 from surgecast.plans.chain import campaign_plan
 from surgecast.sources import wire
 from surgecast.sources.reference_tables import read_cells, read_consents
@@ -126,8 +126,9 @@ def start_pipeline(
         writer_fn = RefreshingSink(consents_path, cells_path, sink, cfg)
     else:
         # static tables read and measured once, at start (row counts logged)
-        consents = as_side(read_consents(spark, consents_path), "consents", cfg.broadcast_max_bytes)
-        cells = as_side(read_cells(spark, cells_path), "cells", cfg.broadcast_max_bytes)
+        # too large to broadcast: partitioned on the join key once, not per batch
+        consents = colocated(as_side(read_consents(spark, consents_path), "consents", cfg.broadcast_max_bytes), "clientId")
+        cells = colocated(as_side(read_cells(spark, cells_path), "cells", cfg.broadcast_max_bytes), "cellId")
         stream_df = decision_stream(messages, consents, cells, cfg)
         writer_fn = sink
     writer = stream_df.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(writer_fn)
