@@ -11,6 +11,7 @@ from surgecast.functions import fixed_values as FV
 from surgecast.functions.columns import congestion_band
 
 ISO_INSTANT_UTC = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
+CSV_NULL = "\\N"  # null marker of the CSV feed (an empty text stays "")
 
 
 def processing_stamp() -> Column:
@@ -85,7 +86,7 @@ def read_sent(spark, path: str) -> DataFrame:
 
 
 def read_feed(spark, path: str) -> DataFrame:
-    """Read the CSV dashboard feed (header, declared schema). Texts written
-    as empty strings read back as null."""
+    """Read the CSV dashboard feed (header, declared schema). Nulls are
+    written as ``\\N``, so empty texts and nulls both read back as written."""
     feed = T.StructType(list(schemas.ALERT.fields) + [T.StructField("batch", T.LongType(), True)])
-    return spark.read.option("header", "true").schema(feed).csv(path)
+    return spark.read.option("header", "true").option("nullValue", CSV_NULL).schema(feed).csv(path)

@@ -229,9 +229,7 @@ def q_stream_alerts(spark, sf_dir):
     from surgecast.streaming.replay import replay_events_stream
 
     run = replay_events_stream(spark, sf_dir)
-    return R.read_feed(spark, run.feed_path).select(*ALERT_NO_STAMP).withColumn(
-        "smsText", F.coalesce(F.col("smsText"), F.lit(""))
-    )
+    return R.read_feed(spark, run.feed_path).select(*ALERT_NO_STAMP)
 
 
 def q_results_roundtrip(spark, sf_dir):

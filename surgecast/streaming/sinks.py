@@ -57,7 +57,9 @@ class DecisionSink:
                 return
             alerts = R.alerts(decisions, stamp=F.lit(utc_now_iso()))
             feed = alerts if self.feed_files is None else alerts.coalesce(self.feed_files)
-            feed.write.mode("overwrite").option("header", "true").csv(f"{self.feed_path}/batch={batch_id}")
+            feed.write.mode("overwrite").option("header", "true").option("nullValue", R.CSV_NULL).csv(
+                f"{self.feed_path}/batch={batch_id}"
+            )
             if sent:
                 R.sent_only(alerts).write.mode("overwrite").parquet(f"{self.sent_path}/batch={batch_id}")
                 if self.kafka_enabled:
