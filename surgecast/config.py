@@ -8,7 +8,7 @@ Every optional rule the reference only names as an exercise is off by default.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 
 @dataclass(frozen=True)
@@ -40,8 +40,6 @@ class CampaignConfig:
     alerts_topic: str = "campaign-alerts"
     state_store_provider: str | None = None  # e.g. RocksDB provider class for large key sets
 
-    extra: dict = field(default_factory=dict)
-
     def with_(self, **kw) -> "CampaignConfig":
         return replace(self, **kw)
 

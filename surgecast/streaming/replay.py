@@ -83,7 +83,7 @@ def replay_events_stream(
 ) -> ReplayRun:
     """Run the streaming pipeline to completion over ``events``."""
     cfg = cfg or CampaignConfig()
-    key = (spark.sparkContext.applicationId, sf_dir, n_files, repr(cfg), refresh_tables)
+    key = (spark.sparkContext.applicationId, sf_dir, n_files, cfg, refresh_tables)
     if reuse and key in _RUNS:
         return _RUNS[key]
     work = work_path(spark, "replay")
