@@ -114,13 +114,18 @@ def as_side(table: DataFrame | StaticSide, name: str, limit: int | None = None)
 
 
 def colocated(side: StaticSide, key: str, partitions: int | None = None) -> StaticSide:
-    """For a long-running stream: a static side too large to broadcast is
-    hash-partitioned on the join key once and persisted, so each micro-batch
-    shuffles only its own rows and reads the static side in place. Lost
-    blocks are recomputed from the table. Broadcastable sides are returned
-    unchanged."""
+    """For a long-running stream, where every micro-batch re-plans its joins:
+
+    * a broadcastable side (bounded by the check above) is persisted, so each
+      batch builds its broadcast from memory instead of re-reading the table;
+    * a side too large to broadcast is hash-partitioned on the join key once
+      and persisted, so each micro-batch shuffles only its own rows and reads
+      the static side in place.
+
+    Lost blocks are recomputed from the table."""
     if side.broadcastable:
-        return side
+        df = side.df.persist(StorageLevel.MEMORY_AND_DISK)
+        return StaticSide(df=df, name=side.name, rows=side.rows, bytes=side.bytes, limit=side.limit)
     spark = side.df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     df = side.df.repartition(n, key).persist(StorageLevel.MEMORY_AND_DISK)
