@@ -43,6 +43,43 @@ def _sf(path: str) -> str:
     return m.group(1) if m else path
 
 
+def json_decode_bench(spark, sf_dir: str, target_rows: int = 1_000_000) -> dict:
+    """Decode + clean of ~1 M JSON messages (derived from ``events``, cached
+    first), with the single-parse barrier and with the plain
+    ``select(from_json(...).alias('e')).select('e.*')`` form."""
+    from pyspark.sql import functions as F
+
+    from surgecast.operators.clean import clean
+    from surgecast.schemas import GEO_EVENT
+    from surgecast.sources import fixtures as FX
+    from surgecast.sources import wire
+
+    msgs = FX.wire_messages(FX.read_events(spark, sf_dir)).select("value")
+    n = msgs.count()
+    reps = max(1, -(-target_rows // n))
+    big = msgs.select(F.explode(F.sequence(F.lit(1), F.lit(reps))).alias("r"), "value").drop("r").cache()
+    rows = big.count()
+
+    def barrier():
+        return clean(wire.decode(big))
+
+    def naive():
+        e = big.select(F.from_json("value", GEO_EVENT).alias("e")).select("e.*")
+        return clean(e.withColumn("eventTime", F.timestamp_millis("timestamp")))
+
+    out = {}
+    for name, build in (("barrier", barrier), ("naive", naive)):
+        runs = []
+        for _ in range(RUNS):
+            t0 = time.perf_counter()
+            build().write.format("noop").mode("overwrite").save()
+            runs.append(time.perf_counter() - t0)
+        out[f"json_decode_clean_{name}_sec"] = round(statistics.median(runs), 3)
+    big.unpersist()
+    out["json_decode_rows"] = rows
+    return out
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -64,6 +101,8 @@ def main() -> None:
         qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
 
+    decode = json_decode_bench(spark, sf_dir)
+
     events = spark.read.parquet(f"{sf_dir}/events.parquet").count()
     total = round(sum(times.values()), 3)
     out = {
@@ -76,6 +115,7 @@ def main() -> None:
         "batch_chain_events_per_sec": round(events / times["alerts"], 1) if times.get("alerts") else None,
         "stream_events_per_sec": round(events / times["stream_alerts"], 1) if times.get("stream_alerts") else None,
         "cpus": cpus,
+        **decode,
     }
     print(json.dumps(out))
     spark.stop()

@@ -98,18 +98,17 @@ def replay_events_stream(
     write_table(build_consents(spark), f"{tables}/consents")
     write_table(build_cells(spark), f"{tables}/cells")
     write_inbox(spark, sf_dir, run.inbox, n_files)
-    q, sink = start_pipeline(
-        spark,
-        file_messages(spark, f"{run.inbox}/*", max_files_per_trigger=1),
-        f"{tables}/consents",
-        f"{tables}/cells",
-        run.feed_path,
-        run.sent_path,
-        run.checkpoint,
-        cfg,
-        available_now=True,
-        refresh_tables=refresh_tables,
-    )
+    # A bounded replay needs no more state partitions than cores; the count is
+    # frozen into this run's fresh checkpoint, and the session keeps its own.
+    key_parts = "spark.sql.shuffle.partitions"
+    saved = spark.conf.get(key_parts)
+    cores = spark.sparkContext.defaultParallelism
+    if int(saved) > cores:
+        spark.conf.set(key_parts, str(cores))
+    try:
+        q, sink = _start(spark, run, tables, cfg, refresh_tables)
+    finally:
+        spark.conf.set(key_parts, saved)
     try:
         if not q.awaitTermination(timeout_s):
             raise TimeoutError(f"replay stream did not finish in {timeout_s}s")
@@ -122,3 +121,18 @@ def replay_events_stream(
     run.progress = [p for p in q.recentProgress]
     _RUNS[key] = run
     return run
+
+
+def _start(spark, run, tables, cfg, refresh_tables):
+    return start_pipeline(
+        spark,
+        file_messages(spark, f"{run.inbox}/*", max_files_per_trigger=1),
+        f"{tables}/consents",
+        f"{tables}/cells",
+        run.feed_path,
+        run.sent_path,
+        run.checkpoint,
+        cfg,
+        available_now=True,
+        refresh_tables=refresh_tables,
+    )
