@@ -11,6 +11,9 @@ from __future__ import annotations
 from dataclasses import dataclass, replace
 
 
+ROCKSDB_STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 @dataclass(frozen=True)
 class CampaignConfig:
     # windowing / state
@@ -38,7 +41,7 @@ class CampaignConfig:
     kafka_bootstrap: str = "localhost:9092"
     events_topic: str = "geo-events"
     alerts_topic: str = "campaign-alerts"
-    state_store_provider: str | None = None  # e.g. RocksDB provider class for large key sets
+    state_store_provider: str | None = None  # e.g. ROCKSDB_STATE_STORE for large key sets
 
     def with_(self, **kw) -> "CampaignConfig":
         return replace(self, **kw)

@@ -114,8 +114,6 @@ def start_pipeline(
 ) -> tuple[StreamingQuery, DecisionSink]:
     """Start the streaming query; returns it with its sink (for tallies)."""
     cfg = cfg or CampaignConfig()
-    if cfg.state_store_provider:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", cfg.state_store_provider)
     sink = DecisionSink(feed_path, sent_path, cfg, kafka_enabled=kafka_sink, console_rows=console_rows)
     if refresh_tables:
         from surgecast.operators import dedup as DD
@@ -135,4 +133,17 @@ def start_pipeline(
     if query_name:
         writer = writer.queryName(query_name)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=cfg.trigger_interval)
-    return writer.start(), sink
+    if not cfg.state_store_provider:
+        return writer.start(), sink
+    # the query runs on a copy of the session taken at start: set the state
+    # store for this query only, then give the session its own value back
+    key = "spark.sql.streaming.stateStore.providerClass"
+    saved = spark.conf.get(key, None)
+    spark.conf.set(key, cfg.state_store_provider)
+    try:
+        return writer.start(), sink
+    finally:
+        if saved is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, saved)

@@ -203,3 +203,17 @@ def test_stream_with_large_static_tables(spark):
         assert plans  # data batches ran
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_stream_on_rocksdb_state_store(spark):
+    from surgecast.config import ROCKSDB_STATE_STORE
+
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    run = replay_events_stream(spark, SF_SMALL, cfg=CampaignConfig(state_store_provider=ROCKSDB_STATE_STORE), reuse=False)
+    assert spark.conf.get(key, None) == before  # the session keeps its own store
+    assert glob.glob(f"{run.checkpoint}/state/0/*/*.zip") or glob.glob(f"{run.checkpoint}/state/0/*/*.changelog") or glob.glob(
+        f"{run.checkpoint}/state/0/*/SSTs"
+    )
+    stream = R.read_feed(spark, run.feed_path).select(*catalog.ALERT_NO_STAMP)
+    assert spark_rows(stream) == spark_rows(catalog.q_alerts(spark, SF_SMALL))
