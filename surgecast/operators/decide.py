@@ -107,22 +107,15 @@ def parse_reply(text: Column) -> Column:
     return F.from_json(clean, schemas.DECISION_REPLY)
 
 
-def with_external_decisions(
-    candidates: DataFrame,
-    replies: DataFrame,
-    keys: list[str],
-    body_col: str = "reply",
-    cfg: CampaignConfig | None = None,
-) -> DataFrame:
-    """Decisions from a table of service replies, falling back to the policy
-    rules when a reply is missing or unusable. ``replies`` holds at most one
-    row per key; it is joined, never collected."""
-    parsed = replies.select(*keys, parse_reply(reply_text(F.col(body_col))).alias("_reply"))
-    joined = candidates.join(parsed, on=keys, how="left")
+def apply_replies(df: DataFrame, body_col: str = "reply", cfg: CampaignConfig | None = None) -> DataFrame:
+    """Decisions from a reply column (null when no reply arrived), falling
+    back to the policy rules when a reply is missing or unusable. The reply
+    is parsed once into a column and referenced from there."""
     rules = decision_columns(cfg)
+    parsed = df.withColumn("_reply", parse_reply(reply_text(F.col(body_col))))
     r = F.col("_reply")
     usable = F.coalesce(r["decision"].isin(FV.DECISION_SEND, FV.DECISION_SKIP), F.lit(False))
-    return joined.withColumns(
+    return parsed.withColumns(
         {
             "decisionSource": F.when(usable, F.lit("external")).otherwise(F.lit("rules")),
             "aiDecision": F.when(usable, r["decision"]).otherwise(rules["aiDecision"]),
@@ -132,6 +125,19 @@ def with_external_decisions(
     ).drop("_reply")
 
 
+def with_external_decisions(
+    candidates: DataFrame,
+    replies: DataFrame,
+    keys: list[str],
+    body_col: str = "reply",
+    cfg: CampaignConfig | None = None,
+) -> DataFrame:
+    """Join a table of service replies (at most one row per key; joined,
+    never collected) to the candidates, then ``apply_replies``."""
+    joined = candidates.join(replies.select(*keys, body_col), on=keys, how="left")
+    return apply_replies(joined, body_col, cfg).drop(body_col)
+
+
 def sms_quality(decisions: DataFrame) -> DataFrame:
     """Length of each SMS and whether it fits one message."""
     n = F.char_length(F.coalesce(F.col("smsText"), F.lit("")))

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surgecast.config import CampaignConfig
@@ -174,11 +174,11 @@ def q_signal_floor_decisions(spark, sf_dir):
     return _flat(_plan(spark, sf_dir, CampaignConfig(signal_floor_dbm=SIGNAL_FLOOR_DBM)).decisions)
 
 
-def derived_replies(candidates: DataFrame) -> DataFrame:
-    """Decision-service replies derived from the candidates (test input for
+def derived_reply() -> Column:
+    """A decision-service reply derived from a candidate row (test input for
     the external-decision operator). By (windowStart / 30 s + client number)
     mod 4: 0 -> plain JSON in an API body, 1 -> fenced JSON, 2 -> text that is
-    not JSON, 3 -> no reply. The reply's decision is SKIP on 4G, else SEND."""
+    not JSON, 3 -> no reply (null). The reply's decision is SKIP on 4G, else SEND."""
     ws = epoch_millis(F.col("window.start"))
     sel = (F.floor(ws / 30000) + F.substring("clientId", 8, 4).cast("long")) % 4
     decision = F.when(F.col("technology") == F.lit("4G"), F.lit("SKIP")).otherwise(F.lit("SEND"))
@@ -189,18 +189,26 @@ def derived_replies(candidates: DataFrame) -> DataFrame:
             F.when(decision == F.lit("SEND"), F.lit("Activa 5G prioritario")).otherwise(F.lit("")).alias("smsText"),
         )
     )
-    body = (
+    return (
         F.when(sel == 0, F.to_json(F.struct(F.array(F.struct(F.lit("text").alias("type"), reply.alias("text"))).alias("content"))))
         .when(sel == 1, F.concat(F.lit("```json\n"), reply, F.lit("\n```")))
         .when(sel == 2, F.lit("Lo siento, no puedo decidir."))
     )
-    return candidates.select("window", "clientId", "cellId", body.alias("reply")).where(F.col("reply").isNotNull())
+
+
+def derived_replies(candidates: DataFrame) -> DataFrame:
+    """The same replies as a separate table keyed by (window, client, cell)."""
+    return candidates.select("window", "clientId", "cellId", derived_reply().alias("reply")).where(
+        F.col("reply").isNotNull()
+    )
 
 
 def q_external_decisions(spark, sf_dir):
+    # replies derived from the candidate rows themselves: one lineage, so the
+    # chain runs once (a reply table of its own goes through the join form,
+    # ``with_external_decisions``, tested separately)
     p = _plan(spark, sf_dir)
-    replies = derived_replies(p.candidates)
-    out = D.with_external_decisions(p.candidates, replies, keys=["window", "clientId", "cellId"])
+    out = D.apply_replies(p.candidates.withColumn("reply", derived_reply()))
     return _flat(out).select(
         "windowStart", "windowEnd", "clientId", "cellId", "segment", "avgCongestion", "technology",
         "decisionSource", "aiDecision", "aiReasoning", "smsText",

@@ -90,3 +90,14 @@ def test_external_replies_and_fallback(spark):
     assert [out[i].decisionSource for i in range(5)] == ["external", "external", "external", "rules", "rules"]
     assert [out[i].aiDecision for i in range(5)] == ["SKIP", "SKIP", "SKIP", "SEND", "SEND"]
     assert out[1].aiReasoning == "api" and out[2].aiReasoning == "fenced"
+
+
+def test_join_form_equals_column_form(spark):
+    from surgecast.plans import catalog
+    from tests.conftest import SF_SMALL
+    from tests.helpers import spark_rows
+
+    p = catalog._plan(spark, "/root/testdata/sf0.01")
+    joined = with_external_decisions(p.candidates, catalog.derived_replies(p.candidates), keys=["window", "clientId", "cellId"])
+    cols = ["clientId", "cellId", "decisionSource", "aiDecision", "aiReasoning", "smsText"]
+    assert spark_rows(joined.select(*cols)) == spark_rows(catalog.q_external_decisions(spark, "/root/testdata/sf0.01").select(*cols))
