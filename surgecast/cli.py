@@ -104,7 +104,8 @@ def cmd_report(spark, args):
     R.alert_summary(R.read_feed(spark, _paths(args.base)["feed"])).orderBy("segment", "aiDecision").show()
 
 
-def main(argv=None):
+def main(argv=None, spark=None):
+    """Run one command; with ``spark`` given, use that session and keep it."""
     ap = argparse.ArgumentParser(prog="surgecast")
     ap.add_argument("--master", default="local[*]")
     ap.add_argument("--shuffle-partitions", type=int, default=8)
@@ -143,11 +144,14 @@ def main(argv=None):
     s.add_argument("--rows", type=int, default=20)
 
     args = ap.parse_args(argv)
-    spark = build_session(args.master, shuffle_partitions=args.shuffle_partitions)
+    own = spark is None
+    if own:
+        spark = build_session(args.master, shuffle_partitions=args.shuffle_partitions)
     {"setup": cmd_setup, "produce": cmd_produce, "stream": cmd_stream, "batch": cmd_batch, "report": cmd_report}[
         args.cmd
     ](spark, args)
-    spark.stop()
+    if own:
+        spark.stop()
 
 
 if __name__ == "__main__":
