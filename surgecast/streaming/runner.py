@@ -28,7 +28,8 @@ from surgecast.operators import decide as D
 from surgecast.operators import enrich as E
 from surgecast.operators import windows as W
 from surgecast.operators.joins import StaticSide, as_side, colocated, measure
-from surgecast.plans.chain import campaign_plan
+from surgecast.plans.chain import campaign_plan, with_event_time
+from surgecast.schemas import GEO_EVENT_FIELDS
 from surgecast.sources import wire
 from surgecast.sources.reference_tables import read_cells, read_consents
 from surgecast.streaming.sinks import DecisionSink
@@ -37,9 +38,12 @@ CLEANING_METRIC = "cleaning"
 
 
 def decoded_stream(messages: DataFrame, observe: bool = True) -> DataFrame:
-    """Decode messages; attach the cleaning metric (rows in / kept), read
-    from ``query.lastProgress['observedMetrics']``."""
-    dec = wire.decode(messages)
+    """Decode messages (a ``value`` column of JSON), or take already typed
+    events (the 8 geo fields, e.g. a Parquet stream) as they are; attach the
+    cleaning metric (rows in / kept), read from
+    ``query.lastProgress['observedMetrics']``."""
+    typed = all(f in messages.columns for f in GEO_EVENT_FIELDS)
+    dec = with_event_time(messages) if typed else wire.decode(messages)
     if observe:
         dec = dec.observe(
             CLEANING_METRIC,
@@ -117,7 +121,6 @@ def start_pipeline(
     sink = DecisionSink(feed_path, sent_path, cfg, kafka_enabled=kafka_sink, console_rows=console_rows)
     if refresh_tables:
         from surgecast.operators import dedup as DD
-        from surgecast.plans.chain import with_event_time
 
         cleaned = C.clean(with_event_time(decoded_stream(messages)))
         stream_df = W.flatten_window(W.window_aggregate(DD.dedup(DD.with_watermark(cleaned, cfg.watermark_delay)), cfg))

@@ -217,3 +217,32 @@ def test_stream_on_rocksdb_state_store(spark):
     )
     stream = R.read_feed(spark, run.feed_path).select(*catalog.ALERT_NO_STAMP)
     assert spark_rows(stream) == spark_rows(catalog.q_alerts(spark, SF_SMALL))
+
+
+def test_stream_from_typed_parquet_events(spark, scratch):
+    """A stream of typed events (Parquet) takes the same chain without JSON."""
+    from surgecast.sources import fixtures as FX
+    from surgecast.streaming.sources import table_events
+
+    ev = FX.geo_events(FX.read_events(spark, SF_SMALL))
+    for i, (a, z) in enumerate([(0, 499), (500, 999)]):
+        part = FX.geo_events(FX.read_events(spark, SF_SMALL).where(F.col("event_id").between(a, z)))
+        part.coalesce(1).write.mode("overwrite").parquet(f"{scratch}/events/p{i}")
+    sentinel = FX.sentinel_message(FX.read_events(spark, SF_SMALL)).select(
+        F.from_json("value", ev.schema).alias("e")
+    ).select("e.*")
+    sentinel.coalesce(1).write.mode("overwrite").parquet(f"{scratch}/events/p9")
+    tables = setup_tables(spark, f"{scratch}/tables")
+    q, sink = start_pipeline(
+        spark,
+        table_events(spark, f"{scratch}/events/*", max_files_per_trigger=1),
+        tables["consents"],
+        tables["cells"],
+        f"{scratch}/feed",
+        f"{scratch}/sent",
+        f"{scratch}/checkpoint",
+        available_now=True,
+    )
+    assert q.awaitTermination(300) and q.exception() is None
+    stream = R.read_feed(spark, f"{scratch}/feed").select(*catalog.ALERT_NO_STAMP)
+    assert spark_rows(stream) == spark_rows(catalog.q_alerts(spark, SF_SMALL))
