@@ -80,6 +80,12 @@ def test_stream_equals_batch_and_restart_emits_nothing(spark):
     stream = R.read_feed(spark, run.feed_path).select(*catalog.ALERT_NO_STAMP)
     batch = catalog.q_alerts(spark, SF_SMALL)
     assert spark_rows(stream) == spark_rows(batch)
+    # malformed messages are counted, not fatal: observed metrics of the
+    # stream equal the batch cleaning metric (plus the sentinel message)
+    observed = [p["observedMetrics"]["cleaning"] for p in run.progress if p.get("observedMetrics")]
+    want = catalog.q_cleaning_metric(spark, SF_SMALL).first()
+    assert sum(m["rowsIn"] for m in observed) == want["rowsIn"] + 1
+    assert sum(m["rowsKept"] for m in observed) == want["rowsKept"] + 1
     # SEND table holds SENDs only, one folder per batch with any SEND
     sent = R.read_sent(spark, run.sent_path)
     assert "batch" in sent.columns
