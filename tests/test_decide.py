@@ -94,10 +94,10 @@ def test_external_replies_and_fallback(spark):
 
 def test_join_form_equals_column_form(spark):
     from surgecast.plans import catalog
-    from tests.conftest import SF_SMALL
+    from tests.conftest import SF_MID
     from tests.helpers import spark_rows
 
-    p = catalog._plan(spark, "/root/testdata/sf0.01")
+    p = catalog._plan(spark, SF_MID)
     joined = with_external_decisions(p.candidates, catalog.derived_replies(p.candidates), keys=["window", "clientId", "cellId"])
     cols = ["clientId", "cellId", "decisionSource", "aiDecision", "aiReasoning", "smsText"]
-    assert spark_rows(joined.select(*cols)) == spark_rows(catalog.q_external_decisions(spark, "/root/testdata/sf0.01").select(*cols))
+    assert spark_rows(joined.select(*cols)) == spark_rows(catalog.q_external_decisions(spark, SF_MID).select(*cols))
