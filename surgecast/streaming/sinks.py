@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import logging
+from collections import deque
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -46,7 +47,8 @@ class DecisionSink:
     kafka_enabled: bool = False
     feed_files: int | None = None  # None keeps the batch's own parallelism
     console_rows: int = 0
-    tallies: list = field(default_factory=list)
+    # recent (batch_id, candidates, sent, skipped); bounded for long-running streams
+    tallies: deque = field(default_factory=lambda: deque(maxlen=1000))
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         decisions = batch_df.persist(StorageLevel.MEMORY_AND_DISK)

@@ -105,7 +105,7 @@ def test_stream_equals_batch_and_restart_emits_nothing(spark):
         available_now=True,
     )
     assert q.awaitTermination(300)
-    assert sink.tallies == []
+    assert len(sink.tallies) == 0
     assert sorted(glob.glob(f"{run.feed_path}/**/*.csv", recursive=True)) == files_before
 
 
