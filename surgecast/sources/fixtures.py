@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surgecast import schemas
-from surgecast.functions import fixed_values as FV
+from surgecast.sources import wire
 
 EPOCH_2024_MS = 1704067200000
 STEP_MS = 200
@@ -94,11 +94,9 @@ def wire_messages(events: DataFrame) -> DataFrame:
     Columns: key, value (JSON text), ts (epoch ms of the source event, used
     to cut the messages into time-ordered files for streaming runs).
     """
-    pe = _per_event(events)
+    pe = _per_event(events).withColumn("value", wire.event_json())
     m = F.col("m")
-    js = F.to_json(F.struct(*[F.col(f) for f in schemas.GEO_EVENT_FIELDS]), {"ignoreNullFields": "false"})
-    pe = pe.withColumn("value", js)
-    key = F.coalesce(F.col("clientId"), F.lit(FV.NULL_KEY))
+    key = wire.message_key()
     good = F.struct(key.alias("key"), F.col("value").alias("value"))
     v = F.col("value")
     bad_value = (
@@ -134,8 +132,4 @@ def sentinel_message(events: DataFrame) -> DataFrame:
         F.lit("5G").alias("technology"),
         ts.alias("timestamp"),
     )
-    return ev.select(
-        F.col("clientId").alias("key"),
-        F.to_json(F.struct(*[F.col(f) for f in schemas.GEO_EVENT_FIELDS]), {"ignoreNullFields": "false"}).alias("value"),
-        F.col("timestamp").alias("ts"),
-    )
+    return ev.select(wire.message_key().alias("key"), wire.event_json().alias("value"), F.col("timestamp").alias("ts"))

@@ -48,16 +48,16 @@ def decode(messages: DataFrame, value_col: str = "value", keep: list[str] | None
     ).withColumn("eventTime", event_time("timestamp"))
 
 
-def encode(events: DataFrame) -> DataFrame:
-    """Events -> (key, value) messages as the producer writes them.
+def event_json() -> Column:
+    """JSON text of the 8 event fields in declared order, explicit nulls."""
+    return F.to_json(F.struct(*[F.col(f) for f in schemas.GEO_EVENT_FIELDS]), {"ignoreNullFields": "false"})
 
-    key = clientId, or the fixed null key; value = JSON of the 8 fields in
-    declared order, with explicit nulls.
-    """
-    return events.select(
-        F.coalesce(F.col("clientId"), F.lit(FV.NULL_KEY)).alias("key"),
-        F.to_json(
-            F.struct(*[F.col(f) for f in schemas.GEO_EVENT_FIELDS]),
-            {"ignoreNullFields": "false"},
-        ).alias("value"),
-    )
+
+def message_key() -> Column:
+    """Message key: the client id, or the fixed null key."""
+    return F.coalesce(F.col("clientId"), F.lit(FV.NULL_KEY))
+
+
+def encode(events: DataFrame) -> DataFrame:
+    """Events -> (key, value) messages as the producer writes them."""
+    return events.select(message_key().alias("key"), event_json().alias("value"))
