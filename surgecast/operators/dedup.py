@@ -1,16 +1,25 @@
 """Watermark and de-duplication.
 
 Duplicates are events with the same (clientId, cellId, eventTime), eventTime
-at millisecond precision. In a stream the key includes the event-time
-column, so the de-duplication state expires with the watermark. In a batch
-plan the same call becomes a two-phase hash aggregate: copies collapse
-map-side before the shuffle, so even one key holding a large share of all
-rows sends a single row per task.
+at millisecond precision; one of them is kept, whole.
+
+``dedup`` is written as a grouped aggregation keeping the first value of
+every other column. In a batch plan this is exactly what ``dropDuplicates``
+compiles to. In a stream it differs in one useful way: a streaming
+aggregation combines partially before its shuffle, so all copies of a key in
+one input task collapse to one row there, while Spark's streaming
+de-duplication operator ships every copy to the key's task. Even a group of
+copies holding a large share of a micro-batch then costs one row per task.
+Because event time is a grouping key, state is evicted (and the row passed
+on) once the watermark passes it; windows downstream close on the same
+watermark, so alerts are not delayed. ``combine=False`` uses
+``dropDuplicates`` instead.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 DEDUP_KEYS = ["clientId", "cellId", "eventTime"]
 
@@ -21,5 +30,9 @@ def with_watermark(events: DataFrame, delay: str = "30 seconds", time_col: str =
     return events.withWatermark(time_col, delay)
 
 
-def dedup(events: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    return events.dropDuplicates(keys or DEDUP_KEYS)
+def dedup(events: DataFrame, keys: list[str] | None = None, combine: bool = True) -> DataFrame:
+    keys = keys or DEDUP_KEYS
+    if not combine:
+        return events.dropDuplicates(keys)
+    others = [c for c in events.columns if c not in keys]
+    return events.groupBy(*keys).agg(*[F.first(c).alias(c) for c in others]).select(*events.columns)

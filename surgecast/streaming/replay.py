@@ -12,6 +12,8 @@ Everything lives under the session's shared checkpoint folder.
 
 from __future__ import annotations
 
+import contextlib
+import io
 import logging
 from dataclasses import dataclass, field
 
@@ -39,6 +41,7 @@ class ReplayRun:
     checkpoint: str
     tallies: list = field(default_factory=list)
     progress: list = field(default_factory=list)
+    plan: str = ""
 
 
 MAX_EVENTS_PER_FILE = 25_000
@@ -119,6 +122,10 @@ def replay_events_stream(
             q.stop()
     run.tallies = list(sink.tallies)
     run.progress = [p for p in q.recentProgress]
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        q.explain()  # physical plan of the last micro-batch
+    run.plan = out.getvalue()
     _RUNS[key] = run
     return run
 

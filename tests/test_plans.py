@@ -62,3 +62,23 @@ def test_prefilter_does_not_change_candidates(spark):
     a = campaign_plan(ev, consents_side(spark), cells_side(spark), prefilter=True).decisions
     b = campaign_plan(ev, consents_side(spark), cells_side(spark), prefilter=False).decisions
     assert spark_rows(catalog._flat(a)) == spark_rows(catalog._flat(b))
+
+
+def test_stream_dedup_combines_copies_before_its_shuffle(spark):
+    from surgecast.streaming.replay import replay_events_stream
+
+    run = replay_events_stream(spark, SF_SMALL, reuse=False)
+    plan = run.plan
+    assert "StreamingDeduplicate" not in plan
+    assert plan.count("StateStoreSave") == 2  # dedup aggregation, window aggregation
+    dedup_exchange = next(line for line in plan.splitlines() if "Exchange hashpartitioning(clientId" in line)
+    below = plan[plan.index(dedup_exchange) :]
+    assert "partial_first" in below.split("Exchange", 2)[1]  # map-side combine under that exchange
+
+
+def test_dedup_forms_agree(spark):
+    from surgecast.operators import clean as C
+    from surgecast.operators import dedup as DD
+
+    ev = C.clean(catalog._events(spark, SF_SMALL))
+    assert spark_rows(DD.dedup(ev)) == spark_rows(DD.dedup(ev, combine=False))
