@@ -24,14 +24,33 @@ def window_aggregate(events: DataFrame, cfg: CampaignConfig | None = None) -> Da
 
     ``technology`` is the value of the latest event of the window (max_by over
     event time): deterministic, unlike ``last`` after a shuffle.
+
+    Expects cleaned events (congestion and signal present), as the chain
+    produces them.
     """
     cfg = cfg or CampaignConfig()
     w = F.window("eventTime", cfg.window_duration, cfg.slide_duration)
-    return events.groupBy(w.alias("window"), F.col("clientId"), F.col("cellId")).agg(
-        truncated_int(F.avg("congestion")).alias("avgCongestion"),
-        truncated_int(F.avg("signalDbm")).alias("avgSignalDbm"),
-        F.max_by("technology", "eventTime").alias("technology"),
-        F.count(F.lit(1)).alias("eventCount"),
+    # Averages as integer sums over one shared count: cleaned rows have both
+    # values, so this equals avg() exactly, and the partial aggregates that
+    # cross the shuffle carry three longs instead of two (sum, count) pairs.
+    n = F.count(F.lit(1))
+    return (
+        events.groupBy(w.alias("window"), F.col("clientId"), F.col("cellId"))
+        .agg(
+            F.sum(F.col("congestion").cast("long")).alias("_sc"),
+            F.sum(F.col("signalDbm").cast("long")).alias("_ss"),
+            F.max_by("technology", "eventTime").alias("technology"),
+            n.alias("eventCount"),
+        )
+        .select(
+            "window",
+            "clientId",
+            "cellId",
+            truncated_int(F.col("_sc") / F.col("eventCount")).alias("avgCongestion"),
+            truncated_int(F.col("_ss") / F.col("eventCount")).alias("avgSignalDbm"),
+            "technology",
+            "eventCount",
+        )
     )
 
 
