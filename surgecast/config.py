@@ -20,6 +20,9 @@ class CampaignConfig:
     window_duration: str = "2 minutes"
     slide_duration: str = "30 seconds"  # equal to window_duration -> tumbling
     watermark_delay: str = "30 seconds"
+    # batch plans: aggregate windows where they start, behind one shuffle on
+    # (client, cell, time bucket) instead of a shuffle of partial aggregates
+    colocate_windows: bool = True
 
     # optional rules (all off by default, as in the reference's main program)
     min_events: int | None = None  # eventCount >= n in the window

@@ -82,3 +82,25 @@ def test_dedup_forms_agree(spark):
 
     ev = C.clean(catalog._events(spark, SF_SMALL))
     assert spark_rows(DD.dedup(ev)) == spark_rows(DD.dedup(ev, combine=False))
+
+
+def test_colocated_windows_equal_standard_windows(spark):
+    from surgecast.operators import windows as W
+    from tests.conftest import SF_MID
+
+    d = catalog._deduped(spark, SF_MID)
+    for cfg in (CampaignConfig(), CampaignConfig(slide_duration="2 minutes"), CampaignConfig(window_duration="90 seconds")):
+        a = W.window_aggregate(d, cfg)
+        b = W.window_aggregate(d, cfg.with_(colocate_windows=False))
+        assert spark_rows(catalog._flat(a)) == spark_rows(catalog._flat(b)), cfg
+
+
+def test_colocated_windows_one_exchange_no_partial_shuffle(spark):
+    text = _plan_text(catalog.q_window_agg(spark, SF_SMALL))
+    exchanges = [l for l in text.splitlines() if "Exchange" in l and "Broadcast" not in l]
+    # initial adaptive plan: dedup shuffle + the (client, cell, bucket) routing
+    assert len(exchanges) == 2, exchanges
+    assert any("REPARTITION_BY_COL" in l and "_bucket" in l for l in exchanges)
+    routing = next(l for l in text.splitlines() if "REPARTITION_BY_COL" in l)
+    above = text[: text.index(routing)]
+    assert "partial_sum" in above and "Exchange" not in above  # windows finish in-task
