@@ -72,11 +72,13 @@ def colocated_window_aggregate(events: DataFrame, size_ms: int, slide_ms: int) -
     """Batch windows aggregated where they start (see module notes)."""
     n = size_ms // slide_ms
     ts = epoch_millis("eventTime")
-    last_start = F.floor(ts / F.lit(slide_ms)) * F.lit(slide_ms)
+    # integer arithmetic throughout (pmod is non-negative, also before 1970)
+    last_start = ts - F.pmod(ts, F.lit(slide_ms))
     starts = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda k: last_start - k * F.lit(slide_ms))
 
     def bucket(start: Column) -> Column:
-        return F.floor(start / F.lit(size_ms))
+        """The bucket's own start (ms) identifies it."""
+        return start - F.pmod(start, F.lit(size_ms))
 
     routed = events.select(
         "clientId",
