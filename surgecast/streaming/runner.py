@@ -25,6 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from surgecast.config import CampaignConfig
 from surgecast.operators import clean as C
 from surgecast.operators import decide as D
+from surgecast.operators import dedup as DD
 from surgecast.operators import enrich as E
 from surgecast.operators import windows as W
 from surgecast.operators.joins import StaticSide, as_side, colocated, measure
@@ -120,14 +121,12 @@ def start_pipeline(
     cfg = cfg or CampaignConfig()
     sink = DecisionSink(feed_path, sent_path, cfg, kafka_enabled=kafka_sink, console_rows=console_rows)
     if refresh_tables:
-        from surgecast.operators import dedup as DD
-
         cleaned = C.clean(with_event_time(decoded_stream(messages)))
         stream_df = W.flatten_window(W.window_aggregate(DD.dedup(DD.with_watermark(cleaned, cfg.watermark_delay)), cfg))
         writer_fn = RefreshingSink(consents_path, cells_path, sink, cfg)
     else:
-        # static tables read and measured once, at start (row counts logged)
-        # too large to broadcast: partitioned on the join key once, not per batch
+        # static tables: read and measured once at start (row counts logged),
+        # persisted, and partitioned on the join key when too large to broadcast
         consents = colocated(as_side(read_consents(spark, consents_path), "consents", cfg.broadcast_max_bytes), "clientId")
         cells = colocated(as_side(read_cells(spark, cells_path), "cells", cfg.broadcast_max_bytes), "cellId")
         stream_df = decision_stream(messages, consents, cells, cfg)
