@@ -23,6 +23,9 @@ class CampaignConfig:
     # batch plans: aggregate windows where they start, behind one shuffle on
     # (client, cell, time bucket) instead of a shuffle of partial aggregates
     colocate_windows: bool = True
+    # de-duplicate as a grouped aggregation (copies combine before the
+    # shuffle, also in streams); False uses Spark's dropDuplicates operator
+    combine_copies: bool = True
 
     # optional rules (all off by default, as in the reference's main program)
     min_events: int | None = None  # eventCount >= n in the window

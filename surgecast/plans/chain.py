@@ -69,7 +69,7 @@ def campaign_plan(
     watermarked = DD.with_watermark(cleaned, cfg.watermark_delay)
     if prefilter:
         watermarked = E.eligible_events(watermarked, consents_side, cells_side)
-    deduped = DD.dedup(watermarked)
+    deduped = DD.dedup(watermarked, combine=cfg.combine_copies)
     aggregated = W.window_aggregate(deduped, cfg)
     wc = E.with_consents(aggregated, consents_side)
     wcell = E.with_cells(wc, cells_side)

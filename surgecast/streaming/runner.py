@@ -122,7 +122,8 @@ def start_pipeline(
     sink = DecisionSink(feed_path, sent_path, cfg, kafka_enabled=kafka_sink, console_rows=console_rows)
     if refresh_tables:
         cleaned = C.clean(with_event_time(decoded_stream(messages)))
-        stream_df = W.flatten_window(W.window_aggregate(DD.dedup(DD.with_watermark(cleaned, cfg.watermark_delay)), cfg))
+        deduped = DD.dedup(DD.with_watermark(cleaned, cfg.watermark_delay), combine=cfg.combine_copies)
+        stream_df = W.flatten_window(W.window_aggregate(deduped, cfg))
         writer_fn = RefreshingSink(consents_path, cells_path, sink, cfg)
     else:
         # static tables: read and measured once at start (row counts logged),

@@ -252,3 +252,11 @@ def test_stream_from_typed_parquet_events(spark, scratch):
     assert q.awaitTermination(300) and q.exception() is None
     stream = R.read_feed(spark, f"{scratch}/feed").select(*catalog.ALERT_NO_STAMP)
     assert spark_rows(stream) == spark_rows(catalog.q_alerts(spark, SF_SMALL))
+
+
+def test_stream_with_spark_dedup_operator(spark):
+    cfg = CampaignConfig(combine_copies=False)
+    run = replay_events_stream(spark, SF_SMALL, cfg=cfg, reuse=False)
+    assert "StreamingDeduplicate" in run.plan
+    stream = R.read_feed(spark, run.feed_path).select(*catalog.ALERT_NO_STAMP)
+    assert spark_rows(stream) == spark_rows(catalog.q_alerts(spark, SF_SMALL))
