@@ -45,7 +45,7 @@ ALERT_NO_STAMP = [
 
 
 # ----------------------------------------------------------------- building blocks
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def events_for(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FX.geo_events(FX.read_events(spark, sf_dir)).withColumn("eventTime", event_time("timestamp"))
 
 
@@ -56,18 +56,18 @@ def _tables(spark: SparkSession, cfg: CampaignConfig):
     )
 
 
-def _plan(spark: SparkSession, sf_dir: str, cfg: CampaignConfig | None = None) -> CampaignPlan:
+def plan_for(spark: SparkSession, sf_dir: str, cfg: CampaignConfig | None = None) -> CampaignPlan:
     cfg = cfg or CampaignConfig()
     consents, cells = _tables(spark, cfg)
-    return campaign_plan(_events(spark, sf_dir), consents, cells, cfg)
+    return campaign_plan(events_for(spark, sf_dir), consents, cells, cfg)
 
 
-def _flat(df: DataFrame) -> DataFrame:
+def flat(df: DataFrame) -> DataFrame:
     return W.flatten_window(df)
 
 
-def _deduped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return DD.dedup(C.clean(_events(spark, sf_dir)))
+def deduped_for(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return DD.dedup(C.clean(events_for(spark, sf_dir)))
 
 
 # ----------------------------------------------------------------- sources
@@ -114,54 +114,54 @@ def q_congestion_band(spark, sf_dir):
 
 # ----------------------------------------------------------------- dedup / windows
 def q_dedup_events(spark, sf_dir):
-    d = _deduped(spark, sf_dir)
+    d = deduped_for(spark, sf_dir)
     return d.select(
         "clientId", "cellId", epoch_millis("eventTime").alias("eventTimeMs"), "signalDbm", "congestion", "technology"
     )
 
 
 def q_window_agg(spark, sf_dir):
-    return _flat(W.window_aggregate(_deduped(spark, sf_dir)))
+    return flat(W.window_aggregate(deduped_for(spark, sf_dir)))
 
 
 def q_window_tumbling(spark, sf_dir):
-    return _flat(W.tumbling_aggregate(_deduped(spark, sf_dir)))
+    return flat(W.tumbling_aggregate(deduped_for(spark, sf_dir)))
 
 
 def q_clients_per_cell(spark, sf_dir):
-    return _flat(W.clients_per_cell(_deduped(spark, sf_dir)))
+    return flat(W.clients_per_cell(deduped_for(spark, sf_dir)))
 
 
 # ----------------------------------------------------------------- joins / candidates
 def q_with_consent(spark, sf_dir):
     consents, _ = _tables(spark, CampaignConfig())
-    return _flat(with_consents(W.window_aggregate(_deduped(spark, sf_dir)), consents))
+    return flat(with_consents(W.window_aggregate(deduped_for(spark, sf_dir)), consents))
 
 
 def q_with_cells(spark, sf_dir):
     consents, cells = _tables(spark, CampaignConfig())
-    return _flat(with_cells(with_consents(W.window_aggregate(_deduped(spark, sf_dir)), consents), cells))
+    return flat(with_cells(with_consents(W.window_aggregate(deduped_for(spark, sf_dir)), consents), cells))
 
 
 def q_candidates(spark, sf_dir):
-    return _flat(_plan(spark, sf_dir).candidates)
+    return flat(plan_for(spark, sf_dir).candidates)
 
 
 def q_candidates_min3(spark, sf_dir):
-    return _flat(_plan(spark, sf_dir, CampaignConfig(min_events=3)).candidates)
+    return flat(plan_for(spark, sf_dir, CampaignConfig(min_events=3)).candidates)
 
 
 def q_target_cell_candidates(spark, sf_dir):
-    return _flat(_plan(spark, sf_dir, CampaignConfig(require_target_cell=True)).candidates)
+    return flat(plan_for(spark, sf_dir, CampaignConfig(require_target_cell=True)).candidates)
 
 
 # ----------------------------------------------------------------- decisions / alerts
 def q_decisions(spark, sf_dir):
-    return _flat(_plan(spark, sf_dir).decisions)
+    return flat(plan_for(spark, sf_dir).decisions)
 
 
 def q_alerts(spark, sf_dir):
-    return _plan(spark, sf_dir).alerts(with_stamp=False)
+    return plan_for(spark, sf_dir).alerts(with_stamp=False)
 
 
 def q_sent_alerts(spark, sf_dir):
@@ -171,7 +171,7 @@ def q_sent_alerts(spark, sf_dir):
 def q_signal_floor_decisions(spark, sf_dir):
     from surgecast.functions.fixed_values import SIGNAL_FLOOR_DBM
 
-    return _flat(_plan(spark, sf_dir, CampaignConfig(signal_floor_dbm=SIGNAL_FLOOR_DBM)).decisions)
+    return flat(plan_for(spark, sf_dir, CampaignConfig(signal_floor_dbm=SIGNAL_FLOOR_DBM)).decisions)
 
 
 def derived_reply() -> Column:
@@ -207,16 +207,16 @@ def q_external_decisions(spark, sf_dir):
     # replies derived from the candidate rows themselves: one lineage, so the
     # chain runs once (a reply table of its own goes through the join form,
     # ``with_external_decisions``, tested separately)
-    p = _plan(spark, sf_dir)
+    p = plan_for(spark, sf_dir)
     out = D.apply_replies(p.candidates.withColumn("reply", derived_reply()))
-    return _flat(out).select(
+    return flat(out).select(
         "windowStart", "windowEnd", "clientId", "cellId", "segment", "avgCongestion", "technology",
         "decisionSource", "aiDecision", "aiReasoning", "smsText",
     )
 
 
 def q_sms_length(spark, sf_dir):
-    d = D.sms_quality(_flat(_plan(spark, sf_dir).decisions))
+    d = D.sms_quality(flat(plan_for(spark, sf_dir).decisions))
     return d.select("windowStart", "clientId", "cellId", "aiDecision", "smsLength", "smsFits")
 
 
@@ -229,7 +229,7 @@ def q_alert_summary(spark, sf_dir):
 
 
 def q_batch_tally(spark, sf_dir):
-    return R.tally(_plan(spark, sf_dir).decisions)
+    return R.tally(plan_for(spark, sf_dir).decisions)
 
 
 # ----------------------------------------------------------------- streaming

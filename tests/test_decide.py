@@ -97,7 +97,7 @@ def test_join_form_equals_column_form(spark):
     from tests.conftest import SF_MID
     from tests.helpers import spark_rows
 
-    p = catalog._plan(spark, SF_MID)
+    p = catalog.plan_for(spark, SF_MID)
     joined = with_external_decisions(p.candidates, catalog.derived_replies(p.candidates), keys=["window", "clientId", "cellId"])
     cols = ["clientId", "cellId", "decisionSource", "aiDecision", "aiReasoning", "smsText"]
     assert spark_rows(joined.select(*cols)) == spark_rows(catalog.q_external_decisions(spark, SF_MID).select(*cols))

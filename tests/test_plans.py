@@ -44,7 +44,7 @@ def test_large_static_sides_use_shuffle_join(spark):
         consents = as_side(build_consents(spark), "consents", cfg.broadcast_max_bytes)
         cells = as_side(build_cells(spark), "cells", cfg.broadcast_max_bytes)
         assert not consents.broadcastable and not cells.broadcastable
-        p = campaign_plan(catalog._events(spark, SF_SMALL), consents, cells, cfg)
+        p = campaign_plan(catalog.events_for(spark, SF_SMALL), consents, cells, cfg)
         alerts = p.alerts(with_stamp=False)
         text = _final_plan(alerts)
         assert "BroadcastHashJoin" not in text and "SortMergeJoin" in text
@@ -58,10 +58,10 @@ def test_large_static_sides_use_shuffle_join(spark):
 def test_prefilter_does_not_change_candidates(spark):
     from surgecast.sources.reference_tables import cells_side, consents_side
 
-    ev = catalog._events(spark, SF_SMALL)
+    ev = catalog.events_for(spark, SF_SMALL)
     a = campaign_plan(ev, consents_side(spark), cells_side(spark), prefilter=True).decisions
     b = campaign_plan(ev, consents_side(spark), cells_side(spark), prefilter=False).decisions
-    assert spark_rows(catalog._flat(a)) == spark_rows(catalog._flat(b))
+    assert spark_rows(catalog.flat(a)) == spark_rows(catalog.flat(b))
 
 
 def test_stream_dedup_combines_copies_before_its_shuffle(spark):
@@ -80,7 +80,7 @@ def test_dedup_forms_agree(spark):
     from surgecast.operators import clean as C
     from surgecast.operators import dedup as DD
 
-    ev = C.clean(catalog._events(spark, SF_SMALL))
+    ev = C.clean(catalog.events_for(spark, SF_SMALL))
     assert spark_rows(DD.dedup(ev)) == spark_rows(DD.dedup(ev, combine=False))
 
 
@@ -88,11 +88,11 @@ def test_colocated_windows_equal_standard_windows(spark):
     from surgecast.operators import windows as W
     from tests.conftest import SF_MID
 
-    d = catalog._deduped(spark, SF_MID)
+    d = catalog.deduped_for(spark, SF_MID)
     for cfg in (CampaignConfig(), CampaignConfig(slide_duration="2 minutes"), CampaignConfig(window_duration="90 seconds")):
         a = W.window_aggregate(d, cfg)
         b = W.window_aggregate(d, cfg.with_(colocate_windows=False))
-        assert spark_rows(catalog._flat(a)) == spark_rows(catalog._flat(b)), cfg
+        assert spark_rows(catalog.flat(a)) == spark_rows(catalog.flat(b)), cfg
 
 
 def test_colocated_windows_one_exchange_no_partial_shuffle(spark):

@@ -116,7 +116,7 @@ def test_refreshing_tables_in_stream(spark):
 
 
 def test_refreshing_sink_sees_new_table(spark, scratch):
-    agg = catalog._flat(catalog.W.window_aggregate(catalog._deduped(spark, SF_SMALL)))
+    agg = catalog.flat(catalog.W.window_aggregate(catalog.deduped_for(spark, SF_SMALL)))
     tables = setup_tables(spark, f"{scratch}/tables")
     sink = DecisionSink(f"{scratch}/feed", f"{scratch}/sent")
     fn = RefreshingSink(tables["consents"], tables["cells"], sink, CampaignConfig())
@@ -132,7 +132,7 @@ def test_refreshing_sink_sees_new_table(spark, scratch):
 
 
 def test_sink_is_idempotent_and_writes_csv_properly(spark, scratch):
-    decisions = catalog._flat(catalog._plan(spark, SF_SMALL).decisions)
+    decisions = catalog.flat(catalog.plan_for(spark, SF_SMALL).decisions)
     sink = DecisionSink(f"{scratch}/feed", f"{scratch}/sent")
     sink(decisions, 7)
     sink(decisions, 7)  # replayed batch: replaced, not appended
@@ -169,7 +169,7 @@ def _agg_stream(spark, inbox, out, build):
     from surgecast.streaming.runner import decoded_stream
 
     ev = DD.dedup(DD.with_watermark(C.clean(with_event_time(decoded_stream(file_messages(spark, f"{inbox}/*", 1)))), "30 seconds"))
-    agg = catalog._flat(build(ev))
+    agg = catalog.flat(build(ev))
     q = (
         agg.writeStream.outputMode("append")
         .option("checkpointLocation", f"{out}/ckpt")
