@@ -41,7 +41,10 @@ def _paths(base: str) -> dict[str, str]:
 
 
 def cmd_setup(spark, args):
-    setup_tables(spark, args.base)
+    paths = setup_tables(spark, args.base)
+    if args.show:
+        read_consents(spark, paths["consents"]).orderBy("clientId").show(args.show, truncate=False)
+        read_cells(spark, paths["cells"]).orderBy("cellId").show(args.show, truncate=False)
 
 
 def cmd_produce(spark, args):
@@ -113,6 +116,7 @@ def main(argv=None, spark=None):
 
     s = sub.add_parser("setup")
     s.add_argument("--base", required=True)
+    s.add_argument("--show", type=int, default=0, help="print this many rows of each table")
 
     s = sub.add_parser("produce")
     s.add_argument("--events", required=True, help="folder holding events.parquet")

@@ -15,7 +15,8 @@ from tests.conftest import SF_SMALL
 
 def test_cli_setup_produce_batch_report(spark, scratch, capsys):
     base = f"{scratch}/c"
-    cli.main(["setup", "--base", base], spark=spark)
+    cli.main(["setup", "--base", base, "--show", "5"], spark=spark)
+    assert "CLIENT_0001" in capsys.readouterr().out
     cli.main(["produce", "--events", SF_SMALL, "--out", f"{base}/inbox", "--files", "3"], spark=spark)
     cli.main(["batch", "--base", base, "--messages", f"{base}/inbox/*", "--batch-id", "3"], spark=spark)
     feed = R.read_feed(spark, f"{base}/dashboard-feed")
