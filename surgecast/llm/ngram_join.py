@@ -353,5 +353,20 @@ def join_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> Data
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), component).alias("component_id"))
 
 
+def keep_one(docs: DataFrame, k: int = K, percent: int = PERCENT) -> DataFrame:
+    """``docs`` without the documents that are not the smallest id of their
+    component; of rows that repeat a doc_id one stays. Rows without doc_id
+    stay. All columns unchanged."""
+    found = C.cut(join_components(docs, k, percent))
+    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
+    kept = docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+    twice = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_twice"))
+    if twice.isEmpty():
+        return kept
+    twice = C.cut(twice)
+    once = kept.join(twice, kept["doc_id"] == twice["_twice"], "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(twice, kept["doc_id"] == twice["_twice"], "left_anti").unionByName(once)
+
+
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_components(C.read(spark, sf_dir, "documents"))
