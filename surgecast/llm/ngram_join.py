@@ -4,13 +4,15 @@ A document is the set of its distinct word k-grams (k = 5; fewer words: the
 whole sequence; A-Z lower-cased). Two documents link when 100 * intersection
 >= 80 * union. All tokens have one global order, rare first.
 
-* Prefix rule. With t = ceil(0.8 n), a linked pair shares at least l tokens
-  within the first n - t + l tokens of both documents, for every l up to t.
-  Each document picks its own l: a longer prefix costs the sum of the
-  document frequencies of its tokens, but a pair must then share l of them
-  before it is verified, which leaves about (sum of frequencies) / l
-  candidates; the l with the smallest estimate wins. A pair is held to the
-  smaller l of its two documents.
+* Prefix rule. A pair of sizes m and n links with an intersection of at
+  least a = ceil(80 (m + n) / 180), and then shares at least l tokens within
+  the first m - a + l and n - a + l tokens, for every l up to a. A document
+  keeps the prefix for its smallest a, ceil(0.8 n); the join cuts both
+  prefixes to the a of the pair. Each document picks its own l: a longer
+  prefix costs the sum of the document frequencies of its tokens, but a pair
+  must then share l of them before it is verified, which leaves about (sum of
+  frequencies) / l candidates; the l with the smallest estimate wins. A pair
+  is held to the smaller l of its two documents.
 * Frequencies. Chunks of documents send (hash, document) to hash blocks;
   only hashes with two or more documents come back. A document whose unshared
   tokens already fill its prefix links with nothing and drops out here. The
@@ -197,13 +199,13 @@ def choose_level(n: int, unshared: int, df: np.ndarray, percent: int = PERCENT)
 
 
 _SEEDS = C.mix(np.arange(1, 1 + CENTRAL_KEYS + RANDOM_KEYS, dtype=np.uint64))
-_PROFILE = "fp long, n int, ell int, central double, toks binary, pre array<long>, lev array<int>, hubs array<long>"
+_PROFILE = "fp long, n int, ell int, central double, toks binary, pre array<long>, pos array<int>, hubs array<long>"
 
 
 def _profiles(batches: Iterator[pa.RecordBatch], hot: np.ndarray, hot_df: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
     """Per chunk: documents that may have a partner, with their shared tokens
-    (``toks``, sorted), the prefix (``pre`` with the smallest l each token
-    belongs to, ``lev``), the chosen l and the keys of their hub groups."""
+    (``toks``, sorted), the prefix (``pre``, with each token's place among all
+    tokens of the document from 1, ``pos``), the chosen l and the keys of their hub groups."""
     tables: dict[int, tuple] = {}
     parts: dict[int, list] = {}
     for batch in batches:
@@ -229,25 +231,24 @@ def _profiles(batches: Iterator[pa.RecordBatch], hot: np.ndarray, hot_df: np.nda
         order = np.lexsort((token, df, is_hot, number))
         token, number, df = token[order], number[order], df[order]
         bounds = np.searchsorted(number, np.append(live, len(fps)))
-        out = {name: [] for name in ("fp", "n", "ell", "central", "toks", "pre", "lev", "hubs")}
+        out = {name: [] for name in ("fp", "n", "ell", "central", "toks", "pre", "pos", "hubs")}
         for i, lo, hi in zip(live.tolist(), bounds[:-1].tolist(), bounds[1:].tolist()):
             n, toks, freq = int(ns[i]), token[lo:hi], df[lo:hi]
             unshared = n - len(toks)
             ell = choose_level(n, unshared, freq, percent)
             reach = min(max(prefix_length(n, ell, percent) - unshared, 0), len(toks))
-            level = np.maximum(1, unshared + np.arange(1, reach + 1) - prefix_length(n, 0, percent))
             out["fp"].append(int(fps[i]))
             out["n"].append(n)
             out["ell"].append(ell)
             out["central"].append(float(freq.sum()) / n)
             out["toks"].append(C.blob(np.sort(toks)))
             out["pre"].append(toks[:reach].view(np.int64))
-            out["lev"].append(level.astype(np.int32))
+            out["pos"].append(np.arange(unshared + 1, unshared + reach + 1, dtype=np.int32))
             out["hubs"].append(C.mix(np.array([C.mix(toks ^ s).min() for s in _SEEDS], np.uint64) ^ _SEEDS).view(np.int64))
         if live.size:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out["fp"], pa.int64()), pa.array(out["n"], pa.int32()), pa.array(out["ell"], pa.int32()), pa.array(out["central"], pa.float64()), pa.array(out["toks"], pa.binary())]
-                + [pa.array(out["pre"], pa.list_(pa.int64())), pa.array(out["lev"], pa.list_(pa.int32())), pa.array(out["hubs"], pa.list_(pa.int64()))],
+                + [pa.array(out["pre"], pa.list_(pa.int64())), pa.array(out["pos"], pa.list_(pa.int32())), pa.array(out["hubs"], pa.list_(pa.int64()))],
                 list(out),
             )
     if parts:
@@ -297,16 +298,18 @@ def _labelled(profile: DataFrame, comps: DataFrame | None) -> DataFrame:
 
 def _across(profile: DataFrame, percent: int) -> DataFrame:
     """The multi-match prefix join between different components."""
-    post = profile.select("rep", "n", "ell", "comp", F.explode(F.arrays_zip("pre", "lev")).alias("x"))
-    post = post.select("rep", "n", "ell", "comp", F.col("x.pre").alias("tok"), F.col("x.lev").alias("lev"))
+    post = profile.select("rep", "n", "ell", "comp", F.explode(F.arrays_zip("pre", "pos")).alias("x"))
+    # how far from the document's end the token stands (negative)
+    post = post.select("rep", "n", "ell", "comp", F.col("x.pre").alias("tok"), (F.col("x.pos") - F.col("n")).alias("rest"))
     per = post.groupBy("tok", "comp").agg(F.count(F.lit(1)).alias("size"))
     stat = per.groupBy("tok").agg(F.max_by("comp", "size").alias("most"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
     post = post.join(stat.select("tok", "most"), "tok").withColumn("big", F.col("comp") == F.col("most")).drop("most")
-    left = post.where(~F.col("big")).select("tok", *[F.col(c).alias(f"l_{c}") for c in ("rep", "n", "ell", "comp", "lev")])
+    left = post.where(~F.col("big")).select("tok", *[F.col(c).alias(f"l_{c}") for c in ("rep", "n", "ell", "comp", "rest")])
+    both = F.ceil((F.col("n") + F.col("l_n")).cast("long") * percent / (100 + percent))  # least intersection
     ok = (
         (F.col("comp") != F.col("l_comp"))
         & (F.col("big") | (F.col("l_rep") < F.col("rep")))
-        & (F.greatest("lev", "l_lev") <= F.least("ell", "l_ell"))
+        & (F.greatest("rest", "l_rest") + both <= F.least("ell", "l_ell"))
         & _similar_size("n", "l_n", percent)
     )
     right = post.withColumnRenamed("tok", "r_tok")
