@@ -35,9 +35,9 @@ from pyspark.sql import functions as F
 
 from surgecast.llm import common as C
 
-CHUNK = 1 << 21  # tokens a map task combines at once
+CHUNK = 1 << 20  # tokens a map task combines at once
 CHUNK_DOCS = 32_000  # a document's number within its chunk has 15 bits
-PER_TASK = 1_500_000
+PER_TASK = 1_000_000
 VOCABULARY = 4095
 IN_CLASS = 64
 HIDDEN = 32
@@ -45,7 +45,7 @@ WINDOW = 64
 SAMPLE = 1200
 LONGEST = 20_000
 LANES, TRAIN_WINDOW, PASSES = 64, 32, 2
-SLICE = 8 << 20
+SLICE = 4 << 20
 END = np.uint64(0x9D5C_1F3A_77E1_0B2D)  # stands for the end token among word hashes
 
 # ---------------------------------------------------------- corpus-wide counts
@@ -58,18 +58,16 @@ def _train(piece: pa.RecordBatch) -> np.ndarray:
     return piece.column("train").fill_null(False).to_numpy(zero_copy_only=False)
 
 
-def _bigrams(words: C.Words) -> tuple[np.ndarray, np.ndarray]:
-    """Codes (previous byte * 256 + byte) of all bytes of all words and their
-    ends (a space before and after), and the word each belongs to."""
-    b = C.fold(words.data).astype(np.int64)
-    size = words.end - words.start + 1
-    at = C.ranges(words.start, size)
-    word = np.repeat(np.arange(len(words)), size)
+def _bigrams(words: C.Words, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Codes (previous byte * 256 + byte) of the bytes of some words and their
+    ends (a space before and after), and where each of the words begins."""
+    start, size = words.start[which], words.end[which] - words.start[which] + 1
     first = np.cumsum(size) - size
-    here = np.where(at < words.end[word], np.append(b, 32)[at], 32)
+    here = np.append(C.fold(words.data), np.uint8(32))[C.ranges(start, size)].astype(np.uint16)
+    here[first + size - 1] = 32
     prev = np.roll(here, 1)
     prev[first] = 32
-    return prev * 256 + here, word
+    return prev * np.uint16(256) + here, first
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -91,8 +89,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held.append(h)
         n += len(h)
         docs += int(train.sum())
-        code, word = _bigrams(words)
-        grams += np.bincount(code[use[word]], minlength=1 << 16)
+        grams += np.bincount(_bigrams(words, np.flatnonzero(use))[0], minlength=1 << 16)
         if n >= CHUNK:
             yield flush()
             held, n, docs = [], 0, 0
@@ -115,7 +112,7 @@ def _tokens(batches: Iterator[pa.RecordBatch], hot: np.ndarray, blocks: int) ->
         order = np.argsort(block, kind="stable")
         names, lo = np.unique(block[order], return_index=True)
         cuts = list(zip(lo, np.append(lo[1:], len(order))))
-        return names, [[C.blob(x[order][a:b]) for a, b in cuts] for x in (h, *others)]
+        return names, [[C.blob(x[a:b]) for a, b in cuts] for x in (y[order] for y in (h, *others))]
 
     def flush():
         h, number = np.concatenate(hashes), np.concatenate(numbers)
@@ -432,11 +429,10 @@ def _score(batches: Iterator[pa.RecordBatch], model: GruModel, hot: np.ndarray,
         hot_known = np.bincount(doc[at >= 0], c > 0, minlength=n).astype(np.int64)
         y, counts = _sequence(model, words, h)
         total = model.score(y, counts)
-        unknown = model.numbers(h) == model.size
-        if unknown.any():
-            code, word = _bigrams(words)
-            use = unknown[word]
-            total += np.bincount(doc[word[use]], model.spelling[code[use]], minlength=n)
+        unknown = np.flatnonzero(model.numbers(h) == model.size)
+        if len(unknown):
+            code, first = _bigrams(words, unknown)
+            total += np.bincount(doc[unknown], np.add.reduceat(model.spelling[code], first), minlength=n)
         yield pa.RecordBatch.from_arrays(
             [piece.column("doc_id"), piece.column("th"), pa.array(counts.astype(np.int64)), pa.array(hot_sum), pa.array(hot_known), pa.array(total / np.log(10))],
             ["doc_id", "th", "n_tokens", "hot_sum", "hot_known", "score"],
