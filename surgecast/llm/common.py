@@ -23,6 +23,7 @@ U64 = np.uint64
 SLICE_BYTES = 2 << 20
 SEPARATORS = bytes([0x20, 9, 10, 11, 12, 13])
 WORD = r"[^\x20\x09-\x0D]+"
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 # --------------------------------------------------------------- Spark helpers
@@ -34,9 +35,17 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def cut(df: DataFrame) -> DataFrame:
     """``checkpoint()`` into the cluster's shared folder: the lineage ends
-    here, and a lost executor loses nothing."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    here, and a lost executor loses nothing. The shuffle files behind it are
+    removed at once (Spark's own setting, put back afterwards)."""
+    spark = df.sparkSession
+    shared_dir(spark)
+    saved = spark.conf.get(_CLEAN_UP, "false")
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        # the setting is read when a DataFrame is made
+        return df.select("*").checkpoint(eager=True)
+    finally:
+        spark.conf.set(_CLEAN_UP, saved)
 
 
 def partitions(spark: SparkSession, rows: int, per_task: int) -> int:

@@ -41,8 +41,8 @@ from surgecast.llm import common as C
 
 WIDTH = 50
 SEED = 25
-CHUNK = 1 << 21  # windows a map task combines at once
-PER_TASK = 1_500_000  # windows a block task gets, about
+CHUNK = 1 << 20  # windows a map task combines at once
+PER_TASK = 1_000_000  # windows a block task gets, about
 
 _SEGMENTS = "kind int, block long, head binary, body binary"
 _FACTORS = "doc long, th long, start int, size int, src_doc long, src_start int"
@@ -244,7 +244,7 @@ def covered(start: np.ndarray, size: np.ndarray, n: int) -> np.ndarray:
 def _cut_words(batches: Iterator[pa.RecordBatch], lines: bool) -> Iterator[pa.RecordBatch]:
     for piece in C.text_slices(batches):
         words = C.Words(piece.column("text"))
-        spans = piece.column("spans").to_pylist()
+        spans = piece.column("__spans").to_pylist()
         n_removed, kept, digest = [], [], []
         for i, spanned in enumerate(spans):
             lo, hi = int(words.first[i]), int(words.first[i + 1])
@@ -267,9 +267,11 @@ def _cut_words(batches: Iterator[pa.RecordBatch], lines: bool) -> Iterator[pa.Re
                     kept.append(words.data[d0:d1][np.cumsum(drop[:-1]) == 0].tobytes().decode("utf-8", "replace").strip(" \t\n\v\f\r"))
             else:
                 digest.append(hashlib.sha256(b" ".join(_tokens(words, left))).hexdigest())
-        cols = {f: piece.column(f) for f in piece.schema.names if f not in ("text", "spans")}
-        cols |= {"n_words": pa.array(words.counts, pa.int64()), "n_removed": pa.array(n_removed, pa.int64())}
-        cols["text" if lines else "kept_sha256"] = pa.array(kept if lines else digest, pa.string())
+        cols = {f: piece.column(f) for f in piece.schema.names if f not in ("text", "__spans")}
+        if lines:
+            cols["text"] = pa.array(kept, pa.string())
+        else:
+            cols |= {"n_words": pa.array(words.counts, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "kept_sha256": pa.array(digest, pa.string())}
         yield pa.RecordBatch.from_pydict(cols)
 
 
@@ -282,10 +284,9 @@ def _with_spans(docs: DataFrame, width: int) -> DataFrame:
     """``docs`` with the array of its factors (null if none). The array of a
     document is bounded by its own length: factors start at different words."""
     found = factors(docs, width)
-    per = found.groupBy("doc", "th").agg(F.collect_list(F.struct("start", "size")).alias("spans"))
-    keyed = docs.withColumn("_th", F.xxhash64(F.col("text").cast("string")))
-    on = (keyed["doc_id"].cast("long") == per["doc"]) & (keyed["_th"] == per["th"])
-    return keyed.join(per, on, "left").drop("doc", "th", "_th")
+    per = C.cut(found.groupBy(F.col("doc").alias("__doc"), F.col("th").alias("__th")).agg(F.collect_list(F.struct("start", "size")).alias("__spans")))
+    on = (docs["doc_id"].cast("long") == per["__doc"]) & (F.xxhash64(docs["text"].cast("string")) == per["__th"])
+    return docs.join(per, on, "left").drop("__doc", "__th")
 
 
 def removed_words(docs: DataFrame, width: int = WIDTH) -> DataFrame:
