@@ -31,7 +31,7 @@ from surgecast.llm import common as C
 
 WEIGHTS = (1, 2, 3)
 MOST = 3
-CELLS = 1 << 16
+CELLS = 1 << 13
 
 
 def words_of(text: Column) -> Column:
