@@ -6,26 +6,30 @@
     python -m surgecast.cli batch   --base /data/campaigns --messages '/data/campaigns/inbox/*'
     python -m surgecast.cli report  --base /data/campaigns
 
-``stream`` runs until stopped; SIGINT/SIGTERM stop it after the running
-micro-batch (the checkpoint makes the next start resume from there).
+``stream`` runs until stopped; on SIGINT/SIGTERM the running micro-batch is
+completed and committed, then the query ends (the checkpoint makes the next
+start resume from there). Every field of ``CampaignConfig`` is an option of
+``stream`` and ``batch`` (``--window-duration``, ``--kafka-bootstrap``, ...).
 """
 
 from __future__ import annotations
 
 import argparse
+import dataclasses
 import signal
 import sys
+import threading
 
 from pyspark.sql import functions as F
 
 from surgecast.config import CampaignConfig
 from surgecast.operators import reports as R
 from surgecast.plans.chain import campaign_plan
-from surgecast.session import build_session
+from surgecast.session import batch_ids, build_session
 from surgecast.sources import wire
 from surgecast.sources.reference_tables import read_cells, read_consents, setup_tables
-from surgecast.streaming.runner import start_pipeline
-from surgecast.streaming.sinks import DecisionSink
+from surgecast.streaming.runner import start_pipeline, start_rejects, stop_after_batch
+from surgecast.streaming.sinks import DecisionSink, RejectSink
 from surgecast.streaming.sources import file_messages, kafka_messages
 
 
@@ -36,10 +40,30 @@ def _paths(base: str) -> dict[str, str]:
         "cells": f"{b}/cells",
         "feed": f"{b}/dashboard-feed",
         "sent": f"{b}/sent",
+        "rejects": f"{b}/rejects",
+        "rejects_checkpoint": f"{b}/rejects-checkpoint",
         "checkpoint": f"{b}/checkpoint",
     }
 
 
+# shorter names of some settings
+_ALIASES = {"trigger_interval": "--trigger", "require_target_cell": "--target-cells", "signal_floor_dbm": "--signal-floor"}
+
+
+def _config_options(parser) -> None:
+    """One option per field of ``CampaignConfig``."""
+    for f in dataclasses.fields(CampaignConfig):
+        names = ["--" + f.name.replace("_", "-"), *filter(None, [_ALIASES.get(f.name)])]
+        if "bool" in str(f.type):
+            parser.add_argument(*names, dest=f.name, action=argparse.BooleanOptionalAction, default=f.default)
+        else:
+            parser.add_argument(*names, dest=f.name, type=int if "int" in str(f.type) else str, default=f.default)
+
+
+def _config(args) -> CampaignConfig:
+    return CampaignConfig(**{f.name: getattr(args, f.name) for f in dataclasses.fields(CampaignConfig)})
+
+
 def cmd_setup(spark, args):
     paths = setup_tables(spark, args.base)
     if args.show:
@@ -52,17 +76,12 @@ def cmd_produce(spark, args):
     time-ordered files, one per slice, then a sentinel that closes windows."""
     from surgecast.streaming.replay import write_inbox
 
-    write_inbox(spark, args.events, args.out, n_files=args.files)
+    write_inbox(spark, args.events, args.out, n_slices=args.files)
 
 
 def cmd_stream(spark, args):
     p = _paths(args.base)
-    cfg = CampaignConfig(
-        trigger_interval=args.trigger,
-        min_events=args.min_events,
-        require_target_cell=args.target_cells,
-        signal_floor_dbm=args.signal_floor,
-    )
+    cfg = _config(args)
     if args.source == "kafka":
         messages = kafka_messages(spark, cfg)
     else:
@@ -82,23 +101,47 @@ def cmd_stream(spark, args):
         console_rows=args.console_rows,
     )
 
-    def _stop(*_):
-        q.stop()
+    queries = [q]
+    if args.rejects:
+        again = kafka_messages(spark, cfg) if args.source == "kafka" else file_messages(spark, args.path, max_files_per_trigger=args.max_files)
+        queries.append(start_rejects(spark, again, p["rejects"], p["rejects_checkpoint"], cfg, available_now=args.available_now))
+    wait_for(queries, stop_on_signals())
+
+
+def stop_on_signals() -> threading.Event:
+    """An event that SIGINT and SIGTERM set."""
+    asked = threading.Event()
+    for s in (signal.SIGINT, signal.SIGTERM):
+        signal.signal(s, lambda *_: asked.set())
+    return asked
+
 
-    signal.signal(signal.SIGINT, _stop)
-    signal.signal(signal.SIGTERM, _stop)
-    q.awaitTermination()
+def wait_for(queries, asked: threading.Event) -> None:
+    """Until all queries end, or, once asked to stop, their running batches."""
+    while any(q.isActive for q in queries):
+        if asked.wait(0.5):
+            for q in queries:
+                stop_after_batch(q)
+    for q in queries:
+        q.awaitTermination()  # raises what ended the query
 
 
 def cmd_batch(spark, args):
     """The same chain over a bounded set of message files, written once."""
     p = _paths(args.base)
-    cfg = CampaignConfig(min_events=args.min_events, require_target_cell=args.target_cells, signal_floor_dbm=args.signal_floor)
-    events = wire.decode(spark.read.text(args.messages))
+    cfg = _config(args)
+    used = sorted({*batch_ids(spark, p["feed"]), *batch_ids(spark, p["sent"])})
+    batch_id = args.batch_id if args.batch_id is not None else (used[-1] + 1 if used else 0)
+    if batch_id in used and not args.replace:
+        raise SystemExit(f"batch {batch_id} exists; --replace overwrites it")
+    decoded = wire.decode(spark.read.text(args.messages), keep=["value"])
+    if args.rejects:
+        RejectSink(p["rejects"], cfg)(decoded, batch_id)
+    events = decoded.drop("value")
     plan = campaign_plan(events, read_consents(spark, p["consents"]), read_cells(spark, p["cells"]), cfg)
     from surgecast.operators.windows import flatten_window
 
-    DecisionSink(p["feed"], p["sent"], cfg, console_rows=args.console_rows)(flatten_window(plan.decisions), args.batch_id)
+    DecisionSink(p["feed"], p["sent"], cfg, console_rows=args.console_rows)(flatten_window(plan.decisions), batch_id)
 
 
 def cmd_report(spark, args):
@@ -126,22 +169,21 @@ def main(argv=None, spark=None):
     for name in ("stream", "batch"):
         s = sub.add_parser(name)
         s.add_argument("--base", required=True)
-        s.add_argument("--min-events", type=int, default=None)
-        s.add_argument("--target-cells", action="store_true")
-        s.add_argument("--signal-floor", type=int, default=None)
+        _config_options(s)
         s.add_argument("--console-rows", type=int, default=0)
+        s.add_argument("--rejects", action="store_true", help="also write the reject table")
     st = sub.choices["stream"]
     st.add_argument("--source", choices=["kafka", "files"], default="kafka")
     st.add_argument("--path", default=None)
     st.add_argument("--max-files", type=int, default=1)
-    st.add_argument("--trigger", default="15 seconds")
     st.add_argument("--checkpoint", default=None)
     st.add_argument("--available-now", action="store_true")
     st.add_argument("--refresh-tables", action="store_true")
     st.add_argument("--kafka-sink", action="store_true")
     bt = sub.choices["batch"]
     bt.add_argument("--messages", required=True)
-    bt.add_argument("--batch-id", type=int, default=0)
+    bt.add_argument("--batch-id", type=int, default=None, help="default: the next free id")
+    bt.add_argument("--replace", action="store_true", help="overwrite an existing batch")
 
     s = sub.add_parser("report")
     s.add_argument("--base", required=True)

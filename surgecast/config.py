@@ -44,6 +44,8 @@ class CampaignConfig:
     trigger_interval: str = "15 seconds"
     max_offsets_per_trigger: int = 1000
     starting_offsets: str = "earliest"
+    # the sinks write ceil(rows / this) files per micro-batch
+    rows_per_file: int = 500_000
     kafka_bootstrap: str = "localhost:9092"
     events_topic: str = "geo-events"
     alerts_topic: str = "campaign-alerts"

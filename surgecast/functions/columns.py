@@ -8,10 +8,21 @@ from pyspark.sql import functions as F
 from surgecast.functions import fixed_values as FV
 
 
+# Spark's timestamps run from year 1 to year 9999
+FIRST_MILLIS, LAST_MILLIS = -62_135_596_800_000, 253_402_300_799_999
+
+
+def representable_time(millis: str | Column = "timestamp") -> Column:
+    """Is the epoch millisecond value a timestamp at all? (null: null)"""
+    c = F.col(millis) if isinstance(millis, str) else millis
+    return c.between(FIRST_MILLIS, LAST_MILLIS)
+
+
 def event_time(millis: str | Column = "timestamp") -> Column:
-    """Epoch milliseconds -> TIMESTAMP (exact to the millisecond)."""
+    """Epoch milliseconds -> TIMESTAMP (exact to the millisecond); null for
+    values outside the timestamp range, which would overflow."""
     c = F.col(millis) if isinstance(millis, str) else millis
-    return F.timestamp_millis(c)
+    return F.when(representable_time(c), F.timestamp_millis(c))
 
 
 def epoch_millis(ts: str | Column) -> Column:

@@ -2,8 +2,10 @@
 
 A row is valid when its client id is present and not blank, its signal is
 present, its congestion is within 0..100 (a null congestion counts as -1 and
-is dropped), and the fields needed downstream (cellId, timestamp) are present
-(the schema's ``nullable=false`` is not enforced by ``from_json``).
+is dropped), the fields needed downstream (cellId, timestamp) are present
+(the schema's ``nullable=false`` is not enforced by ``from_json``), and the
+timestamp is one (a value beyond the timestamp range, such as nanoseconds in
+place of milliseconds, would stop the query on every restart).
 
 All predicates are plain column expressions, so Catalyst can push them into
 scans and keep them in whole-stage code generation.
@@ -14,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from surgecast.functions.columns import representable_time
 from surgecast.sources.wire import CORRUPT_COL
 
 # reject reasons, in the order they are tested
@@ -25,6 +28,7 @@ R_NULL_SIGNAL = "null_signal"
 R_NULL_CONGESTION = "null_congestion"
 R_CONGESTION_RANGE = "congestion_out_of_range"
 R_MISSING_FIELD = "missing_required_field"
+R_BAD_TIMESTAMP = "bad_timestamp"
 REJECT_REASONS = [
     R_EMPTY,
     R_MALFORMED,
@@ -34,6 +38,7 @@ REJECT_REASONS = [
     R_NULL_CONGESTION,
     R_CONGESTION_RANGE,
     R_MISSING_FIELD,
+    R_BAD_TIMESTAMP,
 ]
 
 
@@ -56,7 +61,7 @@ def required_present() -> Column:
 
 
 def is_valid() -> Column:
-    return valid_client() & valid_signal() & valid_congestion() & required_present()
+    return valid_client() & valid_signal() & valid_congestion() & required_present() & representable_time()
 
 
 def clean(events: DataFrame) -> DataFrame:
@@ -88,6 +93,7 @@ def reject_reason(value_col: str | None = None) -> Column:
     nxt(F.col("congestion").isNull(), R_NULL_CONGESTION)
     nxt(~F.col("congestion").between(0, 100), R_CONGESTION_RANGE)
     nxt(~required_present(), R_MISSING_FIELD)
+    nxt(~representable_time(), R_BAD_TIMESTAMP)
     return chain
 
 

@@ -90,31 +90,42 @@ def decide(candidates: DataFrame, cfg: CampaignConfig | None = None) -> DataFram
 
 # ---------------------------------------------------------------- external replies
 _API_BODY = "struct<content: array<struct<type: string, text: string>>>"
-_FENCE = r"(?s)```json|```"
+# an opening fence (with a language name) or a closing one, at the ends only
+_OPENING = r"^\s*`{3}[A-Za-z0-9_-]*\s"
+_CLOSING = r"\s`{3}\s*$"
 
 
 def reply_text(body: Column) -> Column:
-    """Text of a decision service reply: the API body's first text block
-    when the body is such a JSON document, else the body itself."""
-    outer = F.from_json(body, _API_BODY)
-    return F.coalesce(F.element_at(outer["content"], 1)["text"], body)
+    """Text of a decision service reply: the first block of type ``text`` when
+    the body is an API document (null if it has none), else the body itself."""
+    blocks = F.from_json(body, _API_BODY)["content"]
+    first = F.get(F.filter(blocks, lambda b: b["type"] == F.lit("text")), F.lit(0))["text"]
+    return F.when(blocks.isNotNull(), first).otherwise(body)
 
 
 def parse_reply(text: Column) -> Column:
-    """Reply text -> struct(decision, reasoning, smsText), fences stripped.
-    Invalid replies give a struct whose decision is null."""
-    clean = F.trim(F.regexp_replace(F.trim(text), _FENCE, ""))
-    return F.from_json(clean, schemas.DECISION_REPLY)
+    """Reply text -> struct(decision, reasoning, smsText); a fence around the
+    whole text is taken off, text inside is left as it is. Invalid replies
+    give a struct whose decision is null."""
+    inner = F.regexp_replace(F.regexp_replace(text, _OPENING, ""), _CLOSING, "")
+    return F.from_json(inner, schemas.DECISION_REPLY)
 
 
 def apply_replies(df: DataFrame, body_col: str = "reply", cfg: CampaignConfig | None = None) -> DataFrame:
     """Decisions from a reply column (null when no reply arrived), falling
-    back to the policy rules when a reply is missing or unusable. The reply
-    is parsed once into a column and referenced from there."""
+    back to the policy rules when a reply is missing or unusable: no valid
+    decision, an SMS that does not fit one message, or SEND below the signal
+    floor. The reply is parsed once into a column and referenced from there."""
+    cfg = cfg or CampaignConfig()
     rules = decision_columns(cfg)
     parsed = df.withColumn("_reply", parse_reply(reply_text(F.col(body_col))))
     r = F.col("_reply")
-    usable = F.coalesce(r["decision"].isin(FV.DECISION_SEND, FV.DECISION_SKIP), F.lit(False))
+    valid = r["decision"].isin(FV.DECISION_SEND, FV.DECISION_SKIP)
+    fits = F.char_length(F.coalesce(r["smsText"], F.lit(""))) <= F.lit(FV.SMS_MAX_CHARS)
+    usable = F.coalesce(valid, F.lit(False)) & fits
+    if cfg.signal_floor_dbm is not None:
+        below = F.coalesce(F.col("avgSignalDbm") < F.lit(cfg.signal_floor_dbm), F.lit(False))
+        usable = usable & ~((r["decision"] == F.lit(FV.DECISION_SEND)) & below)
     return parsed.withColumns(
         {
             "decisionSource": F.when(usable, F.lit("external")).otherwise(F.lit("rules")),
@@ -132,9 +143,11 @@ def with_external_decisions(
     body_col: str = "reply",
     cfg: CampaignConfig | None = None,
 ) -> DataFrame:
-    """Join a table of service replies (at most one row per key; joined,
-    never collected) to the candidates, then ``apply_replies``."""
-    joined = candidates.join(replies.select(*keys, body_col), on=keys, how="left")
+    """Join a table of service replies (never collected) to the candidates,
+    then ``apply_replies``. Of several replies for one key the smallest text
+    counts."""
+    one = replies.groupBy(*keys).agg(F.min(body_col).alias(body_col))
+    joined = candidates.join(one, on=keys, how="left")
     return apply_replies(joined, body_col, cfg).drop(body_col)
 
 

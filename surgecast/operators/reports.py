@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from surgecast import schemas
+from surgecast.session import path_exists
 from surgecast.functions import fixed_values as FV
 from surgecast.functions.columns import congestion_band
 
@@ -19,8 +20,9 @@ def processing_stamp() -> Column:
     return F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), ISO_INSTANT_UTC)
 
 
-def alerts(decisions: DataFrame, stamp: Column | None = None, with_stamp: bool = True) -> DataFrame:
-    """The 10-column campaign alert (``timestamp`` is processing time text)."""
+def alerts(decisions: DataFrame, stamp: Column | None = None, with_stamp: bool = True, extra: list[str] | None = None) -> DataFrame:
+    """The 10-column campaign alert (``timestamp`` is processing time text),
+    followed by the ``extra`` columns."""
     cols = [
         F.col("clientId"),
         F.col("cellId"),
@@ -34,7 +36,7 @@ def alerts(decisions: DataFrame, stamp: Column | None = None, with_stamp: bool =
     ]
     if with_stamp:
         cols.append((stamp if stamp is not None else processing_stamp()).alias("timestamp"))
-    return decisions.select(*cols)
+    return decisions.select(*cols, *(extra or []))
 
 
 def sent_only(df: DataFrame) -> DataFrame:
@@ -79,14 +81,20 @@ def with_congestion_band(df: DataFrame, col: str = "congestion") -> DataFrame:
     return df.withColumn("congestionBand", congestion_band(col))
 
 
+_WITH_BATCH = T.StructType(list(schemas.ALERT.fields) + [T.StructField("batch", T.LongType(), True)])
+
+
 def read_sent(spark, path: str) -> DataFrame:
-    """Read all ``batch=<id>`` partitions of the SEND sink. Reading the root
-    (not a ``/**`` glob) keeps the partition column ``batch``."""
-    return spark.read.option("basePath", path).parquet(path)
+    """Read all ``batch=<id>`` partitions of the SEND sink (none: 0 rows).
+    Reading the root (not a ``/**`` glob) keeps the partition column ``batch``."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], _WITH_BATCH)
+    return spark.read.schema(_WITH_BATCH).option("basePath", path).parquet(path)
 
 
 def read_feed(spark, path: str) -> DataFrame:
     """Read the CSV dashboard feed (header, declared schema). Nulls are
     written as ``\\N``, so empty texts and nulls both read back as written."""
-    feed = T.StructType(list(schemas.ALERT.fields) + [T.StructField("batch", T.LongType(), True)])
-    return spark.read.option("header", "true").option("nullValue", CSV_NULL).schema(feed).csv(path)
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], _WITH_BATCH)
+    return spark.read.option("header", "true").option("nullValue", CSV_NULL).schema(_WITH_BATCH).csv(path)

@@ -46,9 +46,10 @@ def duration_ms(text: str) -> int | None:
 
 
 def _aggregates() -> list[Column]:
-    # Averages as integer sums over one shared count: cleaned rows have both
-    # values, so this equals avg() exactly with fewer aggregation buffers.
+    # Averages as integer sums over counts of the values present.
     return [
+        F.count("congestion").alias("_nc"),
+        F.count("signalDbm").alias("_ns"),
         F.sum(F.col("congestion").cast("long")).alias("_sc"),
         F.sum(F.col("signalDbm").cast("long")).alias("_ss"),
         F.max_by("technology", "eventTime").alias("technology"),
@@ -61,8 +62,8 @@ def _finish(agg: DataFrame) -> DataFrame:
         "window",
         "clientId",
         "cellId",
-        truncated_int(F.col("_sc") / F.col("eventCount")).alias("avgCongestion"),
-        truncated_int(F.col("_ss") / F.col("eventCount")).alias("avgSignalDbm"),
+        truncated_int(F.try_divide("_sc", "_nc")).alias("avgCongestion"),
+        truncated_int(F.try_divide("_ss", "_ns")).alias("avgSignalDbm"),
         "technology",
         "eventCount",
     )

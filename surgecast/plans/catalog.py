@@ -129,7 +129,15 @@ def q_window_tumbling(spark, sf_dir):
 
 
 def q_clients_per_cell(spark, sf_dir):
-    return flat(W.clients_per_cell(deduped_for(spark, sf_dir)))
+    """The sketch beside the exact count (one row per client in the window
+    aggregate), with a flag: is the sketch within three standard errors?"""
+    rsd = 0.05
+    deduped = deduped_for(spark, sf_dir)
+    sketch = flat(W.clients_per_cell(deduped, rsd=rsd))
+    exact = flat(W.window_aggregate(deduped)).groupBy("windowStart", "windowEnd", "cellId").agg(F.count(F.lit(1)).alias("clients"))
+    both = sketch.join(exact, ["windowStart", "windowEnd", "cellId"])
+    near = F.abs(F.col("approxClients") - F.col("clients")) <= F.greatest(F.lit(1.0), 3 * rsd * F.col("clients"))
+    return both.select("windowStart", "windowEnd", "cellId", "clients", "eventCount", near.alias("withinError"))
 
 
 # ----------------------------------------------------------------- joins / candidates
@@ -174,41 +182,52 @@ def q_signal_floor_decisions(spark, sf_dir):
     return flat(plan_for(spark, sf_dir, CampaignConfig(signal_floor_dbm=SIGNAL_FLOOR_DBM)).decisions)
 
 
+def reply_kind() -> Column:
+    """(windowStart / 30 s + client number) mod 8."""
+    ws = epoch_millis(F.col("window.start"))
+    return (F.floor(ws / 30000) + F.substring("clientId", 8, 4).cast("long")) % 8
+
+
 def derived_reply() -> Column:
     """A decision-service reply derived from a candidate row (test input for
-    the external-decision operator). By (windowStart / 30 s + client number)
-    mod 4: 0 -> plain JSON in an API body, 1 -> fenced JSON, 2 -> text that is
-    not JSON, 3 -> no reply (null). The reply's decision is SKIP on 4G, else SEND."""
-    ws = epoch_millis(F.col("window.start"))
-    sel = (F.floor(ws / 30000) + F.substring("clientId", 8, 4).cast("long")) % 4
+    the external-decision operator). By ``reply_kind``: 0 -> plain JSON in an
+    API body, 1 -> fenced JSON, 2 -> text that is not JSON, 3 -> no reply
+    (null), 4 -> an API body without content, 5 -> the text block comes second,
+    6 -> plain JSON (sent twice, see ``derived_replies``), 7 -> an SMS that is
+    too long. The reply's decision is SKIP on 4G, else SEND."""
+    sel = reply_kind()
     decision = F.when(F.col("technology") == F.lit("4G"), F.lit("SKIP")).otherwise(F.lit("SEND"))
     reply = F.to_json(
         F.struct(
             decision.alias("decision"),
             F.format_string("Servicio: %s en %s", F.col("clientId"), F.col("cellId")).alias("reasoning"),
-            F.when(decision == F.lit("SEND"), F.lit("Activa 5G prioritario")).otherwise(F.lit("")).alias("smsText"),
+            F.when(decision == F.lit("SEND"), F.when(sel == 7, F.repeat(F.lit("x"), 200)).otherwise(F.lit("Activa 5G ``` prioritario"))).otherwise(F.lit("")).alias("smsText"),
         )
     )
+    block = lambda kind, text: F.struct(F.lit(kind).alias("type"), text.alias("text"))
     return (
         F.when(sel == 0, F.to_json(F.struct(F.array(F.struct(F.lit("text").alias("type"), reply.alias("text"))).alias("content"))))
         .when(sel == 1, F.concat(F.lit("```json\n"), reply, F.lit("\n```")))
         .when(sel == 2, F.lit("Lo siento, no puedo decidir."))
+        .when(sel == 4, F.lit('{"content":[]}'))
+        .when(sel == 5, F.to_json(F.struct(F.array(block("thinking", F.lit("...")), block("text", reply)).alias("content"))))
+        .when(sel.isin(6, 7), reply)
     )
 
 
 def derived_replies(candidates: DataFrame) -> DataFrame:
-    """The same replies as a separate table keyed by (window, client, cell)."""
-    return candidates.select("window", "clientId", "cellId", derived_reply().alias("reply")).where(
-        F.col("reply").isNotNull()
-    )
+    """The same replies as a separate table keyed by (window, client, cell);
+    kind 6 comes a second time, as a text that sorts after the first."""
+    one = candidates.select("window", "clientId", "cellId", derived_reply().alias("reply"), reply_kind().alias("_kind"))
+    twice = F.when(F.col("_kind") == 6, F.array("reply", F.lit("~ again"))).otherwise(F.array("reply"))
+    return one.where(F.col("reply").isNotNull()).select("window", "clientId", "cellId", F.explode(twice).alias("reply"))
 
 
 def q_external_decisions(spark, sf_dir):
-    # replies derived from the candidate rows themselves: one lineage, so the
-    # chain runs once (a reply table of its own goes through the join form,
-    # ``with_external_decisions``, tested separately)
+    # a reply table of its own, joined; the two sides share the chain's
+    # exchanges, which Spark reuses
     p = plan_for(spark, sf_dir)
-    out = D.apply_replies(p.candidates.withColumn("reply", derived_reply()))
+    out = D.with_external_decisions(p.candidates, derived_replies(p.candidates), keys=["window", "clientId", "cellId"])
     return flat(out).select(
         "windowStart", "windowEnd", "clientId", "cellId", "segment", "avgCongestion", "technology",
         "decisionSource", "aiDecision", "aiReasoning", "smsText",

@@ -187,7 +187,7 @@ wire AS (
          CAST(json_object('clientId', "clientId", 'cellId', "cellId", 'latitude', latitude, 'longitude', longitude,
                      'signalDbm', "signalDbm", 'congestion', congestion, 'technology', technology,
                      'timestamp', "timestamp") AS VARCHAR) AS value,
-         m
+         m, event_id, "timestamp" AS ts
   FROM pe
 ),
 msgs AS (
@@ -197,8 +197,10 @@ msgs AS (
     CASE WHEN m = 39 THEN substring(value, 1, length(value) // 2)
          WHEN m = 19 THEN regexp_replace(value, '"congestion":[^,]*', '"congestion":"abc"')
          WHEN m = 29 THEN regexp_replace(value, '"congestion":[^,]*', '"congestion":55.5')
+         WHEN m = 3 THEN regexp_replace(value, '"timestamp":[0-9]+', '"timestamp":' || CASE (event_id // 40) % 3
+           WHEN 0 THEN '9223372036854775807' WHEN 1 THEN '-9223372036854775808' ELSE ts || '000000' END)
          ELSE '' END
-    FROM wire WHERE m IN (9, 19, 29, 39)
+    FROM wire WHERE m IN (3, 9, 19, 29, 39)
 ),
 decoded AS (
   SELECT key, value,
@@ -223,6 +225,7 @@ CASE WHEN value IS NULL OR trim(value) = '' THEN 'empty_message'
      WHEN congestion IS NULL THEN 'null_congestion'
      WHEN NOT (congestion BETWEEN 0 AND 100) THEN 'congestion_out_of_range'
      WHEN "cellId" IS NULL OR "timestamp" IS NULL THEN 'missing_required_field'
+     WHEN "timestamp" NOT BETWEEN -62135596800000 AND 253402300799999 THEN 'bad_timestamp'
 END"""
 
 SQL: dict[str, str] = {}
@@ -237,7 +240,7 @@ SELECT coalesce("clientId", 'null_key') AS key,
 FROM geo"""
 
 SQL["decode_events"] = _with(PER_EVENT, WIRE) + f"""
-SELECT key, {', '.join(GEO_FIELDS)}, "timestamp" AS "eventTimeMs" FROM decoded"""
+SELECT key, {', '.join(GEO_FIELDS)}, CASE WHEN "timestamp" BETWEEN -62135596800000 AND 253402300799999 THEN "timestamp" END AS "eventTimeMs" FROM decoded"""
 
 SQL["clean_events"] = _with(PER_EVENT, CLEAN) + f" SELECT {', '.join(GEO_FIELDS)} FROM clean"
 
@@ -284,23 +287,24 @@ SQL["signal_floor_decisions"] = _chain(floor=FV.SIGNAL_FLOOR_DBM) + " SELECT * F
 
 SQL["external_decisions"] = _chain() + """,
 rep0 AS (
-  SELECT *, ("windowStart" // 30000 + CAST(substring("clientId", 8, 4) AS BIGINT)) % 4 AS sel,
+  SELECT *, ("windowStart" // 30000 + CAST(substring("clientId", 8, 4) AS BIGINT)) % 8 AS sel,
          CASE WHEN technology = '4G' THEN 'SKIP' ELSE 'SEND' END AS rdec
   FROM dec
 ),
 rep AS (
-  SELECT *, CASE WHEN sel IN (0, 1) THEN rdec END AS x_decision,
-         CASE WHEN sel IN (0, 1) THEN printf('Servicio: %s en %s', "clientId", "cellId") END AS x_reason,
-         CASE WHEN sel IN (0, 1) THEN (CASE WHEN rdec = 'SEND' THEN 'Activa 5G prioritario' ELSE '' END) END AS x_sms
-  FROM rep0
+  SELECT *, sel IN (0, 1, 5, 6) OR (sel = 7 AND rdec = 'SKIP') AS usable FROM rep0
 )
 SELECT "windowStart", "windowEnd", "clientId", "cellId", segment, "avgCongestion", technology,
-       CASE WHEN x_decision IS NOT NULL THEN 'external' ELSE 'rules' END AS "decisionSource",
-       coalesce(x_decision, "aiDecision") AS "aiDecision",
-       CASE WHEN x_decision IS NOT NULL THEN x_reason ELSE "aiReasoning" END AS "aiReasoning",
-       CASE WHEN x_decision IS NOT NULL THEN x_sms ELSE "smsText" END AS "smsText"
+       CASE WHEN usable THEN 'external' ELSE 'rules' END AS "decisionSource",
+       CASE WHEN usable THEN rdec ELSE "aiDecision" END AS "aiDecision",
+       CASE WHEN usable THEN printf('Servicio: %s en %s', "clientId", "cellId") ELSE "aiReasoning" END AS "aiReasoning",
+       CASE WHEN usable THEN (CASE WHEN rdec = 'SEND' THEN 'Activa 5G ``` prioritario' ELSE '' END) ELSE "smsText" END AS "smsText"
 FROM rep"""
 
+SQL["clients_per_cell"] = _with(PER_EVENT, CLEAN, DEDUP, WINDOWS) + """
+SELECT "windowStart", "windowEnd", "cellId", count(*) AS clients, CAST(sum("eventCount") AS BIGINT) AS "eventCount", true AS "withinError"
+FROM agg GROUP BY ALL"""
+
 SQL["sms_length"] = _chain() + f"""
 SELECT "windowStart", "clientId", "cellId", "aiDecision", CAST(length("smsText") AS INTEGER) AS "smsLength",
        length("smsText") <= {FV.SMS_MAX_CHARS} AS "smsFits" FROM dec"""

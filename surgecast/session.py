@@ -66,13 +66,51 @@ def shared_dir(spark: SparkSession) -> str:
     if not path:
         path = sc.getCheckpointDir()
     if not path:
-        # Unset: only the case for local tests and single-machine runs.
+        # A folder of one machine serves a local master only: on a cluster
+        # every executor would write to its own disk.
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError(f"set {CHECKPOINT_DIR_KEY} to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="surgecast-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return path
 
 
+def _path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _path(spark, path)
+    return fs.exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _path(spark, path)
+    fs.delete(p, True)
+
+
+def make_path(spark: SparkSession, path: str) -> None:
+    fs, p = _path(spark, path)
+    fs.mkdirs(p)
+
+
+def file_states(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, length, modification time) of a file or of a folder's files."""
+    fs, p = _path(spark, path)
+    return sorted((str(s.getPath()), s.getLen(), s.getModificationTime()) for s in fs.listStatus(p))
+
+
+def batch_ids(spark: SparkSession, path: str) -> list[int]:
+    """Ids of the ``batch=<id>`` folders under ``path``."""
+    fs, p = _path(spark, path)
+    if not fs.exists(p):
+        return []
+    names = (str(s.getPath().getName()) for s in fs.listStatus(p))
+    return sorted(int(n[6:]) for n in names if re.fullmatch(r"batch=\d+", n))
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared checkpoint folder."""
     base = shared_dir(spark).rstrip("/")

@@ -15,7 +15,8 @@ cell = 1 + (7 cn + 3 (event_id div 300)) % 20 and m = event_id % 40:
 
 The wire view encodes those events as JSON messages and adds, for some
 events, one extra message that must be rejected: cut-off JSON (m=39), a text
-congestion (m=19), a fractional congestion (m=29) or an empty message (m=9).
+congestion (m=19), a fractional congestion (m=29), an empty message (m=9) or
+a timestamp out of range (m=3: largest long, smallest long or nanoseconds).
 Extras fail cleaning, so they change reject counts but never candidates.
 """
 
@@ -75,6 +76,13 @@ def _per_event(events: DataFrame) -> DataFrame:
     )
 
 
+def _bad_timestamp() -> Column:
+    """By event_id div 40: largest long, smallest long, nanoseconds."""
+    kind = F.expr("(event_id div 40) % 3")
+    nanos = F.concat(F.col("timestamp").cast("string"), F.lit("000000"))
+    return F.when(kind == 0, F.lit("9223372036854775807")).when(kind == 1, F.lit("-9223372036854775808")).otherwise(nanos)
+
+
 def _copies(m: Column, item: Column) -> Column:
     """array of 1 or 2 copies of ``item`` (m=37 rows are sent twice)."""
     return F.when(m == 37, F.array(item, item)).otherwise(F.array(item))
@@ -103,12 +111,13 @@ def wire_messages(events: DataFrame) -> DataFrame:
         F.when(m == 39, F.expr("substring(value, 1, length(value) div 2)"))
         .when(m == 19, F.regexp_replace(v, '"congestion":[^,]*', '"congestion":"abc"'))
         .when(m == 29, F.regexp_replace(v, '"congestion":[^,]*', '"congestion":55.5'))
+        .when(m == 3, F.regexp_replace(v, F.lit('"timestamp":[0-9]+'), F.concat(F.lit('"timestamp":'), _bad_timestamp())))
         .otherwise(F.lit(""))
     )
     bad = F.struct(key.alias("key"), bad_value.alias("value"))
     msgs = (
         F.when(m == 37, F.array(good, good))
-        .when(m.isin(9, 19, 29, 39), F.array(good, bad))
+        .when(m.isin(3, 9, 19, 29, 39), F.array(good, bad))
         .otherwise(F.array(good))
     )
     return pe.select(F.col("timestamp").alias("ts"), F.explode(msgs).alias("msg")).select(

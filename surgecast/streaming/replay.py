@@ -1,11 +1,10 @@
 """Bounded stream runs over the driver's ``events`` table.
 
 The events are encoded as JSON messages (with the malformed extras) and
-written as time-ordered text files, one write job per slice of event ids so
-file modification times follow event time; a final file holds the sentinel
-event that closes every open window. The streaming pipeline then runs with
-``availableNow`` and one file per trigger: several micro-batches, late-data
-rules and state included, over the whole table.
+written as a fixed number of time-ordered slices, each by one parallel job;
+a final slice holds the sentinel event that closes every open window. The
+streaming pipeline then runs with ``availableNow`` and one slice per
+micro-batch, late-data rules and state included, over the whole table.
 
 Everything lives under the session's shared checkpoint folder.
 """
@@ -21,7 +20,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from surgecast.config import CampaignConfig
-from surgecast.session import work_path
+from surgecast.session import file_states, work_path
 from surgecast.sources import fixtures as FX
 from surgecast.sources.reference_tables import build_cells, build_consents, write_table
 from surgecast.streaming.runner import start_pipeline
@@ -44,49 +43,46 @@ class ReplayRun:
     plan: str = ""
 
 
-MAX_EVENTS_PER_FILE = 25_000
+BYTES_PER_FILE = 128 << 20
+MESSAGE_BYTES = 220  # of one event as JSON, about
 
 
-def write_inbox(spark: SparkSession, sf_dir: str, inbox: str, n_files: int = 5) -> int:
-    """Write the event messages as time-ordered files plus a sentinel file;
-    returns the number of files.
+def write_inbox(spark: SparkSession, sf_dir: str, inbox: str, n_slices: int = 5) -> int:
+    """Write the event messages as ``n_slices`` time-ordered slices plus one
+    with the sentinel; returns the files of a slice.
 
-    Each slice of event ids becomes exactly one file (a micro-batch reads
-    one file, so the files' order is the stream's order); the number of
-    slices grows with the table so that no file exceeds
-    ``MAX_EVENTS_PER_FILE`` source events.
+    A slice is one parallel job into the same number of files, sized by the
+    table (``BYTES_PER_FILE``), so a micro-batch of that many files is one
+    slice; the files' times put the slices in order. Rows without event_id
+    go with the first slice.
     """
     events = FX.read_events(spark, sf_dir)
-    b = events.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
-    lo, hi = int(b["lo"]), int(b["hi"])
-    n = max(n_files, -(-(hi - lo + 1) // MAX_EVENTS_PER_FILE))
-    step = max(1, -(-(hi - lo + 1) // n))
-    written = 0
-    for i in range(n):
-        a, z = lo + i * step, min(hi, lo + (i + 1) * step - 1)
-        if a > hi:
-            break
-        part = events.where(F.col("event_id").between(a, z))  # pushed to the scan
-        FX.wire_messages(part).select("value").coalesce(1).write.mode("overwrite").text(f"{inbox}/slice-{i:05d}")
-        written += 1
-    FX.sentinel_message(events).select("value").coalesce(1).write.mode("overwrite").text(
-        f"{inbox}/slice-{n:05d}-sentinel"
-    )
-    return written + 1
+    b = events.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi"), F.count(F.lit(1)).alias("n")).first()
+    lo, hi = int(b["lo"] or 0), int(b["hi"] or 0)
+    step = max(1, -(-(hi - lo + 1) // n_slices))
+    files = max(1, -(-int(b["n"]) * MESSAGE_BYTES // (n_slices * BYTES_PER_FILE)))
+    for i in range(n_slices):
+        part = events.where(F.col("event_id").between(lo + i * step, lo + (i + 1) * step - 1) | (F.col("event_id").isNull() & F.lit(i == 0)))
+        FX.wire_messages(part).select("value").repartition(files).write.mode("overwrite").text(f"{inbox}/slice-{i:05d}")
+    FX.sentinel_message(events).select("value").coalesce(1).write.mode("overwrite").text(f"{inbox}/slice-{n_slices:05d}-sentinel")
+    return files
 
 
 def replay_events_stream(
     spark: SparkSession,
     sf_dir: str,
-    n_files: int = 5,
+    n_slices: int = 5,
     cfg: CampaignConfig | None = None,
     refresh_tables: bool = False,
     reuse: bool = True,
-    timeout_s: int = 900,
 ) -> ReplayRun:
-    """Run the streaming pipeline to completion over ``events``."""
+    """Run the streaming pipeline to completion over ``events``. A run is
+    reused only while the table's files are the same (path, length, time).
+    Fails if the watermark dropped an event: the slices are in order, so none
+    may be late."""
     cfg = cfg or CampaignConfig()
-    key = (spark.sparkContext.applicationId, sf_dir, n_files, cfg, refresh_tables)
+    state = tuple(file_states(spark, f"{sf_dir.rstrip('/')}/events.parquet"))
+    key = (spark.sparkContext.applicationId, sf_dir, state, n_slices, cfg, refresh_tables)
     if reuse and key in _RUNS:
         return _RUNS[key]
     work = work_path(spark, "replay")
@@ -100,28 +96,20 @@ def replay_events_stream(
     tables = f"{work}/tables"
     write_table(build_consents(spark), f"{tables}/consents")
     write_table(build_cells(spark), f"{tables}/cells")
-    write_inbox(spark, sf_dir, run.inbox, n_files)
-    # A bounded replay needs no more state partitions than cores; the count is
-    # frozen into this run's fresh checkpoint, and the session keeps its own.
-    key_parts = "spark.sql.shuffle.partitions"
-    saved = spark.conf.get(key_parts)
-    cores = spark.sparkContext.defaultParallelism
-    if int(saved) > cores:
-        spark.conf.set(key_parts, str(cores))
-    try:
-        q, sink = _start(spark, run, tables, cfg, refresh_tables)
-    finally:
-        spark.conf.set(key_parts, saved)
+    files = write_inbox(spark, sf_dir, run.inbox, n_slices)
+    q, sink = _start(spark, run, tables, cfg, refresh_tables, files)
     try:
-        if not q.awaitTermination(timeout_s):
-            raise TimeoutError(f"replay stream did not finish in {timeout_s}s")
+        q.awaitTermination()
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
     finally:
         if q.isActive:
             q.stop()
     run.tallies = list(sink.tallies)
-    run.progress = [p for p in q.recentProgress]
+    run.progress = list(q.recentProgress)  # one per slice and one or two more
+    late = sum(int(op.get("numRowsDroppedByWatermark", 0)) for p in run.progress for op in p["stateOperators"])
+    if late:
+        raise RuntimeError(f"{late} events came after the watermark: the slices were read out of order")
     out = io.StringIO()
     with contextlib.redirect_stdout(out):
         q.explain()  # physical plan of the last micro-batch
@@ -130,10 +118,10 @@ def replay_events_stream(
     return run
 
 
-def _start(spark, run, tables, cfg, refresh_tables):
+def _start(spark, run, tables, cfg, refresh_tables, files):
     return start_pipeline(
         spark,
-        file_messages(spark, f"{run.inbox}/*", max_files_per_trigger=1),
+        file_messages(spark, f"{run.inbox}/*", max_files_per_trigger=files),
         f"{tables}/consents",
         f"{tables}/cells",
         run.feed_path,

@@ -16,6 +16,7 @@ and cell tables take effect at the next batch.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,7 +34,8 @@ from surgecast.plans.chain import campaign_plan, with_event_time
 from surgecast.schemas import GEO_EVENT_FIELDS
 from surgecast.sources import wire
 from surgecast.sources.reference_tables import read_cells, read_consents
-from surgecast.streaming.sinks import DecisionSink
+from surgecast.session import batch_ids, make_path, path_exists
+from surgecast.streaming.sinks import DecisionSink, RejectSink
 
 CLEANING_METRIC = "cleaning"
 
@@ -119,6 +121,13 @@ def start_pipeline(
 ) -> tuple[StreamingQuery, DecisionSink]:
     """Start the streaming query; returns it with its sink (for tallies)."""
     cfg = cfg or CampaignConfig()
+    if not path_exists(spark, f"{checkpoint}/offsets"):
+        # batch ids start again at 0: they must not replace another run's output
+        used = [p for p in (feed_path, sent_path) if batch_ids(spark, p)]
+        if used:
+            raise ValueError(f"a new checkpoint would overwrite the batches in {', '.join(used)}: use new sink folders or the old checkpoint")
+    for path in (feed_path, sent_path):
+        make_path(spark, path)
     sink = DecisionSink(feed_path, sent_path, cfg, kafka_enabled=kafka_sink, console_rows=console_rows)
     if refresh_tables:
         cleaned = C.clean(with_event_time(decoded_stream(messages)))
@@ -150,3 +159,34 @@ def start_pipeline(
             spark.conf.unset(key)
         else:
             spark.conf.set(key, saved)
+
+
+def start_rejects(
+    spark: SparkSession,
+    messages: DataFrame,
+    path: str,
+    checkpoint: str,
+    cfg: CampaignConfig | None = None,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """A second query over the same messages that keeps the reject table:
+    every message that cleaning drops, with its reason."""
+    cfg = cfg or CampaignConfig()
+    if not path_exists(spark, f"{checkpoint}/offsets") and batch_ids(spark, path):
+        raise ValueError(f"a new checkpoint would overwrite the batches in {path}")
+    make_path(spark, path)
+    text = messages.withColumn("value", wire.message_text("value"))
+    writer = wire.decode(text, keep=["value"]).writeStream.option("checkpointLocation", checkpoint).foreachBatch(RejectSink(path, cfg))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=cfg.trigger_interval)
+    return writer.start()
+
+
+def stop_after_batch(query: StreamingQuery, poll_s: float = 0.2) -> None:
+    """Stop the query between micro-batches: a running one is completed and
+    committed first."""
+    running = (query.lastProgress or {}).get("batchId", -1)
+    while query.isActive and query.status["isTriggerActive"]:
+        if (query.lastProgress or {}).get("batchId", -1) != running:
+            break  # that batch is committed; the next has hardly begun
+        time.sleep(poll_s)
+    query.stop()

@@ -2,9 +2,12 @@
 
 Each micro-batch is written under ``batch=<id>`` with ``overwrite``: a batch
 replayed after a failure replaces its own output instead of appending a
-second copy, so the sinks are idempotent although ``foreachBatch`` is
-at-least-once. The batch frame is persisted once and used for the tally,
-the CSV feed, the Parquet SEND table and the optional topic.
+second copy, so the file sinks are idempotent although ``foreachBatch`` is
+at-least-once; a replay without rows (or without SENDs) removes what the first
+attempt wrote. The batch frame is persisted once and used for the tally, the
+CSV feed, the Parquet SEND table and the optional topic. A topic cannot be
+overwritten: its records carry the window and the batch id, by which a
+consumer tells a replayed alert from the next window's.
 """
 
 from __future__ import annotations
@@ -15,21 +18,23 @@ from collections import deque
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surgecast.config import CampaignConfig
+from surgecast.operators import clean as C
 from surgecast.operators import reports as R
+from surgecast.session import delete_path
 
 log = logging.getLogger(__name__)
 
 
-def kafka_alert_records(alerts: DataFrame) -> DataFrame:
+def kafka_alert_records(alerts: DataFrame, **identity: Column) -> DataFrame:
     """(key, value) records for the alerts topic: key = clientId, value =
-    the alert as JSON."""
+    the alert as JSON, followed by the ``identity`` fields."""
     return alerts.select(
         F.col("clientId").cast("string").alias("key"),
-        F.to_json(F.struct(*[F.col(c) for c in alerts.columns])).alias("value"),
+        F.to_json(F.struct(*[F.col(c) for c in alerts.columns if c not in identity], *[v.alias(k) for k, v in identity.items()])).alias("value"),
     )
 
 
@@ -45,7 +50,6 @@ class DecisionSink:
     sent_path: str
     cfg: CampaignConfig = field(default_factory=CampaignConfig)
     kafka_enabled: bool = False
-    feed_files: int | None = None  # None keeps the batch's own parallelism
     console_rows: int = 0
     # recent (batch_id, candidates, sent, skipped); bounded for long-running streams
     tallies: deque = field(default_factory=lambda: deque(maxlen=1000))
@@ -55,18 +59,27 @@ class DecisionSink:
         try:
             t = R.tally(decisions).first()
             n, sent = int(t["candidates"]), int(t["sent"])
+            spark = batch_df.sparkSession
+            feed_folder, sent_folder = f"{self.feed_path}/batch={batch_id}", f"{self.sent_path}/batch={batch_id}"
+            stamp = F.lit(utc_now_iso())
+            alerts = R.alerts(decisions, stamp=stamp)
+            if n:
+                feed = self._sized(alerts, n)
+                feed.write.mode("overwrite").option("header", "true").option("nullValue", R.CSV_NULL).csv(feed_folder)
+            else:
+                delete_path(spark, feed_folder)
+            if not sent:
+                delete_path(spark, sent_folder)
             if n == 0:
                 return
-            alerts = R.alerts(decisions, stamp=F.lit(utc_now_iso()))
-            feed = alerts if self.feed_files is None else alerts.coalesce(self.feed_files)
-            feed.write.mode("overwrite").option("header", "true").option("nullValue", R.CSV_NULL).csv(
-                f"{self.feed_path}/batch={batch_id}"
-            )
             if sent:
-                R.sent_only(alerts).write.mode("overwrite").parquet(f"{self.sent_path}/batch={batch_id}")
+                self._sized(R.sent_only(alerts), sent).write.mode("overwrite").parquet(sent_folder)
                 if self.kafka_enabled:
+                    windows = [c for c in ("windowStart", "windowEnd") if c in decisions.columns]
+                    identity = {c: F.col(c) for c in windows} | {"batchId": F.lit(batch_id)}
+                    records = R.alerts(R.sent_only(decisions), stamp=stamp, extra=windows)
                     (
-                        kafka_alert_records(R.sent_only(alerts))
+                        kafka_alert_records(records, **identity)
                         .write.format("kafka")
                         .option("kafka.bootstrap.servers", self.cfg.kafka_bootstrap)
                         .option("topic", self.cfg.alerts_topic)
@@ -75,6 +88,32 @@ class DecisionSink:
             if self.console_rows:
                 R.alert_lines(alerts).show(self.console_rows, truncate=False)
             self.tallies.append((batch_id, n, sent, n - sent))
-            log.warning("[batch %d] candidates %d | SEND %d | SKIP %d", batch_id, n, sent, n - sent)
+            log.info("[batch %d] candidates %d | SEND %d | SKIP %d", batch_id, n, sent, n - sent)
         finally:
             decisions.unpersist()
+
+    def _sized(self, df: DataFrame, rows: int) -> DataFrame:
+        """As many files as the rows need, at most one per partition."""
+        return df.coalesce(max(1, -(-rows // self.cfg.rows_per_file)))
+
+
+@dataclass
+class RejectSink:
+    """``foreachBatch`` writer of the reject table: decoded messages (with
+    their ``value``) of one micro-batch -> Parquet under ``batch=<id>``."""
+
+    path: str
+    cfg: CampaignConfig = field(default_factory=CampaignConfig)
+
+    def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
+        rejected = C.rejects(batch_df, value_col="value").select("value", "rejectReason").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            n = rejected.count()
+            folder = f"{self.path}/batch={batch_id}"
+            if n:
+                files = max(1, -(-n // self.cfg.rows_per_file))
+                rejected.coalesce(files).write.mode("overwrite").parquet(folder)
+            else:
+                delete_path(batch_df.sparkSession, folder)
+        finally:
+            rejected.unpersist()

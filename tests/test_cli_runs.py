@@ -28,7 +28,7 @@ def test_cli_setup_produce_batch_report(spark, scratch, capsys):
 
 def test_processing_time_trigger_and_console(spark, scratch, capsys):
     tables = setup_tables(spark, f"{scratch}/tables")
-    write_inbox(spark, SF_SMALL, f"{scratch}/inbox", n_files=2)
+    write_inbox(spark, SF_SMALL, f"{scratch}/inbox", n_slices=2)
     q, sink = start_pipeline(
         spark,
         file_messages(spark, f"{scratch}/inbox/*", max_files_per_trigger=1),

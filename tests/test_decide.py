@@ -92,12 +92,38 @@ def test_external_replies_and_fallback(spark):
     assert out[1].aiReasoning == "api" and out[2].aiReasoning == "fenced"
 
 
-def test_join_form_equals_column_form(spark):
-    from surgecast.plans import catalog
-    from tests.conftest import SF_MID
-    from tests.helpers import spark_rows
-
-    p = catalog.plan_for(spark, SF_MID)
-    joined = with_external_decisions(p.candidates, catalog.derived_replies(p.candidates), keys=["window", "clientId", "cellId"])
-    cols = ["clientId", "cellId", "decisionSource", "aiDecision", "aiReasoning", "smsText"]
-    assert spark_rows(joined.select(*cols)) == spark_rows(catalog.q_external_decisions(spark, SF_MID).select(*cols))
+def test_replies_that_must_not_break_the_job(spark):
+    """Empty content, a later text block, duplicates, over-long SMS, fences
+    inside an SMS, and SEND below the signal floor."""
+    import json
+
+    from surgecast.config import CampaignConfig
+
+    def reply(decision="SEND", reasoning="r", sms="s"):
+        return json.dumps({"decision": decision, "reasoning": reasoning, "smsText": sms})
+
+    def api(*blocks):
+        return json.dumps({"content": [{"type": t, "text": x} for t, x in blocks]})
+
+    bodies = [
+        (0, '{"content":[]}'),
+        (1, api(("thinking", "..."), ("text", reply(reasoning="second")))),
+        (2, reply(reasoning="a")), (2, reply(reasoning="b")),
+        (3, reply(sms="x" * 161)),
+        (4, "```json\n" + reply(sms="uno ``` dos") + "\n```"),
+        (5, api(("thinking", "..."))),
+        (6, reply(sms="x" * 160)),
+        (7, None),
+    ]
+    cands = spark.createDataFrame(
+        [(i, "PREMIUM", 90, 0, "5G", -99) for i in range(8)],
+        "k int, segment string, avgCongestion int, campaignsSent int, technology string, avgSignalDbm int",
+    )
+    replies = spark.createDataFrame(bodies, "k int, reply string")
+    rows = with_external_decisions(cands, replies, keys=["k"]).collect()
+    out = {r.k: r for r in rows}
+    assert len(rows) == 8
+    assert [out[i].decisionSource for i in range(8)] == ["rules", "external", "external", "rules", "external", "rules", "external", "rules"]
+    assert out[1].aiReasoning == "second" and out[2].aiReasoning == "a" and out[4].smsText == "uno ``` dos"
+    floor = with_external_decisions(cands, replies, keys=["k"], cfg=CampaignConfig(signal_floor_dbm=-95)).collect()
+    assert {r.aiDecision for r in floor} == {"SKIP"} and {r.decisionSource for r in floor} == {"rules"}
