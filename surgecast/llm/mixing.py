@@ -88,18 +88,20 @@ def plan_sources(slim: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int
     plan = plan.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") + 1e-12)).otherwise(0))
     plan = plan.withColumn("rest", F.col("target") - F.col("epochs") * F.col("source_size"))
     plan = C.cut(plan.withColumn("_name", F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))))
+    # one row per source on the other side: no shuffle of documents by source
+    few = F.broadcast if plan.count() <= MOST_BROADCAST else (lambda df: df)
     per_cell = slim.groupBy("_name", "_cell").agg(F.sum("_size").alias("cell_size"))
     up_to = Window.partitionBy("_name").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     per_cell = per_cell.withColumn("before", F.coalesce(F.sum("cell_size").over(up_to), F.lit(0)))
     # the cell in which the rest is used up: at most one per source
-    last = per_cell.join(plan.select("_name", "rest"), "_name").where("before < rest and before + cell_size >= rest")
+    last = per_cell.join(few(plan.select("_name", "rest")), "_name").where("before < rest and before + cell_size >= rest")
     last = last.select("_name", "rest", F.col("_cell").alias("last"), "before")
-    inside = slim.join(last, "_name").where("_cell = last")
+    inside = slim.join(few(last), "_name").where("_cell = last")
     running = Window.partitionBy("_name").orderBy(F.struct(*_ORDER)).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     inside = inside.withColumn("done", F.col("before") + F.sum("_size").over(running)).where("done <= rest")
     bound = inside.groupBy("_name").agg(F.max(F.struct(*_ORDER)).alias("bound"), F.max("done").alias("done"))
     last = C.cut(last.join(bound, "_name", "left").withColumn("gap", F.col("rest") - F.coalesce("done", "before")).select("_name", "last", "bound", "gap"))
-    left = slim.where("_size > 0").join(last, "_name").where((F.col("_cell") > F.col("last")) | ((F.col("_cell") == F.col("last")) & (F.col("bound").isNull() | (F.struct(*_ORDER) > F.col("bound")))))
+    left = slim.where("_size > 0").join(few(last), "_name").where((F.col("_cell") > F.col("last")) | ((F.col("_cell") == F.col("last")) & (F.col("bound").isNull() | (F.struct(*_ORDER) > F.col("bound")))))
     nearest = left.groupBy("_name").agg(F.min(F.struct(F.abs(F.col("gap") - F.col("_size")).alias("off"), F.struct(*_ORDER).alias("at"))).alias("f"), F.first("gap").alias("gap"))
     filler = nearest.where("f.off < gap").select("_name", F.col("f.at").alias("filler"))
     return C.cut(plan.drop("source").join(last.drop("gap"), "_name", "left").join(filler, "_name", "left"))

@@ -40,7 +40,8 @@ SAMPLE = 5000
 LONGEST = 200_000
 FEATURES = 200_000
 TELLING = 20.0
-L2 = 0.5
+SCREEN = 10.0
+L2 = 0.1
 STEPS = 200
 
 _PUNCTUATION = np.zeros(256, bool)
@@ -124,10 +125,14 @@ def fit(sample: list, steps: int = STEPS) -> OrdinalModel:
     rows = np.repeat(np.arange(len(sample)), [len(w) for _, _, w in sample])
     words = np.concatenate([w for _, _, w in sample])
     grade = grades_of(toxic, rows, words)
-    names, counts = np.unique(words, return_counts=True)
-    names = names[counts >= 2]
-    if len(names) > FEATURES:
-        names = np.sort(names[np.argsort(-counts[counts >= 2], kind="stable")[:FEATURES]])
+    # features: words that lean to one side by at least SCREEN, seen twice there;
+    # ordinary words would only add up to noise in long texts
+    names, place = np.unique(words, return_inverse=True)
+    seen = np.stack([np.bincount(place, toxic[rows] == side, minlength=len(names)) for side in (0, 1)])
+    share = (seen + 0.5) / (np.bincount(toxic, minlength=2)[:, None] + 1)
+    lean = np.abs(np.log(share[1] / share[0])) >= np.log(SCREEN)
+    counts = np.where(lean & (np.where(share[1] > share[0], seen[1], seen[0]) >= 2), seen.sum(axis=0), 0)
+    names = np.sort(names[np.argsort(-counts, kind="stable")[: min(FEATURES, int((counts > 0).sum()))]])
     at = C.member(words, names)
     rows, at = rows[at >= 0], at[at >= 0]
     top = int(grade.max())
