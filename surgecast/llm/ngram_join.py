@@ -12,7 +12,9 @@ whole sequence; A-Z lower-cased). Two documents link when 100 * intersection
   prefix costs the sum of the document frequencies of its tokens, but a pair
   must then share l of them before it is verified, which leaves about (sum of
   frequencies) / l candidates; the l with the smallest estimate wins. A pair
-  is held to the smaller l of its two documents.
+  is held to the smaller l of its two documents. A match also counts only
+  if the intersection can still reach a: one, the fewer of the two documents'
+  shared tokens before it, and the fewer of their tokens after it.
 * Frequencies. Chunks of documents send (hash, document) to hash blocks;
   only hashes with two or more documents come back. A document whose unshared
   tokens already fill its prefix links with nothing and drops out here. The
@@ -298,18 +300,20 @@ def _labelled(profile: DataFrame, comps: DataFrame | None) -> DataFrame:
 
 def _across(profile: DataFrame, percent: int) -> DataFrame:
     """The multi-match prefix join between different components."""
-    post = profile.select("rep", "n", "ell", "comp", F.explode(F.arrays_zip("pre", "pos")).alias("x"))
-    # how far from the document's end the token stands (negative)
-    post = post.select("rep", "n", "ell", "comp", F.col("x.pre").alias("tok"), (F.col("x.pos") - F.col("n")).alias("rest"))
+    post = profile.select("rep", "n", "ell", "comp", F.posexplode(F.arrays_zip("pre", "pos")).alias("before", "x"))
+    # before: the document's shared tokens ahead of this one;
+    # rest: how far from the document's end the token stands (negative)
+    post = post.select("rep", "n", "ell", "comp", "before", F.col("x.pre").alias("tok"), (F.col("x.pos") - F.col("n")).alias("rest"))
     per = post.groupBy("tok", "comp").agg(F.count(F.lit(1)).alias("size"))
     stat = per.groupBy("tok").agg(F.max_by("comp", "size").alias("most"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
     post = post.join(stat.select("tok", "most"), "tok").withColumn("big", F.col("comp") == F.col("most")).drop("most")
-    left = post.where(~F.col("big")).select("tok", *[F.col(c).alias(f"l_{c}") for c in ("rep", "n", "ell", "comp", "rest")])
+    left = post.where(~F.col("big")).select("tok", *[F.col(c).alias(f"l_{c}") for c in ("rep", "n", "ell", "comp", "before", "rest")])
     both = F.ceil((F.col("n") + F.col("l_n")).cast("long") * percent / (100 + percent))  # least intersection
     ok = (
         (F.col("comp") != F.col("l_comp"))
         & (F.col("big") | (F.col("l_rep") < F.col("rep")))
         & (F.greatest("rest", "l_rest") + both <= F.least("ell", "l_ell"))
+        & (F.least("before", "l_before") + 1 - F.greatest("rest", "l_rest") >= both)
         & _similar_size("n", "l_n", percent)
     )
     right = post.withColumnRenamed("tok", "r_tok")
