@@ -50,7 +50,8 @@ _NONE = np.zeros(0, np.uint64)
 
 
 def _windows(batch: pa.RecordBatch, width: int, seed: int):
-    """Windows of the documents that have an id: (hash, minimiser, row, position)."""
+    """Windows of the documents that have an id, one document after the other:
+    (hash, minimiser, number of windows of each row)."""
     words = C.Words(batch.column("text"))
     known = batch.column("doc_id").is_valid().to_numpy(zero_copy_only=False)
     n = np.where(known, np.maximum(words.counts - width + 1, 0), 0)
@@ -66,10 +67,8 @@ def _windows(batch: pa.RecordBatch, width: int, seed: int):
         size *= 2
     if size < span:
         low = np.minimum(low[: len(low) - (span - size)], low[span - size :])
-    row = np.repeat(np.arange(len(n)), n)
-    pos = C.ranges(np.zeros(len(n), np.int64), n)
-    at = words.first[:-1][row] + pos
-    return whole[at], low[at], row, pos
+    at = C.ranges(words.first[:-1], n)
+    return whole[at], low[at], n
 
 
 def _report(batches: Iterator[pa.RecordBatch], width: int, seed: int) -> Iterator[pa.RecordBatch]:
@@ -94,31 +93,38 @@ def _report(batches: Iterator[pa.RecordBatch], width: int, seed: int) -> Iterato
 def _segments(batches: Iterator[pa.RecordBatch], width: int, seed: int, hot: np.ndarray, blocks: int) -> Iterator[pa.RecordBatch]:
     """Chunk by chunk: factors found in the chunk itself (kind 0), and the
     segments of first owners for each block (kind 1)."""
-    held, n = [], 0
+    held, size = [], 0
 
     def flush():
-        whole, low, pos = (np.concatenate([x[i] for x in held]) for i in (0, 1, 3))
-        doc, th = (np.concatenate([x[i] for x in held]) for i in (4, 5))
-        order = np.lexsort((pos, th, doc))
-        whole, low, pos, doc, th = whole[order], low[order], pos[order], doc[order], th[order]
-        src_doc, src_pos = _first_owner(whole, doc, pos)
-        mine = src_doc == doc
-        found = _parse(doc, th, pos, src_doc, src_pos, ~mine, width)
+        n, doc, th = (np.concatenate([x[i] for x in held]) for i in (2, 3, 4))
+        order = np.lexsort((th, doc))
+        at = C.ranges((np.cumsum(n) - n)[order], n[order])
+        whole = np.concatenate([x[0] for x in held])[at]
+        low = np.concatenate([x[1] for x in held])[at]
+        held.clear()
+        n, doc, th = n[order], doc[order], th[order]
+        del order, at
+        pos = C.ranges(np.zeros(len(n), np.int64), n).astype(np.int32)
+        number = np.repeat(np.arange(len(n), dtype=np.int32), n)
+        src = _first_owner(whole)
+        mine = doc[number[src]] == doc[number]
+        found = _parse(number, doc, th, pos, src, ~mine, width)
+        del src
         if len(found[0]):
             yield 0, np.array([0]), [C.blob(_pack(found))], [b""]
-        whole, low, pos, doc, th = whole[mine], low[mine], pos[mine], doc[mine], th[mine]
+        whole, low, pos, number = whole[mine], low[mine], pos[mine], number[mine]
         if not len(whole):
             return
         key = np.where(C.member(low, hot) >= 0, whole, low)
         cut = np.ones(len(key), bool)
-        cut[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]) | (th[1:] != th[:-1]) | (pos[1:] != pos[:-1] + 1)
+        cut[1:] = (key[1:] != key[:-1]) | (number[1:] != number[:-1]) | (pos[1:] != pos[:-1] + 1)
         at = np.flatnonzero(cut)
         size = np.diff(np.append(at, len(key)))
         block = (C.mix(key[at]) % np.uint64(blocks)).astype(np.int64)
         order = np.argsort(block, kind="stable")
         at, size, block = at[order], size[order], block[order]
         head = np.zeros(len(at), _HEAD)
-        head["doc"], head["th"], head["start"], head["n"] = doc[at], th[at], pos[at], size
+        head["doc"], head["th"], head["start"], head["n"] = doc[number[at]], th[number[at]], pos[at], size
         body = whole[C.ranges(at, size)]
         names, lo = np.unique(block, return_index=True)
         hi = np.append(lo[1:], len(block))
@@ -130,14 +136,15 @@ def _segments(batches: Iterator[pa.RecordBatch], width: int, seed: int, hot: np.
 
     for piece in C.text_slices(batches):
         if got := _windows(piece, width, seed):
-            row = got[2]
-            held.append((*got, C.ids_of(piece.column("doc_id"))[row].astype(np.int64), C.ids_of(piece.column("th"))[row]))
-            n += len(row)
-            if n >= CHUNK:
+            has = got[2] > 0
+            ids, ths = (C.ids_of(piece.column(c).fill_null(0))[has] for c in ("doc_id", "th"))
+            held.append((*got[:2], got[2][has], ids, ths))
+            size += len(got[0])
+            if size >= CHUNK:
                 for part in flush():
                     yield rows(*part)
-                held, n = [], 0
-    if n:
+                size = 0
+    if size:
         for part in flush():
             yield rows(*part)
 
@@ -153,24 +160,27 @@ def _pack(found) -> np.ndarray:
     return out
 
 
-def _first_owner(whole: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The index: for each window the smallest document that holds it, and the
-    first place there. Entries come sorted by document and position."""
+def _first_owner(whole: np.ndarray) -> np.ndarray:
+    """The index: for each window the entry of the smallest document that
+    holds it, at its first place there. Entries come sorted by document and
+    position."""
     order = np.argsort(whole, kind="stable")
     ordered = whole[order]
     new = np.ones(len(order), bool)
     new[1:] = ordered[1:] != ordered[:-1]
-    head = order[np.flatnonzero(new)][np.cumsum(new) - 1]
-    src_doc, src_pos = np.empty_like(doc), np.empty_like(pos)
-    src_doc[order], src_pos[order] = doc[head], pos[head]
-    return src_doc, src_pos
+    del ordered
+    src = np.empty_like(order)
+    src[order] = np.repeat(order[new], np.diff(np.append(np.flatnonzero(new), len(order))))
+    return src
 
 
-def _parse(doc, th, pos, src_doc, src_pos, copied, width):
-    """Greedy factors over the windows (sorted by document and position): one
-    runs while the next window is copied from the next place of its source."""
+def _parse(number, docs, ths, pos, src, copied, width):
+    """Greedy factors over the windows (sorted by document and position;
+    ``number`` points into ``docs`` and ``ths``): one runs while the next
+    window is copied from the next place of its source."""
     at = np.flatnonzero(copied)
-    doc, th, pos, src_doc, src_pos = doc[at], th[at], pos[at], src_doc[at], src_pos[at]
+    src = src[at]
+    doc, th, src_doc, src_pos, pos = docs[number[at]], ths[number[at]], docs[number[src]], pos[src], pos[at]
     new = np.ones(len(at), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (th[1:] != th[:-1]) | (pos[1:] != pos[:-1] + 1) | (src_doc[1:] != src_doc[:-1]) | (src_pos[1:] != src_pos[:-1] + 1)
     first = np.flatnonzero(new)
@@ -203,10 +213,11 @@ def _blocks(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Record
     head, at = head[order], at[order]
     size = head["n"].astype(np.int64)
     whole = whole[C.ranges(at, size)]
-    doc, th = np.repeat(head["doc"], size), np.repeat(head["th"], size)
-    pos = C.ranges(head["start"].astype(np.int64), size)
-    src_doc, src_pos = _first_owner(whole, doc, pos)
-    found = _parse(doc, th, pos, src_doc, src_pos, src_doc < doc, width)
+    number = np.repeat(np.arange(len(head), dtype=np.int32), size)
+    pos = C.ranges(head["start"].astype(np.int64), size).astype(np.int32)
+    docs, ths = head["doc"].copy(), head["th"].copy()
+    src = _first_owner(whole)
+    found = _parse(number, docs, ths, pos, src, docs[number[src]] < docs[number], width)
     if len(found[0]):
         yield _factor_rows(found)
 
