@@ -77,7 +77,11 @@ def _fingerprints(sets: list[np.ndarray]) -> np.ndarray:
     """64 bits that name a set: the wrapped sum of its mixed hashes, with its size."""
     n = np.array([len(s) for s in sets], np.int64)
     at = np.concatenate(([0], np.cumsum(n)))
-    total = np.concatenate(([0], np.cumsum(C.mix(np.concatenate(sets) ^ np.uint64(0x5851F42D4C957F2D))))).astype(np.uint64) if len(sets) else np.zeros(1, np.uint64)
+    # 64-bit integers throughout: the sums wrap, and a set's part of them does
+    # not depend on the sets before it
+    total = np.zeros(int(at[-1]) + 1, np.uint64)
+    if len(sets):
+        np.cumsum(C.mix(np.concatenate(sets) ^ np.uint64(0x5851F42D4C957F2D)), out=total[1:])
     return C.mix((total[at[1:]] - total[at[:-1]]) * np.uint64(0x9E3779B97F4A7C15) + n.astype(np.uint64)).view(np.int64)
 
 
@@ -134,8 +138,9 @@ def _postings(batches: Iterator[pa.RecordBatch], k: int, hot: np.ndarray, blocks
 
     for piece in C.text_slices(batches):
         sets = _sets(piece, k)
-        for s, fp in zip(sets, _fingerprints(sets).tolist()):
-            if len(s) and fp not in seen:
+        known = piece.column("doc_id").is_valid().to_pylist()
+        for s, fp, has_id in zip(sets, _fingerprints(sets).tolist(), known):
+            if has_id and len(s) and fp not in seen:
                 seen[fp] = True
                 held.append(s)
                 size += len(s)
@@ -335,7 +340,8 @@ def join_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> Data
     blocks = 8 * tasks
     classes = rows.where("n > 0 and doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"))
 
-    post = slim.where("doc_id is not null").mapInArrow(lambda b: _postings(b, k, hot, blocks), _ROWS)
+    # rows with null doc_id are left out inside: both passes cut the same slices
+    post = slim.mapInArrow(lambda b: _postings(b, k, hot, blocks), _ROWS)
     freq = post.repartition(tasks, "key").mapInArrow(_frequencies, _ROWS)
     found = freq.repartition(tasks, "chunk").mapInArrow(lambda b: _profiles(b, hot, hot_df, percent), _PROFILE)
     # one row per class; its copies in other chunks are the same

@@ -116,6 +116,34 @@ def test_join_nulls_repeats_and_empty(spark):
     assert kept == [(5, text), (9, None)]
 
 
+def test_null_ids_before_near_copies(spark):
+    """A set's fingerprint does not depend on the rows before it."""
+    rng = random.Random(21)
+    vocabulary = [f"w{i}" for i in range(4000)]
+    rows, i = [], 0
+    for _ in range(12):
+        base = [rng.choice(vocabulary) for _ in range(150)]
+        for j in range(12):
+            w = list(base)
+            w[rng.randrange(len(w))] = f"e{j // 2}"
+            rows.append((i, " ".join(w)))
+            i += 1
+    nulls = [(None, " ".join(rng.choice(vocabulary) for _ in range(90))) for _ in range(3)]
+    df = frame(spark, nulls + rows).coalesce(1)
+    got = {tuple(r) for r in N.join_components(df).where("doc_id is not null").collect()}
+    assert got == brute_components(rows)
+    kept = N.keep_one(frame(spark, nulls + rows, True).coalesce(1)).where("doc_id is not null")
+    assert {r["doc_id"] for r in kept.collect()} == {c for _, _, c in got}
+
+
+def test_fingerprint_of_a_set_is_its_own():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 1 << 63, 170, dtype=np.uint64)) for _ in range(60)]
+    alone = [int(N._fingerprints([s])[0]) for s in sets]
+    assert N._fingerprints(sets).tolist() == alone
+    assert N._fingerprints(sets[7:]).tolist() == alone[7:]
+
+
 def test_heavy_tokens_keep_links(spark, monkeypatch):
     """Hot tokens are sent by count only; the links are the same."""
     rows = near_copies(9)
