@@ -9,11 +9,13 @@ hashes throughout this subpackage, except where a module compares bytes.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +60,14 @@ def crc_mod5(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5
 
 
+def chunk_names() -> Iterator[int]:
+    """Names for the chunks of this task that no other task of its stage
+    gives, whatever the chunks hold, and that a retry gives again: partition id
+    and running number."""
+    task = TaskContext.get()
+    return itertools.count((task.partitionId() if task else 0) << 32)
+
+
 # ---------------------------------------------------------- whole texts, numpy
 
 

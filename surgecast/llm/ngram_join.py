@@ -111,12 +111,13 @@ def _postings(batches: Iterator[pa.RecordBatch], k: int, hot: np.ndarray, blocks
     """Chunk by chunk: the chunk's documents with their hot tokens (kind 0)
     and, per block, hashes with the document's number in the chunk (kind 1)."""
     held, seen, size = [], {}, 0
+    names_of_chunks = C.chunk_names()
 
     def flush():
         sets = held
         fps = np.fromiter(seen, np.int64, len(seen))
         n = np.array([len(s) for s in sets], np.int64)
-        chunk = int(C.mix(np.cumsum(C.mix(fps.view(np.uint64) + np.arange(len(fps), dtype=np.uint64)))[-1:]).view(np.int64)[0])
+        chunk = next(names_of_chunks)
         tokens = np.concatenate(sets)
         number = np.repeat(np.arange(len(n)), n)
         at = C.member(tokens, hot)
@@ -248,7 +249,7 @@ def _profiles(batches: Iterator[pa.RecordBatch], hot: np.ndarray, hot_df: np.nda
             out["n"].append(n)
             out["ell"].append(ell)
             out["central"].append(float(freq.sum()) / n)
-            out["toks"].append(C.blob(np.sort(toks)))
+            out["toks"].append(C.blob(np.unique(toks)))
             out["pre"].append(toks[:reach].view(np.int64))
             out["pos"].append(np.arange(unshared + 1, unshared + reach + 1, dtype=np.int32))
             out["hubs"].append(C.mix(np.array([C.mix(toks ^ s).min() for s in _SEEDS], np.uint64) ^ _SEEDS).view(np.int64))

@@ -144,6 +144,21 @@ def test_fingerprint_of_a_set_is_its_own():
     assert N._fingerprints(sets[7:]).tolist() == alone[7:]
 
 
+def test_equal_partitions_keep_their_chunks_apart(spark):
+    """rows + rows: chunks that hold the same sets are not merged."""
+    rng = random.Random(31)
+    vocabulary = [f"w{i}" for i in range(100_000)]
+    rows = []
+    for i in range(0, 16, 2):
+        a, b = ([rng.choice(vocabulary) for _ in range(174)] for _ in range(2))
+        rows += [(i, " ".join(a)), (i + 1, " ".join(a[:82] + b[82:]))]  # J about 0.3
+    rows.append((16, " ".join(a[:-1] + ["z"])))
+    df = spark.createDataFrame(spark.sparkContext.parallelize(rows * 8, 8), "doc_id long, text string")  # rows in each partition
+    got = [tuple(r) for r in N.join_components(df).collect()]
+    want = brute_components(rows)
+    assert sorted(got) == sorted([*want] * 8) and (16, 170, 14) in want
+
+
 def test_heavy_tokens_keep_links(spark, monkeypatch):
     """Hot tokens are sent by count only; the links are the same."""
     rows = near_copies(9)
