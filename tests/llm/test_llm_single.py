@@ -295,6 +295,20 @@ def test_lm_base_score_against_brute_force(spark):
     assert LM.score_documents(docs_of(spark, [])).count() == 0
 
 
+def test_lm_equal_partitions_are_counted_apart(spark):
+    """rows + rows: chunks that hold the same rows keep their own sums."""
+    rows = [(i, " ".join(f"w{(i * j) % 40}" for j in range(1, 30)) + f" only{i}") for i in range(20)]
+    got = LM.score_documents(spark.createDataFrame(spark.sparkContext.parallelize(rows * 6, 6), "doc_id long, text string")).collect()
+    tokens = [(i, [*words(t), None]) for i, t in rows] * 6
+    count = collections.Counter()
+    for i, w in tokens:
+        if zlib.crc32(str(i).encode()) % 5 != 1:
+            count.update(w)
+    n, v = sum(count.values()), len(count)
+    want = collections.Counter((i, len(w), sum(count[x] > 0 for x in w), round(sum(math.log10((count[x] + 0.5) / (n + 0.5 * (v + 1))) for x in w), 5)) for i, w in tokens)
+    assert collections.Counter((r["doc_id"], r["n_tokens"], r["n_known"], round(r["base_score"], 5)) for r in got) == want
+
+
 def test_gru_gradients_and_whole_document_state():
     rng = np.random.default_rng(8)
     m = LM.GruModel(np.arange(1, 131, dtype=np.uint64), np.arange(130, 0, -1).astype(float), 40.0, np.ones(1 << 16))
