@@ -5,7 +5,9 @@ kept; all but the last return the columns of ``documents``. ``run`` writes
 each result as Parquet into the shared folder and reads it again for the
 next stage.
 
-* language_id: documents without a determined language go.
+* language_id: documents without a determined language go, that is with null
+  text or without letters; text in several languages stays. If no row is
+  labelled with a language, all rows stay.
 * ngram_join: of each group of linked documents the one with the smallest
   doc_id stays; so does one of rows that repeat a doc_id.
 * substring_dedup: words in passages of 50 or more that a smaller doc_id has

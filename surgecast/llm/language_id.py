@@ -307,16 +307,19 @@ def predict(docs: DataFrame, model: CrfModel) -> DataFrame:
     return slim.mapInArrow(lambda b: _predict(b, sent.value), "doc_id long, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, model: CrfModel, least: float = 0.5) -> DataFrame:
-    """``docs`` without the rows whose language is undetermined or held with
-    a score under ``least``; all columns unchanged."""
+def keep_identified(docs: DataFrame, model: CrfModel) -> DataFrame:
+    """``docs`` without the rows whose language is undetermined (null text, or
+    text without letters); all columns unchanged. Text in several languages
+    stays, however its words are shared among them. A model without languages
+    tells nothing, and all rows stay."""
+    if not model.languages:
+        return docs
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def rows(batches):
         for piece in C.text_slices(batches):
             (got,) = _predict(iter([piece]), sent.value)
-            keep = np.array([p != UNDETERMINED for p in got.column("lang_pred").to_pylist()]) & (got.column("score").to_numpy() >= least)
-            yield piece.filter(pa.array(keep))
+            yield piece.filter(pa.array([p != UNDETERMINED for p in got.column("lang_pred").to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(rows, docs.schema)
 

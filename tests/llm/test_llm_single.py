@@ -114,6 +114,22 @@ def test_language_edges(spark):
     assert L.predict(docs_of(spark, []), model).count() == 0
 
 
+def test_identify_keeps_text_in_several_languages(spark):
+    texts = {
+        "en": "the house and the garden of this man ",
+        "fr": "le jardin et la maison de cet homme avec une ",
+        "de": "das haus und der garten von diesem mann mit einer ",
+    }
+    model = L.fit([(k, t * 4) for k, t in texts.items()] * 6)
+    mixed = "".join(t * 5 for t in texts.values())
+    found = L.predict(docs_of(spark, [(1, mixed, None, None)]), model).first()
+    assert found["lang_pred"] in texts and found["score"] < 0.5
+    rows = [(1, mixed), (2, texts["en"]), (3, "12 34"), (4, None), (None, mixed)]
+    docs = docs_of(spark, [(i, t, None, None) for i, t in rows])
+    assert sorted(str(r["doc_id"]) for r in L.keep_identified(docs, model).collect()) == ["1", "2", "None"]
+    assert L.keep_identified(docs, L.fit([])).count() == len(rows)
+
+
 def test_forward_backward_equals_enumeration():
     rng = np.random.default_rng(0)
     e, switch = rng.normal(size=(7, 2)), rng.normal(size=(2, 2))
