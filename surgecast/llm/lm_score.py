@@ -8,13 +8,22 @@ and the number of known tokens. Words that hold over 2^-18 of all tokens
 (first pass) are not sent: each chunk sends one count per such word, and
 their exact totals are broadcast for the scoring pass.
 
-Model. Tokens are the ``VOCABULARY`` most frequent words of the corpus, one
-end, and unknown words; the output softmax is factored: class given state,
+Model. Tokens are one end, unknown words, and the words that training documents
+hold at least N^(2/3) / ``SPREAD`` times (at least ``LEAST``), N being all their
+tokens: up to SPREAD * N^(1/3) words, by exact counts, so the vocabulary grows
+with the corpus and does not depend on chunks or files. The output softmax is factored: class given state,
 then word given class and state. An unknown word costs its class and its
-spelling, by a byte bigram model with corpus-wide counts. Weights are trained
-in numpy by truncated back-propagation at the driver on a bounded sample (about
-``SAMPLE`` training texts by hash of the id, up to ``LONGEST`` characters),
-from output biases that are the corpus-wide frequencies. A document is scored
+spelling, by a byte bigram model with corpus-wide counts.
+
+Training. Weights start from output biases that are the corpus-wide
+frequencies, and are trained on every token of every training document by
+truncated back-propagation inside Spark. In each of ``ROUNDS`` rounds every
+partition goes on from the common weights over its documents of that round
+(dealt by hash), and the weights of all partitions are averaged by their
+tokens, piece by piece, in tasks; the driver only gets the average. Texts are
+lanes of one batch; one of over ``STRETCH`` tokens becomes several lanes, which
+begin with an empty state but the right previous token. The weights depend on how rows
+lie in partitions, as with any averaged training. A document is scored
 whole: windows of ``WINDOW`` tokens, the state carried from one to the next;
 the documents of a slice are lanes of one batch.
 
@@ -26,10 +35,13 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
+import copy
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,13 +50,13 @@ from surgecast.llm import common as C
 CHUNK = 1 << 20  # tokens a map task combines at once
 CHUNK_DOCS = 32_000  # a document's number within its chunk has 15 bits
 PER_TASK = 1_000_000
-VOCABULARY = 4095
+SPREAD, LEAST = 64, 2  # size of the vocabulary, see above
 IN_CLASS = 64
 HIDDEN = 32
 WINDOW = 64
-SAMPLE = 1200
-LONGEST = 20_000
-LANES, TRAIN_WINDOW, PASSES = 64, 32, 2
+LANES, TRAIN_WINDOW, STRETCH = 256, 32, 4096
+ROUNDS, RATE = 3, 0.004
+PIECE = 1 << 16  # weights averaged together
 SLICE = 4 << 20
 END = np.uint64(0x9D5C_1F3A_77E1_0B2D)  # stands for the end token among word hashes
 
@@ -153,10 +165,11 @@ def _tokens(batches: Iterator[pa.RecordBatch], hot: np.ndarray, blocks: int) ->
         yield from flush()
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
     """A block: per chunk the documents' sums (kind 1: a numbers, b sums of
     log10(c + 0.5), c known tokens); exact counts of its hot words (kind 2: a
-    hashes, b counts); how many other words training documents hold (kind 3)."""
+    hashes, b counts); how many other words training documents hold (kind 3), and
+    those they hold ``least`` times (kind 4: a hashes, b counts)."""
     chunks, hashes, numbers, hot, hot_n = [], [], [], [], []
     for batch in batches:
         kind = batch.column("kind").to_numpy(zero_copy_only=False)
@@ -189,6 +202,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     group = np.cumsum(np.concatenate(([False], ordered[1:] != ordered[:-1])))
     c = np.bincount(group, number[order] >= 1 << 15)
     yield rows(3, [int((c > 0).sum())], [0], [b""], [b""], [b""])
+    often = c >= least
+    if often.any():
+        new = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+        yield rows(4, [0], [0], [C.blob(ordered[new[often]])], [C.blob(c[often].astype(np.int64))], [b""])
     count = np.empty(len(h))
     count[order] = c[group]
     names, chunk = np.unique(chunk, return_inverse=True)
@@ -238,7 +255,8 @@ class GruModel:
         order = np.argsort(words)
         self.sorted, self.rank = words[order], order
         self.size = len(words)
-        self.classes = -(-self.size // IN_CLASS) + 1
+        self.in_class = max(IN_CLASS, int(np.ceil(np.sqrt(self.size))))
+        self.classes = -(-self.size // self.in_class) + 1
         rng = np.random.default_rng(seed)
         table = lambda *shape: (rng.standard_normal(shape) * 0.1).astype(np.float32)
         self.p = {
@@ -246,12 +264,12 @@ class GruModel:
             "gates": table(HIDDEN, 2 * HIDDEN),
             "cand": table(HIDDEN, HIDDEN),
             "cls": table(HIDDEN, self.classes) * 0,
-            "word": np.zeros(((self.classes - 1) * IN_CLASS, HIDDEN), np.float32),
+            "word": np.zeros(((self.classes - 1) * self.in_class, HIDDEN), np.float32),
         }
         self.p["input"][:, :HIDDEN] += 1.0  # keep the state at first
-        padded = np.full((self.classes - 1) * IN_CLASS, 0.0)
+        padded = np.full((self.classes - 1) * self.in_class, 0.0)
         padded[: self.size] = counts
-        mass = np.append(padded.reshape(-1, IN_CLASS).sum(axis=1), unknown)
+        mass = np.append(padded.reshape(-1, self.in_class).sum(axis=1), unknown)
         self.p["cls_b"] = np.log(np.maximum(mass, 0.5) / max(1.0, mass.sum())).astype(np.float32)
         with np.errstate(divide="ignore"):
             self.p["word_b"] = np.where(np.arange(len(padded)) < self.size, np.log(np.maximum(padded, 0.5)), -1e9).astype(np.float32)
@@ -272,7 +290,7 @@ class GruModel:
 
     def log_prob(self, h: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Natural log P(y | state), the spelling of unknown words apart."""
-        cls = np.minimum(y // IN_CLASS, self.classes - 1)
+        cls = np.minimum(y // self.in_class, self.classes - 1)
         cls[y == self.size] = self.classes - 1
         logits = h @ self.p["cls"] + self.p["cls_b"]
         top = logits.max(axis=1)
@@ -282,10 +300,10 @@ class GruModel:
         for c in range(self.classes - 1):
             at = order[cuts[c] : cuts[c + 1]]
             if len(at):
-                w = slice(c * IN_CLASS, (c + 1) * IN_CLASS)
+                w = slice(c * self.in_class, (c + 1) * self.in_class)
                 s = h[at] @ self.p["word"][w].T + self.p["word_b"][w]
                 m = s.max(axis=1)
-                out[at] += s[np.arange(len(at)), y[at] - c * IN_CLASS] - m - np.log(np.exp(s - m[:, None]).sum(axis=1))
+                out[at] += s[np.arange(len(at)), y[at] - c * self.in_class] - m - np.log(np.exp(s - m[:, None]).sum(axis=1))
         return out
 
     def score(self, y: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -312,9 +330,10 @@ class GruModel:
 
     # ------------------------------------------------------------- training
 
-    def window_gradients(self, x: np.ndarray, y: np.ndarray, fresh: np.ndarray, h: np.ndarray):
-        """One truncated window: x, y, fresh (steps, lanes); gradients of the
-        mean loss, the loss, and the state to carry on."""
+    def window_gradients(self, x: np.ndarray, y: np.ndarray, fresh: np.ndarray, h: np.ndarray, inside: np.ndarray | None = None):
+        """One truncated window: x, y, fresh, inside (steps, lanes); gradients
+        of the mean loss, the loss, and the state to carry on. Places that are
+        not ``inside`` lie behind the end of their lane and do not count."""
         p, steps, lanes = self.p, *x.shape
         kept, out = [], np.empty((steps, lanes, HIDDEN), np.float32)
         for t in range(steps):
@@ -323,9 +342,12 @@ class GruModel:
             kept.append((h, z, r, n))
             h = out[t]
         flat, target = out.reshape(-1, HIDDEN), y.reshape(-1)
+        at = slice(None) if inside is None else np.flatnonzero(inside.reshape(-1))
+        flat, target = flat[at], target[at]
+        d_all, whole = np.zeros((steps * lanes, HIDDEN), np.float32), at
         count = len(target)
-        cls = np.where(target == self.size, self.classes - 1, target // IN_CLASS)
-        g = {k: np.zeros_like(v) for k, v in p.items()}
+        cls = np.where(target == self.size, self.classes - 1, target // self.in_class)
+        g = {k: np.zeros(v.shape, v.dtype) for k, v in p.items()}  # pages not touched cost nothing
         logits = flat @ p["cls"] + p["cls_b"]
         logits -= logits.max(axis=1, keepdims=True)
         prob = np.exp(logits)
@@ -340,17 +362,18 @@ class GruModel:
         for c in range(self.classes - 1):
             at = order[cuts[c] : cuts[c + 1]]
             if len(at):
-                w = slice(c * IN_CLASS, (c + 1) * IN_CLASS)
+                w = slice(c * self.in_class, (c + 1) * self.in_class)
                 s = flat[at] @ p["word"][w].T + p["word_b"][w]
                 s = np.exp(s - s.max(axis=1, keepdims=True))
                 s /= s.sum(axis=1, keepdims=True)
-                hit = target[at] - c * IN_CLASS
+                hit = target[at] - c * self.in_class
                 loss -= np.log(s[np.arange(len(at)), hit] + 1e-30).sum()
                 s[np.arange(len(at)), hit] -= 1
                 s /= count
                 g["word"][w], g["word_b"][w] = s.T @ flat[at], s.sum(axis=0)
                 d_out[at] += s @ p["word"][w]
-        d_out = d_out.reshape(steps, lanes, HIDDEN)
+        d_all[whole] = d_out
+        d_out = d_all.reshape(steps, lanes, HIDDEN)
         dh = np.zeros((lanes, HIDDEN), np.float32)
         d_in = np.empty((steps, lanes, 3 * HIDDEN), np.float32)
         for t in range(steps - 1, -1, -1):
@@ -366,41 +389,66 @@ class GruModel:
             d_in[t] = np.concatenate((gates, dn), axis=1)
             dh = d * z + drh * r + gates @ p["gates"].T
             dh = np.where(fresh[t][:, None], 0, dh).astype(np.float32)
-        np.add.at(g["input"], x.reshape(-1), d_in.reshape(-1, 3 * HIDDEN))
+        order = np.argsort(x, axis=None, kind="stable")
+        rows, first = np.unique(x.reshape(-1)[order], return_index=True)
+        g["input"][rows] = np.add.reduceat(d_in.reshape(-1, 3 * HIDDEN)[order], first)
         return g, loss / count, h
 
-    def train(self, texts: list[np.ndarray], passes: int = PASSES, rate: float = 0.004) -> list[float]:
-        """Adam over windows of the texts laid end to end in lanes."""
-        losses: list[float] = []
-        m = {k: np.zeros_like(v) for k, v in self.p.items()}
-        v = {k: np.zeros_like(x) for k, x in self.p.items()}
-        n = 0
-        for _ in range(passes if texts else 0):
-            lanes: list[list] = [[] for _ in range(min(LANES, len(texts)))]
-            load = np.zeros(len(lanes), np.int64)
+    def train(self, texts: list[np.ndarray], passes: int = 1, rate: float = RATE, adam: Adam | None = None) -> int:
+        """Adam over windows of the texts, all of each; the tokens trained on."""
+        adam, tokens = adam or Adam(self.p), 0
+        for _ in range(passes):
+            lanes: list[list] = [[] for _ in range(min(LANES, sum(-(-len(t) // STRETCH) for t in texts)))]
+            load = [(0, i) for i in range(len(lanes))]
             for t in texts:
-                i = int(load.argmin())
-                lanes[i].append(t)
-                load[i] += len(t)
-            length = int(load.min())
-            y = np.stack([np.concatenate(lane)[:length] for lane in lanes], axis=1)
-            begins = np.stack([np.concatenate([np.arange(len(t)) == 0 for t in lane])[:length] for lane in lanes], axis=1)
-            x = np.concatenate((np.full((1, len(lanes)), self.size + 1), y[:-1]))
-            x[begins] = self.size + 1
+                prev = np.append(self.size + 1, t[:-1])
+                for lo in range(0, len(t), STRETCH):
+                    part = slice(lo, lo + STRETCH)
+                    n, i = load[0]
+                    lanes[i].append((prev[part], t[part]))
+                    heapq.heapreplace(load, (n + len(t[part]), i))
+            lanes.sort(key=lambda lane: -sum(len(t) for _, t in lane))
+            size = np.array([sum(len(t) for _, t in lane) for lane in lanes], np.int64)
+            x, y = (np.zeros((int(size.max(initial=0)), len(lanes)), np.int32) for _ in range(2))
+            begins = np.zeros(x.shape, bool)
+            for i, lane in enumerate(lanes):
+                x[: size[i], i] = np.concatenate([a for a, _ in lane])
+                y[: size[i], i] = np.concatenate([t for _, t in lane])
+                begins[np.cumsum([0] + [len(t) for _, t in lane[:-1]]), i] = True
             h = np.zeros((len(lanes), HIDDEN), np.float32)
-            for lo in range(0, length, TRAIN_WINDOW):
-                s = slice(lo, lo + TRAIN_WINDOW)
-                g, loss, h = self.window_gradients(x[s], y[s], begins[s], h)
-                losses.append(float(loss))
-                n += 1
-                norm = np.sqrt(sum(float((a * a).sum()) for a in g.values()))
-                scale = min(1.0, 1.0 / (norm + 1e-9))
-                for k, a in g.items():
-                    a = a * np.float32(scale)
-                    m[k] += np.float32(0.1) * (a - m[k])
-                    v[k] += np.float32(0.01) * (a * a - v[k])
-                    self.p[k] -= np.float32(rate) * (m[k] / np.float32(1 - 0.9**n)) / (np.sqrt(v[k] / np.float32(1 - 0.99**n)) + np.float32(1e-7))
-        return losses
+            for lo in range(0, len(x), TRAIN_WINDOW):
+                live = int(np.searchsorted(-size, -lo, "left"))
+                s = slice(lo, lo + TRAIN_WINDOW), slice(0, live)
+                inside = np.arange(lo, lo + len(x[s]))[:, None] < size[:live]
+                g, _, h = self.window_gradients(x[s], y[s], begins[s], h[:live], inside)
+                known = y[s][inside & (y[s] < self.size)]
+                cls = np.unique(known // self.in_class)
+                words = (cls[:, None] * self.in_class + np.arange(self.in_class)).reshape(-1)
+                # the end of a batch, with few lanes left, takes smaller steps
+                adam.step(self.p, g, {"input": np.unique(x[s]), "word": words, "word_b": words}, rate, inside.sum() / (TRAIN_WINDOW * len(lanes)))
+            tokens += int(size.sum())
+        return tokens
+
+
+class Adam:
+    """Moments of the weights; of tables only the rows in use are moved."""
+
+    def __init__(self, p: dict):
+        self.m, self.v = ({k: np.zeros(a.shape, a.dtype) for k, a in p.items()} for _ in range(2))
+        self.n = 0
+
+    def step(self, p: dict, g: dict, rows: dict, rate: float, share: float) -> None:
+        self.n += 1
+        at = {k: rows.get(k, slice(None)) for k in p}
+        used = {k: g[k][at[k]] for k in p}
+        norm = share * np.sqrt(sum(float((a * a).sum()) for a in used.values()))
+        scale = np.float32(share * min(1.0, 1.0 / (norm + 1e-9)))
+        for k, a in used.items():
+            i, a = at[k], a * scale
+            m = self.m[k][i] + np.float32(0.1) * (a - self.m[k][i])
+            v = self.v[k][i] + np.float32(0.01) * (a * a - self.v[k][i])
+            self.m[k][i], self.v[k][i] = m, v
+            p[k][i] -= np.float32(rate) * (m / np.float32(1 - 0.9**self.n)) / (np.sqrt(v / np.float32(1 - 0.99**self.n)) + np.float32(1e-7))
 
 
 # ------------------------------------------------------------------- the query
@@ -440,10 +488,66 @@ def _score(batches: Iterator[pa.RecordBatch], model: GruModel, hot: np.ndarray,
         )
 
 
-def _sample_texts(rows: DataFrame, total_docs: int) -> list[str]:
-    u = F.pmod(F.xxhash64(F.lit("gru"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    picked = rows.where(F.col("train") & F.col("text").isNotNull() & (F.length("text") <= LONGEST) & (u * max(1, total_docs) < SAMPLE))
-    return [r["text"] for r in sorted(picked.select("doc_id", "text").collect(), key=lambda r: (r["doc_id"], r["text"]))]
+_WEIGHTS = "piece int, part int, tokens long, w binary"
+
+
+def _train_part(batches: Iterator[pa.RecordBatch], model: GruModel) -> Iterator[pa.RecordBatch]:
+    """A partition's round: its weights after all its texts, in pieces."""
+    own = copy.copy(model)
+    own.p = {k: v.copy() for k, v in model.p.items()}  # the broadcast stays as it is
+    adam, tokens = Adam(own.p), 0
+    for piece in C.text_slices(batches, limit=SLICE):
+        words = C.Words(piece.column("text"))
+        y, sizes = _sequence(own, words, words.hashes(lower=True))
+        tokens += own.train(np.split(y, np.cumsum(sizes)[:-1]), adam=adam)
+    if tokens:
+        flat = np.concatenate([own.p[k].reshape(-1) for k in sorted(own.p)])
+        part = TaskContext.get().partitionId()
+        for i, lo in enumerate(range(0, len(flat), PIECE)):
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([part], pa.int32()), pa.array([tokens]), pa.array([C.blob(flat[lo : lo + PIECE])], pa.binary())], ["piece", "part", "tokens", "w"])
+
+
+def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per piece the mean weights; rows come sorted, so that reruns agree."""
+    now, total, n = None, None, 0
+
+    def out():
+        return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([0], pa.int32()), pa.array([n]), pa.array([C.blob((total / n).astype(np.float32))], pa.binary())], ["piece", "part", "tokens", "w"])
+
+    for batch in batches:
+        for piece, tokens, w in zip(*(batch.column(c) for c in ("piece", "tokens", "w"))):
+            if piece.as_py() != now:
+                if now is not None:
+                    yield out()
+                now, total, n = piece.as_py(), 0.0, 0
+            total = total + np.frombuffer(w.as_py(), np.float32).astype(np.float64) * tokens.as_py()
+            n += tokens.as_py()
+    if now is not None:
+        yield out()
+
+
+def train_rounds(rows: DataFrame, model: GruModel, rounds: int = ROUNDS) -> int:
+    """Train ``model`` on all training rows (doc_id, text, th, train), each in
+    one of the rounds; the number of tokens trained on."""
+    spark, seen = rows.sparkSession, 0
+    size = sum(v.size for v in model.p.values())
+    tasks = min(-(-size // PIECE), C.partitions(spark, 0, 1))
+    for r in range(rounds):
+        sent = spark.sparkContext.broadcast(model)
+        mine = rows.where(F.col("train") & (F.pmod(F.xxhash64(F.lit("round"), "doc_id", "th"), F.lit(rounds)) == r))
+        parts = mine.select("text").mapInArrow(lambda b, sent=sent: _train_part(b, sent.value), _WEIGHTS)
+        mean = parts.repartition(tasks, "piece").sortWithinPartitions("piece", "part").mapInArrow(_average, _WEIGHTS)
+        got = sorted(mean.select("piece", "tokens", "w").collect())  # one model
+        sent.unpersist()
+        if not got:
+            continue
+        seen += got[0]["tokens"]
+        flat, at = np.concatenate([np.frombuffer(x["w"], np.float32) for x in got]), 0
+        for k in sorted(model.p):
+            v = model.p[k]
+            model.p[k] = flat[at : at + v.size].reshape(v.shape).copy()
+            at += v.size
+    return seen
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
@@ -460,9 +564,10 @@ def score_documents(docs: DataFrame) -> DataFrame:
     for r in grams:
         spelling[r["key"]] = r["n"]
 
+    least = max(LEAST, int(np.ceil(round(tokens ** (2 / 3), 6) / SPREAD)))
     tasks = C.partitions(spark, tokens * 5 // 4, PER_TASK)
     sent = rows.mapInArrow(lambda b: _tokens(b, hot, 8 * tasks), _ROWS)
-    counted = C.cut(sent.repartition(tasks, "key").mapInArrow(_count, _ROWS))
+    counted = C.cut(sent.repartition(tasks, "key").mapInArrow(lambda b: _count(b, least), _ROWS))
     others = counted.where("kind = 3").agg(F.sum("key")).first()[0] or 0
     found = {}
     for r in counted.where("kind = 2").select("a", "b").toLocalIterator():  # at most 2^18 hot words
@@ -470,13 +575,13 @@ def score_documents(docs: DataFrame) -> DataFrame:
     hot_n = np.array([found.get(k, 0) for k in hot.tolist()], np.int64)
     distinct = others + int((hot_n > 0).sum()) + (1 if train_docs else 0)
 
-    top = np.argsort(-hot_n, kind="stable")[:VOCABULARY]
-    names, counts = np.append(END, hot[top]), np.append(train_docs, hot_n[top]).astype(float)
+    often = [(k, n) for k, n in zip(hot.tolist(), hot_n.tolist()) if n >= least]
+    for r in counted.where("kind = 4").select("a", "b").toLocalIterator():  # at most SPREAD * N^(1/3) words
+        often += zip(np.frombuffer(r["a"], np.uint64).tolist(), np.frombuffer(r["b"], np.int64).tolist())
+    often.sort(key=lambda x: (-x[1], x[0]))
+    names, counts = np.array([int(END)] + [k for k, _ in often], np.uint64), np.array([train_docs] + [n for _, n in often], float)
     model = GruModel(names, counts, tokens - counts.sum(), spelling)
-    texts = _sample_texts(rows, train_docs)
-    words = C.Words(pa.array(texts, pa.large_string()))
-    y, sizes = _sequence(model, words, words.hashes(lower=True))
-    model.train(np.split(y, np.cumsum(sizes)[:-1]) if texts else [])
+    train_rounds(rows, model)
     sent_model = spark.sparkContext.broadcast((model, hot, hot_n))
 
     cold = counted.where("kind in (0, 1)").repartition(tasks, "chunk").mapInArrow(_collect_chunks, "doc_id long, th long, cold_sum double, cold_known long")

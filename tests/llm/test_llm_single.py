@@ -325,6 +325,24 @@ def test_lm_equal_partitions_are_counted_apart(spark):
     assert collections.Counter((r["doc_id"], r["n_tokens"], r["n_known"], round(r["base_score"], 5)) for r in got) == want
 
 
+def test_lm_learns_from_every_training_token(spark):
+    """Long texts and all lanes' ends included, whatever the partitioning."""
+    rows = [(i, " ".join(f"w{(i + j) % 50}" for j in range(1 + 37 * i % 400))) for i in range(60)] + [(99, "a b c d " * 6000), (100, None)]
+    df = docs_of(spark, [(i, t, None, None) for i, t in rows], False)
+    vocabularies, seen = [], []
+    rounds = LM.train_rounds
+
+    def watched(r, m):
+        vocabularies.append((m.sorted.tolist(), m.rank.tolist(), m.p["word_b"].tolist()))
+        seen.append(rounds(r, m))
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(LM, "train_rounds", watched)
+        got = [LM.score_documents(df.repartition(n)).collect() for n in (1, 7)]
+    assert vocabularies[0] == vocabularies[1] and len(vocabularies[0][0]) > 50
+    assert seen == [got[0][0]["train_tokens"]] * 2
+
+
 def test_gru_gradients_and_whole_document_state():
     rng = np.random.default_rng(8)
     m = LM.GruModel(np.arange(1, 131, dtype=np.uint64), np.arange(130, 0, -1).astype(float), 40.0, np.ones(1 << 16))
