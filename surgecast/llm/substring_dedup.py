@@ -16,8 +16,9 @@ words is a duplicate.
   once. A passage that a third of all documents hold costs its block one
   entry a chunk.
 * Block. The index maps each window to its first owner and place. The
-  greedy parse takes the windows of a document in order and lets a factor
-  run as long as its source continues word by word.
+  parse takes the windows of a document in order and lets a factor run while
+  the next window's first owner is the next place of the same document; there
+  is no choice of the longest match, and no factor under ``width`` words.
 * Factor boundaries. Where a factor ends, the next window is looked up anew,
   so factors may overlap, come from other sources and cross segments and
   blocks; per document, overlapping and touching factors are united.
