@@ -14,7 +14,9 @@ moved on by the totals of the buckets before. A first turn that a third of
 all conversations share is grouped (map-side) before the anti-join, which has
 one row per different prefix on either side. Rendering gives one row per
 (conversation, bucket): one for any conversation under SPAN turns, and
-otherwise parts in order, so no group grows with a conversation.
+otherwise parts in order. Buckets go by the value of turn: the rows of a
+conversation that share one turn number, or have none, stay in one bucket and
+one task, however many they are.
 
 Order within a conversation: turn (null last), then role, then text. Repeated
 turns are kept. Null role renders as ``unknown``, null text as empty; rows
@@ -41,7 +43,9 @@ def _placed(conv: DataFrame) -> DataFrame:
         F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
         F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"),
     )
-    return rows.withColumns({"bucket": bucket.cast("long"), "th": F.xxhash64("role", "text")})
+    # turns are equal as they render; a bare hash would skip nulls
+    th = F.xxhash64(F.coalesce("role", F.lit("unknown")), F.coalesce("text", F.lit("")))
+    return rows.withColumns({"bucket": bucket.cast("long"), "th": th})
 
 
 def _offsets(per_bucket: DataFrame, columns: list[str]) -> DataFrame:

@@ -165,6 +165,18 @@ def conversations(spark, rows):
     return spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, bucket int, place string, n int")
 
 
+def test_chat_nulls_collapse_as_in_sql(spark):
+    """Turns are equal as they render: a null in one column is not a null in the other."""
+    import duckdb
+
+    rows = [(1, 0, None, "x"), (2, 0, "x", None), (3, 0, "unknown", "x"), (4, 0, "user", None), (5, 0, None, "user"), (6, 0, "user", ""), (6, 1, "user", "more")]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
+    got = CF.chat_texts(conversations(spark, [(*r, 1, "p", 2) for r in rows])).collect()
+    assert sorted(tuple(r) for r in got) == sorted(con.execute(CF.ORACLE).fetchall())
+
+
 def test_chat_collapse_against_brute_force(spark, monkeypatch):
     monkeypatch.setattr(CF, "SPAN", 3)
     rng = np.random.default_rng(5)
