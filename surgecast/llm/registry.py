@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from surgecast.llm import byte_bpe, chat_format, language_id, lm_score, mixing, ngram_join, quality_rules, substring_dedup, topk_search, toxicity
+from surgecast.llm import byte_bpe, chat_format, language_id, lm_score, merkle, mixing, ngram_join, quality_rules, substring_dedup, topk_search, toxicity
 
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_lm_score": lm_score.op8_lm_score,
     "op9_exact_top_k": topk_search.op9_exact_top_k,
     "op10_substring_dedup": substring_dedup.op10_substring_dedup,
+    "op11_merkle_manifest": merkle.op11_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -23,4 +24,5 @@ SQL = {
     "op5_chat_format": chat_format.ORACLE,
     "op9_exact_top_k": topk_search.ORACLE,
     "op10_substring_dedup": substring_dedup.ORACLE,
+    "op11_merkle_manifest": merkle.ORACLE,
 }
