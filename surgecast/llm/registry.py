@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from surgecast.llm import byte_bpe, chat_format, language_id, lm_score, merkle, mixing, ngram_join, quality_rules, substring_dedup, topk_search, toxicity
+from surgecast.llm import byte_bpe, chat_format, divergence, language_id, lm_score, merkle, mixing, ngram_join, quality_rules, substring_dedup, topk_search, toxicity
 
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_exact_top_k": topk_search.op9_exact_top_k,
     "op10_substring_dedup": substring_dedup.op10_substring_dedup,
     "op11_merkle_manifest": merkle.op11_merkle_manifest,
+    "op12_source_divergence": divergence.op12_source_divergence,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -25,4 +26,5 @@ SQL = {
     "op9_exact_top_k": topk_search.ORACLE,
     "op10_substring_dedup": substring_dedup.ORACLE,
     "op11_merkle_manifest": merkle.ORACLE,
+    "op12_source_divergence": divergence.ORACLE,
 }
