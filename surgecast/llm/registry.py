@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from surgecast.llm import byte_bpe, chat_format, divergence, language_id, lm_score, merkle, mixing, ngram_join, quality_rules, substring_dedup, topk_search, toxicity
+from surgecast.llm import byte_bpe, chat_format, divergence, html_extract, language_id, lm_score, merkle, mixing, ngram_join, quality_rules, substring_dedup, topk_search, toxicity
 
 QUERIES = {
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
@@ -18,6 +18,7 @@ QUERIES = {
     "op10_substring_dedup": substring_dedup.op10_substring_dedup,
     "op11_merkle_manifest": merkle.op11_merkle_manifest,
     "op12_source_divergence": divergence.op12_source_divergence,
+    "op13_html_extract": html_extract.op13_html_extract,
     "pipeline": corpus_pipeline.run,
 }
 
