@@ -42,6 +42,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from surgecast.llm import common as C
 
@@ -553,8 +554,8 @@ def extract(pages: DataFrame, model: BlockCrf, html: str = "html", out: str = "m
     """``pages`` with the main text in column ``out`` (replaced if there)."""
     sent = pages.sparkSession.sparkContext.broadcast(model)  # 256 KB, whatever the input
     kept = [c for c in pages.columns if c != out]
-    rows = pages.select(*[F.col(f"`{c}`") for c in kept])
-    schema = rows.withColumn(out, F.lit("")).schema
+    rows = pages.drop(out)
+    schema = T.StructType([*rows.schema.fields, T.StructField(out, T.StringType())])
     place = kept.index(html)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
