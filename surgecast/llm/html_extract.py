@@ -135,7 +135,7 @@ class _Stack:
         out = ["own " + own, "in " + ">".join(near), "inner " + (near[-1] if near else "")]
         out += ["under " + n for _, n in regions]
         words = dict.fromkeys(w for _, ws in self.open[-NEAR:] for w in ws)
-        out += ["word " + w for w in words]
+        out += ["word " + w for w in words] or ["wordless " + (near[-1] if near else own), "wordless"]
         inner = next((ws for _, ws in reversed(self.open[-NEAR:]) if ws), ())
         out += ["near " + w for w in inner]
         return own, out
@@ -467,7 +467,10 @@ class _Composer:
                 pieces.insert(rng.randrange(len(pieces) + 1), self.other(kind))
         title = f"<h1>{self.text(rng.randrange(1, 12), rng.choice(['', '', '.']))}</h1>"
         title = f"<header>{title}</header>" if rng.random() < 0.1 else title
-        body = (title if rng.random() < 0.85 else "") + "".join(pieces)
+        body = (title if rng.random() < 0.8 else "") + "".join(pieces)
+        alone = rng.random() < 0.15  # a page with little or nothing around
+        if alone and rng.random() < 0.4:
+            body = rng.choice([self.sentences(), self.tag("p", self.sentences(3)), self.tag("p", self.text(3, ".")), self.text(rng.randrange(1, 9))])
         r = rng.random()
         if self.semantic and r < 0.7:
             body = rng.choice(["<article>%s</article>", "<article>%s</article>", "<main>%s</main>", "<main><article>%s</article></main>", '<article class="post">%s</article>', "<main><div>%s</div></main>"]) % body
@@ -475,11 +478,13 @@ class _Composer:
             body = self.around("main", body)
         elif r < 0.95:
             body = f"<table><tr><td>{body}</td></tr></table>"
-        if rng.random() < 0.3:
+        if not alone and rng.random() < 0.3:
             comments = self.other("comments")
             body = body[: -len("</article>")] + comments + "</article>" if body.endswith("</article>") and rng.random() < 0.3 else body + comments
         before = [k for k in ("notice", "header", "nav", "ad", "form", "side") if rng.random() < 0.5]
         after = [k for k in ("related", "side", "ad", "form", "nav") if rng.random() < 0.3] + (["footer"] if rng.random() < 0.9 else [])
+        if alone:
+            before, after = before[: rng.randrange(2)], after[: rng.randrange(2)]
         rng.shuffle(before)
         start, end = ("".join(self.other(k) for k in kinds) for kinds in (before, after))
         self.main = False
@@ -553,15 +558,15 @@ def main_texts(pages: list[str | None], model: BlockCrf) -> list[str]:
 def extract(pages: DataFrame, model: BlockCrf, html: str = "html", out: str = "main_text") -> DataFrame:
     """``pages`` with the main text in column ``out`` (replaced if there)."""
     sent = pages.sparkSession.sparkContext.broadcast(model)  # 256 KB, whatever the input
-    kept = [c for c in pages.columns if c != out]
     rows = pages.drop(out)
     schema = T.StructType([*rows.schema.fields, T.StructField(out, T.StringType())])
-    place = kept.index(html)
+    place = rows.columns.index(html)
+    rows = rows.toDF(*[f"c{i}" for i in range(len(rows.columns))])  # mapInArrow takes no names with dots
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in C.text_slices(batches, html):
+        for piece in C.text_slices(batches, f"c{place}"):
             texts = main_texts(piece.column(place).to_pylist(), sent.value)
-            yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(texts, pa.string())], [*kept, out])
+            yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(texts, pa.string())], schema.names)
 
     return rows.mapInArrow(run, schema)
 

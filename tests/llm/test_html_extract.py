@@ -120,6 +120,20 @@ def test_a_page_of_another_make(model):
     assert H.main_texts([UNSEEN], model) == ["A fine title First paragraph of the story, with some words in it. Second one, which goes on & on for a while. The end."]
 
 
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<article><p>Some text here.</p></article>", "Some text here."),
+        ("<p>First of two paragraphs, with nothing around them.</p><p>And the second one, with a few words more.</p>", "First of two paragraphs, with nothing around them. And the second one, with a few words more."),
+        ("<nav><a href=x>Menu</a></nav>", ""),
+        ("<main>Text, and more of it.</main><footer>x</footer>", "Text, and more of it."),
+        ("<footer>&copy; a b c.</footer>", ""),
+    ],
+)
+def test_small_pages(model, page, want):
+    assert H.main_texts([page], model) == [want]
+
+
 def by_markup(page):
     """The article of the given table's pages, which all mark it."""
     found = re.search(r"<article>(.*?)</article>", page, re.S)
