@@ -395,7 +395,7 @@ def _slim(docs: DataFrame) -> DataFrame:
 def encoded(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids array<int>, offsets array<int>) of each row."""
     sent = docs.sparkSession.sparkContext.broadcast(read_vocabulary(path))
-    return _slim(docs).mapInArrow(lambda b: _token_rows(b, sent), "doc_id long, ids array<int>, offsets array<int>")
+    return _slim(docs).mapInArrow(C.frugal(lambda b: _token_rows(b, sent)), "doc_id long, ids array<int>, offsets array<int>")
 
 
 def decoded(tokens: DataFrame, path: str) -> DataFrame:
@@ -408,13 +408,13 @@ def decoded(tokens: DataFrame, path: str) -> DataFrame:
             texts = [None if x is None else codec.decode(np.array(x, np.int64)).tobytes().decode("utf-8", "replace") for x in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return tokens.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").mapInArrow(rows, "doc_id long, text string")
+    return tokens.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").mapInArrow(C.frugal(rows), "doc_id long, text string")
 
 
 def token_digests(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256): encode, then decode."""
     sent = docs.sparkSession.sparkContext.broadcast(read_vocabulary(path))
-    return _slim(docs).mapInArrow(lambda b: _digests(b, sent), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return _slim(docs).mapInArrow(C.frugal(lambda b: _digests(b, sent)), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def default_path() -> str:

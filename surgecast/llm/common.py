@@ -9,8 +9,10 @@ hashes throughout this subpackage, except where a module compares bytes.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import itertools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -68,6 +70,28 @@ def chunk_names() -> Iterator[int]:
     return itertools.count((task.partitionId() if task else 0) << 32)
 
 
+def frugal(rows: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``rows`` as a function for mapInArrow that gives its memory back when
+    the task ends. Python workers are used again by later stages, and what
+    their allocators keep adds up over a long application."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from rows(batches)
+        finally:
+            give_back()
+
+    return run
+
+
+def give_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 # ---------------------------------------------------------- whole texts, numpy
 
 

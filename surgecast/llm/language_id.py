@@ -15,9 +15,10 @@ within each text, and then within all blocks at once. The cost does not
 depend on how long a single text is.
 
 The model is fitted at the driver on a bounded sample (about ``SAMPLE`` texts
-of each language, by hash of the id, up to ``LONGEST`` characters) of rows
-with a language whose crc32(doc_id) mod 5 is not 0, and broadcast (its size
-depends on the number of languages only).
+of each language, by hash of the id, up to ``LONGEST`` characters, and of
+their words at most ``TRAIN_WORDS`` a language, in runs from all over the
+texts) of rows with a language whose crc32(doc_id) mod 5 is not 0, and
+broadcast (its size depends on the number of languages only).
 
 Defined results: null text, or text without letters: ``und`` with score 0;
 null doc_id: held_out is null, never trained on; without any labelled row
@@ -35,12 +36,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from surgecast.llm import common as C
+from surgecast.operators.joins import as_side
 
 SAMPLE = 300
 LONGEST = 20_000
 STEP = 64
 EPOCHS = 30
-TRAIN_WORDS = 250_000
+TRAIN_WORDS = 60_000  # of each language, in runs drawn from all of its sampled texts
+SLICE = 1 << 19  # bytes of text at once; scratch memory is some 60 times that
 LEXICON = 3  # occurrences that make a lexicon word
 UNDETERMINED = "und"
 _BINS = 1 << 16
@@ -212,8 +215,13 @@ def fit(texts: list[tuple[str, str]], epochs: int = EPOCHS, seed: int = 7) -> Cr
             size = int(rng.integers(4, 25))
             runs.append((lo, min(hi, lo + size)))
             lo += size
-    order = rng.permutation(len(runs))
-    word = np.concatenate([np.arange(*runs[i]) for i in order])[:TRAIN_WORDS] if len(runs) else np.zeros(0, np.int64)
+    order, left = [], [TRAIN_WORDS] * k
+    for i in rng.permutation(len(runs)).tolist():
+        lo, hi = runs[i]
+        if left[label[lo]] > 0:  # each language has its own share of the words
+            left[label[lo]] -= hi - lo
+            order.append(i)
+    word = np.concatenate([np.arange(*runs[i]) for i in order]) if order else np.zeros(0, np.int64)
     word = word[: len(word) // STEP * STEP] if len(word) >= STEP else word
     chains = Chains(np.full(max(1, len(word) // STEP), min(STEP, len(word)), np.int64))
     gold = label[word]
@@ -269,7 +277,7 @@ def training_sample(docs: DataFrame, per_language: int = SAMPLE) -> list[tuple[s
     train = docs.where(F.col("lang").isNotNull() & (C.crc_mod5(F.col("doc_id")) != 0))
     counts = train.groupBy("lang").count()
     u = F.pmod(F.xxhash64(F.lit("language"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    rows = train.select("doc_id", "lang", "text").where(F.col("text").isNotNull() & (F.length("text") <= LONGEST)).join(F.broadcast(counts), "lang")
+    rows = train.select("doc_id", "lang", "text").where(F.col("text").isNotNull() & (F.length("text") <= LONGEST)).join(as_side(counts, "languages").for_join(), "lang")
     found = rows.where(u * F.col("count") < per_language).select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text")).collect()
     return [(r["lang"], r["text"]) for r in sorted(found, key=lambda r: (r["doc_id"], r["lang"], r["text"]))]
 
@@ -279,7 +287,7 @@ def _has_letter(text: str) -> bool:
 
 
 def _predict(batches: Iterator[pa.RecordBatch], model: CrfModel) -> Iterator[pa.RecordBatch]:
-    for piece in C.text_slices(batches):
+    for piece in C.text_slices(batches, limit=SLICE):
         n = piece.num_rows
         pred, score = [UNDETERMINED] * n, np.zeros(n)
         f = Features(piece.column("text"))
@@ -304,7 +312,7 @@ def predict(docs: DataFrame, model: CrfModel) -> DataFrame:
     """(doc_id, lang_pred, score) of each row."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return slim.mapInArrow(lambda b: _predict(b, sent.value), "doc_id long, lang_pred string, score double")
+    return slim.mapInArrow(C.frugal(lambda b: _predict(b, sent.value)), "doc_id long, lang_pred string, score double")
 
 
 def keep_identified(docs: DataFrame, model: CrfModel) -> DataFrame:
@@ -317,11 +325,11 @@ def keep_identified(docs: DataFrame, model: CrfModel) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def rows(batches):
-        for piece in C.text_slices(batches):
+        for piece in C.text_slices(batches, limit=SLICE):
             (got,) = _predict(iter([piece]), sent.value)
             yield piece.filter(pa.array([p != UNDETERMINED for p in got.column("lang_pred").to_pylist()], pa.bool_()))
 
-    return docs.mapInArrow(rows, docs.schema)
+    return docs.mapInArrow(C.frugal(rows), docs.schema)
 
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

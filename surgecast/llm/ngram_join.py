@@ -279,7 +279,7 @@ def verified(pairs: DataFrame, profile: DataFrame, percent: int) -> DataFrame:
     side = profile.select("rep", "n", "toks")
     both = pairs.join(side.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("toks").alias("toks_a")), "a")
     both = both.join(side.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("toks").alias("toks_b")), "b")
-    return both.mapInArrow(lambda it: _verify(it, percent), "a long, b long")
+    return both.mapInArrow(C.frugal(lambda it: _verify(it, percent)), "a long, b long")
 
 
 def _similar_size(a: str, b: str, percent: int):
@@ -333,7 +333,7 @@ def join_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> Data
     """(doc_id, n_shingles, component_id) per row of ``docs`` (doc_id, text)."""
     spark = docs.sparkSession
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    scan = C.cut(slim.mapInArrow(lambda b: _scan(b, k), "doc_id long, n long, fp long, key long, count long"))
+    scan = C.cut(slim.mapInArrow(C.frugal(lambda b: _scan(b, k)), "doc_id long, n long, fp long, key long, count long"))
     rows = scan.where("fp is not null").select("doc_id", "n", "fp")
     total = rows.agg(F.sum("n")).first()[0] or 0
     hot, hot_df = C.hot_keys(scan.where("key is not null").select("key", "count"), total)
@@ -342,9 +342,9 @@ def join_components(docs: DataFrame, k: int = K, percent: int = PERCENT) -> Data
     classes = rows.where("n > 0 and doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("rep"))
 
     # rows with null doc_id are left out inside: both passes cut the same slices
-    post = slim.mapInArrow(lambda b: _postings(b, k, hot, blocks), _ROWS)
-    freq = post.repartition(tasks, "key").mapInArrow(_frequencies, _ROWS)
-    found = freq.repartition(tasks, "chunk").mapInArrow(lambda b: _profiles(b, hot, hot_df, percent), _PROFILE)
+    post = slim.mapInArrow(C.frugal(lambda b: _postings(b, k, hot, blocks)), _ROWS)
+    freq = post.repartition(tasks, "key").mapInArrow(C.frugal(_frequencies), _ROWS)
+    found = freq.repartition(tasks, "chunk").mapInArrow(C.frugal(lambda b: _profiles(b, hot, hot_df, percent)), _PROFILE)
     # one row per class; its copies in other chunks are the same
     found = found.groupBy("fp").agg(F.first(F.struct(*[c for c in found.columns if c != "fp"])).alias("x")).select("fp", "x.*")
     profile = C.cut(found.join(classes, "fp").drop("fp"))

@@ -234,15 +234,15 @@ def factors(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     spark = docs.sparkSession
     seed = max(1, width // 2)
     rows = _keyed(docs)
-    report = C.cut(rows.select("doc_id", "text").mapInArrow(lambda b: _report(b, width, seed), "key long, count long"))
+    report = C.cut(rows.select("doc_id", "text").mapInArrow(C.frugal(lambda b: _report(b, width, seed)), "key long, count long"))
     total = report.where("key is null").agg(F.sum("count")).first()[0] or 0
     hot, _ = C.hot_keys(report.where("key is not null"), total)
     tasks = C.partitions(spark, total, PER_TASK)
     blocks = 8 * tasks
-    sent = rows.mapInArrow(lambda b: _segments(b, width, seed, hot, blocks), _SEGMENTS)
+    sent = rows.mapInArrow(C.frugal(lambda b: _segments(b, width, seed, hot, blocks)), _SEGMENTS)
     # factors found in a chunk are spread over all tasks; blocks go by name
     key = F.when(F.col("kind") == 0, F.xxhash64("head")).otherwise(F.col("block"))
-    return sent.repartition(tasks, key).mapInArrow(lambda b: _blocks(b, width), _FACTORS)
+    return sent.repartition(tasks, key).mapInArrow(C.frugal(lambda b: _blocks(b, width)), _FACTORS)
 
 
 def covered(start: np.ndarray, size: np.ndarray, n: int) -> np.ndarray:
@@ -305,7 +305,7 @@ def removed_words(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """Per document: doc_id, n_words, n_removed, kept_sha256."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
-    return _with_spans(slim, width).mapInArrow(lambda b: _in_order(_cut_words(b, False), schema), schema)
+    return _with_spans(slim, width).mapInArrow(C.frugal(lambda b: _in_order(_cut_words(b, False), schema)), schema)
 
 
 def remove_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -313,7 +313,7 @@ def remove_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     before each kept word stay. Other columns are unchanged."""
     fields = docs.schema
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return _with_spans(docs, width).mapInArrow(lambda b: _in_order(_cut_words(b, True), None, fields.names), schema)
+    return _with_spans(docs, width).mapInArrow(C.frugal(lambda b: _in_order(_cut_words(b, True), None, fields.names)), schema)
 
 
 def _in_order(batches, schema: str | None, names: list[str] | None = None):
