@@ -14,12 +14,14 @@ gives equal output on every run.
 Running sums of a hot source are not one task's work: keys fall into
 ``CELLS`` cells per source; cell totals are summed up first (at most CELLS
 rows a source), and only the cell in which the budget ends is sorted row by
-row.
+row, rows that repeat doc_id and text as one with a count. Where the budget ends
+among such rows, as many of them are taken as fit: they are numbered within
+their partitions, with the counts of the partitions before, not in one task.
 
 Defined results: null text has size 0; null source is a source of its own,
 last in the order; documents of size 0 are taken 0 times; repeated rows count
-as separate documents (with the same key, in the order of their text hash);
-an empty table gives an empty result.
+as separate documents (with the same key, in the order of their text hash), any
+of which may be the ones taken; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -81,8 +83,10 @@ _ORDER = ("_key", "_id", "_th")
 def plan_sources(slim: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """One row per source: source_size, target, epochs, and what the
     fractional epoch takes: all cells below ``last``, within it the documents
-    up to ``bound`` (key, id, th), and one more (``filler``): of those left
-    the one whose size comes nearest to what is then missing."""
+    up to ``bound`` (key, id, th), of the rows that repeat the next one
+    (``part``) the first ``part_take``, and one more (``filler``, which
+    ``filler_rows`` rows repeat): of those left the one whose size comes
+    nearest to what is then missing."""
     sums = slim.groupBy("_name").agg(F.first("source").alias("source"), F.sum("_size").alias("source_size"))
     plan = targets(sums.select("source", "source_size"), weights, most)
     plan = plan.withColumn("epochs", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") + 1e-12)).otherwise(0))
@@ -97,14 +101,26 @@ def plan_sources(slim: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int
     last = per_cell.join(few(plan.select("_name", "rest")), "_name").where("before < rest and before + cell_size >= rest")
     last = last.select("_name", "rest", F.col("_cell").alias("last"), "before")
     inside = slim.join(few(last), "_name").where("_cell = last")
-    running = Window.partitionBy("_name").orderBy(F.struct(*_ORDER)).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    inside = inside.withColumn("done", F.col("before") + F.sum("_size").over(running)).where("done <= rest")
-    bound = inside.groupBy("_name").agg(F.max(F.struct(*_ORDER)).alias("bound"), F.max("done").alias("done"))
-    last = C.cut(last.join(bound, "_name", "left").withColumn("gap", F.col("rest") - F.coalesce("done", "before")).select("_name", "last", "bound", "gap"))
-    left = slim.where("_size > 0").join(few(last), "_name").where((F.col("_cell") > F.col("last")) | ((F.col("_cell") == F.col("last")) & (F.col("bound").isNull() | (F.struct(*_ORDER) > F.col("bound")))))
-    nearest = left.groupBy("_name").agg(F.min(F.struct(F.abs(F.col("gap") - F.col("_size")).alias("off"), F.struct(*_ORDER).alias("at"))).alias("f"), F.first("gap").alias("gap"))
-    filler = nearest.where("f.off < gap").select("_name", F.col("f.at").alias("filler"))
-    return C.cut(plan.drop("source").join(last.drop("gap"), "_name", "left").join(filler, "_name", "left"))
+    inside = inside.groupBy("_name", "rest", "before", *_ORDER).agg(F.first("_size").alias("_size"), F.count(F.lit(1)).alias("rows"))
+    running = Window.partitionBy("_name").orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = inside.withColumn("done", F.col("before") + F.sum(F.col("_size") * F.col("rows")).over(running))
+    whole, at = F.col("done") <= F.col("rest"), F.struct(*_ORDER)
+    # of the first rows that do not fit as a whole, as many as fit
+    fit = F.floor(F.try_divide(F.col("rest") - F.col("done"), F.col("_size")) + F.col("rows") + 1e-12)
+    part = F.struct(at.alias("at"), fit.alias("take"), "_size")
+    bound = inside.groupBy("_name").agg(F.max(F.when(whole, at)).alias("bound"), F.max(F.when(whole, F.col("done"))).alias("done"), F.min(F.when(~whole, part)).alias("part"))
+    last = last.join(bound, "_name", "left").withColumn("part_take", F.coalesce("part.take", F.lit(0)))
+    gap = F.col("rest") - F.coalesce("done", "before") - F.coalesce(F.col("part_take") * F.col("part._size"), F.lit(0))
+    last = C.cut(last.select("_name", "last", "bound", F.when(F.col("part_take") > 0, F.col("part.at")).alias("part"), "part_take", gap.alias("gap")))
+    left = slim.where("_size > 0").join(few(last), "_name").where((F.col("_cell") > F.col("last")) | ((F.col("_cell") == F.col("last")) & (F.col("bound").isNull() | (at > F.col("bound")))))
+    off = F.abs(F.col("gap") - F.col("_size"))
+    nearest = left.groupBy("_name", *_ORDER).agg(F.min(off).alias("off"), F.count(F.lit(1)).alias("rows"), F.first("gap").alias("gap"))
+    nearest = nearest.groupBy("_name").agg(F.min(F.struct("off", at.alias("at"), "rows")).alias("f"), F.first("gap").alias("gap"))
+    filler = nearest.where("f.off < gap").select("_name", F.col("f.at").alias("filler"), F.col("f.rows").alias("filler_rows"))
+    plan = plan.drop("source").join(last.drop("gap"), "_name", "left").join(filler, "_name", "left")
+    more = F.coalesce(F.col("filler") == F.col("part"), F.lit(False))  # one more of the same rows
+    plan = plan.withColumn("part_take", F.col("part_take") + more.cast("long")).withColumn("filler", F.when(~more, F.col("filler")))
+    return C.cut(plan)
 
 
 MOST_BROADCAST = 20_000  # sources; a row has under 200 bytes
@@ -114,12 +130,29 @@ def _decided(rows: DataFrame, plan: DataFrame, most: int) -> DataFrame:
     """Keyed rows with the plan of their source and ``copies``."""
     small = plan.count() <= MOST_BROADCAST
     rows = rows.join(F.broadcast(plan) if small else plan, "_name")
-    at = F.struct(*_ORDER)
-    below = (F.col("_cell") < F.col("last")) | ((F.col("_cell") == F.col("last")) & (at <= F.col("bound")))
-    extra = F.when(F.col("last").isNull(), F.col("rest") > 0).otherwise(below | (at == F.col("filler")))
-    extra = F.coalesce(extra, below, F.lit(False)).cast("long")
-    times = F.when(F.col("_size") > 0, F.least(F.lit(most), F.col("epochs") + extra)).otherwise(0)
-    return rows.withColumn("copies", times.cast("int"))
+    at, no = F.struct(*_ORDER), F.lit(False)
+    below = F.coalesce(F.col("_cell") < F.col("last"), no) | F.coalesce((F.col("_cell") == F.col("last")) & (at <= F.col("bound")), no)
+    here = F.when(F.col("last").isNull(), F.col("rest") > 0).otherwise(below | F.coalesce((at == F.col("filler")) & (F.col("filler_rows") == 1), no))
+    # of rows that repeat one another only some are taken
+    some = F.when(F.coalesce(at == F.col("part"), no), F.col("part_take")).when(F.coalesce((at == F.col("filler")) & (F.col("filler_rows") > 1), no), F.lit(1))
+
+    def with_copies(df: DataFrame, extra: Column) -> DataFrame:
+        times = F.when(F.col("_size") > 0, F.least(F.lit(most), F.col("epochs") + extra.cast("long"))).otherwise(0)
+        return df.withColumn("copies", times.cast("int"))
+
+    if plan.where("part_take > 0 or filler_rows > 1").isEmpty():
+        return with_copies(rows, here)
+    rows = rows.withColumn("_some", some)
+    tied = C.cut(rows.where("_some is not null")).withColumn("_part", F.spark_partition_id()).withColumn("_m", F.monotonically_increasing_id())
+    same = ["_name", *_ORDER]
+    tied = C.cut(tied)
+    parts = tied.groupBy(*same, "_part").agg(F.count(F.lit(1)).alias("_rows"))
+    ahead = Window.partitionBy(*same).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("_ahead", F.coalesce(F.sum("_rows").over(ahead), F.lit(0))).drop("_rows")
+    place = F.row_number().over(Window.partitionBy(*same, "_part").orderBy("_m")) + F.col("_ahead")
+    tied = with_copies(tied.join(parts, [*same, "_part"]).withColumn("_place", place), F.col("_place") <= F.col("_some"))
+    plain = with_copies(rows.where("_some is null"), here)
+    return plain.unionByName(tied.select(*plain.columns))
 
 
 def _slim(keyed: DataFrame) -> DataFrame:
