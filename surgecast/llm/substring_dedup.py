@@ -253,10 +253,10 @@ def covered(start: np.ndarray, size: np.ndarray, n: int) -> np.ndarray:
     return np.cumsum(delta[:n]) > 0
 
 
-def _cut_words(batches: Iterator[pa.RecordBatch], lines: bool) -> Iterator[pa.RecordBatch]:
-    for piece in C.text_slices(batches):
-        words = C.Words(piece.column("text"))
-        spans = piece.column("__spans").to_pylist()
+def _cut_words(batches: Iterator[pa.RecordBatch], lines: bool, text: str = "text", at: str = "spans") -> Iterator[pa.RecordBatch]:
+    for piece in C.text_slices(batches, text):
+        words = C.Words(piece.column(text))
+        spans = piece.column(at).to_pylist()
         n_removed, kept, digest = [], [], []
         for i, spanned in enumerate(spans):
             lo, hi = int(words.first[i]), int(words.first[i + 1])
@@ -269,7 +269,7 @@ def _cut_words(batches: Iterator[pa.RecordBatch], lines: bool) -> Iterator[pa.Re
             if lines:
                 # the separators before a kept word stay as they are
                 if not n_removed[-1]:
-                    kept.append(piece.column("text")[i].as_py())
+                    kept.append(piece.column(text)[i].as_py())
                 else:
                     d0, d1 = int(words.offsets[i]), int(words.offsets[i + 1])
                     drop = np.zeros(d1 - d0 + 1, np.int64)
@@ -279,9 +279,9 @@ def _cut_words(batches: Iterator[pa.RecordBatch], lines: bool) -> Iterator[pa.Re
                     kept.append(words.data[d0:d1][np.cumsum(drop[:-1]) == 0].tobytes().decode("utf-8", "replace").strip(" \t\n\v\f\r"))
             else:
                 digest.append(hashlib.sha256(b" ".join(_tokens(words, left))).hexdigest())
-        cols = {f: piece.column(f) for f in piece.schema.names if f not in ("text", "__spans")}
+        cols = {f: piece.column(f) for f in piece.schema.names if f not in (text, at)}
         if lines:
-            cols["text"] = pa.array(kept, pa.string())
+            cols[text] = pa.array(kept, pa.string())
         else:
             cols |= {"n_words": pa.array(words.counts, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "kept_sha256": pa.array(digest, pa.string())}
         yield pa.RecordBatch.from_pydict(cols)
@@ -292,13 +292,20 @@ def _tokens(words: C.Words, at: np.ndarray) -> list[bytes]:
     return [raw[a:b] for a, b in zip(s, e)]
 
 
-def _with_spans(docs: DataFrame, width: int) -> DataFrame:
-    """``docs`` with the array of its factors (null if none). The array of a
-    document is bounded by its own length: factors start at different words."""
-    found = factors(docs, width)
-    per = C.cut(found.groupBy(F.col("doc").alias("__doc"), F.col("th").alias("__th")).agg(F.collect_list(F.struct("start", "size")).alias("__spans")))
-    on = (docs["doc_id"].cast("long") == per["__doc"]) & (F.xxhash64(docs["text"].cast("string")) == per["__th"])
-    return docs.join(per, on, "left").drop("__doc", "__th")
+def _spans(docs: DataFrame, width: int) -> DataFrame:
+    """(doc, th, spans): the factors of each document with any. The array is
+    bounded by the text's own length, however often the row is repeated: of
+    factors that start at one word the longest counts, once."""
+    longest = factors(docs, width).groupBy("doc", "th", "start").agg(F.max("size").alias("size"))
+    return C.cut(longest.groupBy("doc", "th").agg(F.collect_list(F.struct("start", "size")).alias("spans")))
+
+
+def _with_spans(docs: DataFrame, width: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with the array of its factors (``spans``, null if none)."""
+    named = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    per = _spans(named, width)
+    on = (docs[doc_id].cast("long") == per["doc"]) & (F.xxhash64(docs[text].cast("string")) == per["th"])
+    return docs.join(per, on, "left").drop("doc", "th")
 
 
 def removed_words(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -311,9 +318,15 @@ def removed_words(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 def remove_duplicates(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``docs`` with the duplicate words cut out of ``text``; the separators
     before each kept word stay. Other columns are unchanged."""
-    fields = docs.schema
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
-    return _with_spans(docs, width).mapInArrow(C.frugal(lambda b: _in_order(_cut_words(b, True), None, fields.names)), schema)
+    schema, names = docs.schema, [f"c{i}" for i in range(len(docs.columns))]
+    doc_id, text = (names[docs.columns.index(c)] for c in ("doc_id", "text"))
+    rows = _with_spans(docs.toDF(*names), width, doc_id, text)  # no name clashes
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _in_order(_cut_words(batches, True, text), None, names):
+            yield batch.rename_columns(schema.names)
+
+    return rows.mapInArrow(C.frugal(run), schema)
 
 
 def _in_order(batches, schema: str | None, names: list[str] | None = None):
