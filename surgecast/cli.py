@@ -25,10 +25,10 @@ from pyspark.sql import functions as F
 from surgecast.config import CampaignConfig
 from surgecast.operators import reports as R
 from surgecast.plans.chain import campaign_plan
-from surgecast.session import batch_ids, build_session
+from surgecast.session import batch_ids, build_session, path_exists
 from surgecast.sources import wire
-from surgecast.sources.reference_tables import read_cells, read_consents, setup_tables
-from surgecast.streaming.runner import start_pipeline, start_rejects, stop_after_batch
+from surgecast.sources.reference_tables import read_cells, read_consents, read_replies, read_table, setup_tables
+from surgecast.streaming.runner import clean_events, start_intake, start_pipeline, start_summary, stop_after_batch
 from surgecast.streaming.sinks import DecisionSink, RejectSink
 from surgecast.streaming.sources import file_messages, kafka_messages
 
@@ -41,7 +41,10 @@ def _paths(base: str) -> dict[str, str]:
         "feed": f"{b}/dashboard-feed",
         "sent": f"{b}/sent",
         "rejects": f"{b}/rejects",
-        "rejects_checkpoint": f"{b}/rejects-checkpoint",
+        "intake": f"{b}/intake",
+        "intake_checkpoint": f"{b}/intake-checkpoint",
+        "summary": f"{b}/summary",
+        "summary_checkpoint": f"{b}/summary-checkpoint",
         "checkpoint": f"{b}/checkpoint",
     }
 
@@ -86,6 +89,13 @@ def cmd_stream(spark, args):
         messages = kafka_messages(spark, cfg)
     else:
         messages = file_messages(spark, args.path, max_files_per_trigger=args.max_files)
+    queries, asked = [], stop_on_signals()
+    if args.rejects:
+        # decode once: the pipeline reads the clean part of the intake table
+        queries.append(start_intake(spark, messages, p["intake"], p["intake_checkpoint"], cfg, available_now=args.available_now))
+        if args.available_now:
+            wait_for(queries, asked)
+        messages = clean_events(spark, p["intake"], max_files_per_trigger=args.max_files)
     q, _ = start_pipeline(
         spark,
         messages,
@@ -99,13 +109,14 @@ def cmd_stream(spark, args):
         refresh_tables=args.refresh_tables,
         kafka_sink=args.kafka_sink,
         console_rows=args.console_rows,
+        replies_path=args.replies,
     )
-
-    queries = [q]
-    if args.rejects:
-        again = kafka_messages(spark, cfg) if args.source == "kafka" else file_messages(spark, args.path, max_files_per_trigger=args.max_files)
-        queries.append(start_rejects(spark, again, p["rejects"], p["rejects_checkpoint"], cfg, available_now=args.available_now))
-    wait_for(queries, stop_on_signals())
+    queries.append(q)
+    if args.summary:
+        if args.available_now:
+            wait_for(queries, asked)
+        queries.append(start_summary(spark, p["feed"], p["summary"], p["summary_checkpoint"], cfg, available_now=args.available_now))
+    wait_for(queries, asked)
 
 
 def stop_on_signals() -> threading.Event:
@@ -138,7 +149,8 @@ def cmd_batch(spark, args):
     if args.rejects:
         RejectSink(p["rejects"], cfg)(decoded, batch_id)
     events = decoded.drop("value")
-    plan = campaign_plan(events, read_consents(spark, p["consents"]), read_cells(spark, p["cells"]), cfg)
+    replies = read_replies(spark, args.replies) if args.replies else None
+    plan = campaign_plan(events, read_consents(spark, p["consents"]), read_cells(spark, p["cells"]), cfg, replies=replies)
     from surgecast.operators.windows import flatten_window
 
     DecisionSink(p["feed"], p["sent"], cfg, console_rows=args.console_rows)(flatten_window(plan.decisions), batch_id)
@@ -148,6 +160,8 @@ def cmd_report(spark, args):
     sent = R.read_sent(spark, _paths(args.base)["sent"])
     sent.orderBy(F.col("batch"), F.col("clientId")).show(args.rows, truncate=False)
     R.alert_summary(R.read_feed(spark, _paths(args.base)["feed"])).orderBy("segment", "aiDecision").show()
+    if path_exists(spark, _paths(args.base)["summary"]):
+        read_table(spark, _paths(args.base)["summary"]).orderBy("segment", "aiDecision").show()
 
 
 def main(argv=None, spark=None):
@@ -172,6 +186,7 @@ def main(argv=None, spark=None):
         _config_options(s)
         s.add_argument("--console-rows", type=int, default=0)
         s.add_argument("--rejects", action="store_true", help="also write the reject table")
+        s.add_argument("--replies", default=None, help="reply table of an outside decision service")
     st = sub.choices["stream"]
     st.add_argument("--source", choices=["kafka", "files"], default="kafka")
     st.add_argument("--path", default=None)
@@ -180,6 +195,7 @@ def main(argv=None, spark=None):
     st.add_argument("--available-now", action="store_true")
     st.add_argument("--refresh-tables", action="store_true")
     st.add_argument("--kafka-sink", action="store_true")
+    st.add_argument("--summary", action="store_true", help="also keep a running summary of the alerts")
     bt = sub.choices["batch"]
     bt.add_argument("--messages", required=True)
     bt.add_argument("--batch-id", type=int, default=None, help="default: the next free id")

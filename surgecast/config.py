@@ -36,10 +36,17 @@ class CampaignConfig:
     # None -> use spark.sql.autoBroadcastJoinThreshold of the session.
     broadcast_max_bytes: int | None = None
     # Filter events on eligible clients / cells before the stateful stages
-    # (semantics preserving for the candidate chain; applied only when the
-    # static side is small enough to broadcast).
+    # (semantics preserving for the candidate chain, at any table size).
     prefilter_eligible: bool = True
 
+    # events more than this ahead of the processing time are rejected before
+    # the watermark sees them; empty: no bound
+    max_ahead: str | None = "1 hour"
+
+    # replies of an outside decision service count when they came at most this
+    # long after their window's end
+    reply_lateness: str = "5 minutes"
+
     # streaming
     trigger_interval: str = "15 seconds"
     max_offsets_per_trigger: int = 1000

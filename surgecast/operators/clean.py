@@ -3,9 +3,13 @@
 A row is valid when its client id is present and not blank, its signal is
 present, its congestion is within 0..100 (a null congestion counts as -1 and
 is dropped), the fields needed downstream (cellId, timestamp) are present
-(the schema's ``nullable=false`` is not enforced by ``from_json``), and the
+(the schema's ``nullable=false`` is not enforced by ``from_json``), the
 timestamp is one (a value beyond the timestamp range, such as nanoseconds in
-place of milliseconds, would stop the query on every restart).
+place of milliseconds, would stop the query on every restart), and, where a
+bound ``ahead`` is given, it is at most that far beyond the processing time: a
+single event of a far future would move the watermark there, and every later
+event would be dropped as late. In a stream the processing time is the
+micro-batch's own, which a replay keeps.
 
 All predicates are plain column expressions, so Catalyst can push them into
 scans and keep them in whole-stage code generation.
@@ -17,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from surgecast.functions.columns import representable_time
+from surgecast.operators.windows import duration_ms
 from surgecast.sources.wire import CORRUPT_COL
 
 # reject reasons, in the order they are tested
@@ -29,6 +34,7 @@ R_NULL_CONGESTION = "null_congestion"
 R_CONGESTION_RANGE = "congestion_out_of_range"
 R_MISSING_FIELD = "missing_required_field"
 R_BAD_TIMESTAMP = "bad_timestamp"
+R_FUTURE = "future_timestamp"
 REJECT_REASONS = [
     R_EMPTY,
     R_MALFORMED,
@@ -39,6 +45,7 @@ REJECT_REASONS = [
     R_CONGESTION_RANGE,
     R_MISSING_FIELD,
     R_BAD_TIMESTAMP,
+    R_FUTURE,
 ]
 
 
@@ -60,16 +67,25 @@ def required_present() -> Column:
     return F.col("cellId").isNotNull() & F.col("timestamp").isNotNull()
 
 
-def is_valid() -> Column:
-    return valid_client() & valid_signal() & valid_congestion() & required_present() & representable_time()
+def not_ahead(ahead: str) -> Column:
+    """Is the event at most ``ahead`` beyond the processing time?"""
+    bound = duration_ms(ahead)
+    if bound is None:
+        raise ValueError(f"not a duration: {ahead!r}")
+    return F.col("timestamp") <= F.unix_millis(F.current_timestamp()) + F.lit(bound)
 
 
-def clean(events: DataFrame) -> DataFrame:
+def is_valid(ahead: str | None = None) -> Column:
+    valid = valid_client() & valid_signal() & valid_congestion() & required_present() & representable_time()
+    return valid & not_ahead(ahead) if ahead else valid
+
+
+def clean(events: DataFrame, ahead: str | None = None) -> DataFrame:
     """Keep valid events only."""
-    return events.where(is_valid())
+    return events.where(is_valid(ahead))
 
 
-def reject_reason(value_col: str | None = None) -> Column:
+def reject_reason(value_col: str | None = None, ahead: str | None = None) -> Column:
     """First failed rule, or null for a valid row.
 
     ``value_col`` names the raw message text (decoded input only); without it
@@ -94,16 +110,18 @@ def reject_reason(value_col: str | None = None) -> Column:
     nxt(~F.col("congestion").between(0, 100), R_CONGESTION_RANGE)
     nxt(~required_present(), R_MISSING_FIELD)
     nxt(~representable_time(), R_BAD_TIMESTAMP)
+    if ahead:
+        nxt(~not_ahead(ahead), R_FUTURE)
     return chain
 
 
-def with_reject_reason(events: DataFrame, value_col: str | None = None) -> DataFrame:
-    return events.withColumn("rejectReason", reject_reason(value_col))
+def with_reject_reason(events: DataFrame, value_col: str | None = None, ahead: str | None = None) -> DataFrame:
+    return events.withColumn("rejectReason", reject_reason(value_col, ahead))
 
 
-def rejects(events: DataFrame, value_col: str | None = None) -> DataFrame:
+def rejects(events: DataFrame, value_col: str | None = None, ahead: str | None = None) -> DataFrame:
     """The reject table: every input row that fails cleaning, with its reason."""
-    return with_reject_reason(events, value_col).where(F.col("rejectReason").isNotNull())
+    return with_reject_reason(events, value_col, ahead).where(F.col("rejectReason").isNotNull())
 
 
 def reject_summary(events: DataFrame, value_col: str | None = None) -> DataFrame:

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from surgecast import schemas
 from surgecast.config import CampaignConfig
 from surgecast.functions import fixed_values as FV
+from surgecast.functions.columns import epoch_millis
+from surgecast.operators.windows import duration_ms
 
 # our own reason text for the optional signal floor (not a reference value)
 SIGNAL_FLOOR_REASON_FMT = "Señal %d dBm por debajo del mínimo %d dBm"
@@ -132,6 +134,7 @@ def apply_replies(df: DataFrame, body_col: str = "reply", cfg: CampaignConfig |
             "aiDecision": F.when(usable, r["decision"]).otherwise(rules["aiDecision"]),
             "aiReasoning": F.when(usable, F.coalesce(r["reasoning"], F.lit(""))).otherwise(rules["aiReasoning"]),
             "smsText": F.when(usable, F.coalesce(r["smsText"], F.lit(""))).otherwise(rules["smsText"]),
+            "skipCode": F.when(~usable, rules["skipCode"]),
         }
     ).drop("_reply")
 
@@ -151,6 +154,24 @@ def with_external_decisions(
     return apply_replies(joined, body_col, cfg).drop(body_col)
 
 
+REPLY_KEYS = ["windowStart", "clientId", "cellId"]
+
+
+def decide_with_replies(candidates: DataFrame, replies: DataFrame, cfg: CampaignConfig | None = None) -> DataFrame:
+    """Decisions from a reply table (``schemas.REPLY``); the rules decide
+    where no usable reply came in time. In time is up to ``reply_lateness``
+    after the window's end, whenever the lookup happens: a replay decides as
+    the first attempt did. ``candidates`` have ``window`` or ``windowStart``."""
+    cfg = cfg or CampaignConfig()
+    flat = "windowStart" in candidates.columns
+    keyed = candidates if flat else candidates.withColumn("windowStart", epoch_millis(F.col("window.start")))
+    allowed = duration_ms(cfg.window_duration) + duration_ms(cfg.reply_lateness)
+    timely = replies.where(F.col("repliedAt") <= F.col("windowStart") + F.lit(allowed)).select(*REPLY_KEYS, "reply")
+    decided = with_external_decisions(keyed, timely, REPLY_KEYS, cfg=cfg)
+    first = [c for c in candidates.columns]
+    return decided.select(*first, *[c for c in decided.columns if c not in first and (flat or c != "windowStart")])
+
+
 def sms_quality(decisions: DataFrame) -> DataFrame:
     """Length of each SMS and whether it fits one message."""
     n = F.char_length(F.coalesce(F.col("smsText"), F.lit("")))

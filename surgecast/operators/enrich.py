@@ -11,12 +11,13 @@ from surgecast.operators.joins import StaticSide, semi_filter
 
 
 def consent_ok() -> Column:
-    # `= true` semantics: a null flag is not consent
-    return F.coalesce(F.col("hasConsent"), F.lit(False))
+    # a null flag is not consent; as a comparison it is pushed into the scan,
+    # and Spark takes it as selective enough for a Bloom filter of the clients
+    return F.col("hasConsent").eqNullSafe(F.lit(True))
 
 
 def campaign_active() -> Column:
-    return F.coalesce(F.col("campaignActive"), F.lit(False))
+    return F.col("campaignActive").eqNullSafe(F.lit(True))
 
 
 def with_consents(agg: DataFrame, consents: StaticSide) -> DataFrame:
@@ -51,6 +52,6 @@ def eligible_events(events: DataFrame, consents: StaticSide, cells: StaticSide)
     the stateful stages. Window aggregates are per (client, cell), so
     removing whole clients and cells leaves every other group unchanged and
     the candidate set identical, while state and shuffle shrink to eligible
-    traffic. Applied only for sides small enough to broadcast."""
+    traffic. The rows that pass are the same for tables of any size."""
     out = semi_filter(events, consents, "clientId", consent_ok())
     return semi_filter(out, cells, "cellId", campaign_active())

@@ -135,12 +135,28 @@ def colocated(side: StaticSide, key: str, partitions: int | None = None) -> Stat
 
 def semi_filter(df: DataFrame, side: StaticSide, key: str, keep: Column | None = None) -> DataFrame:
     """Keep rows of ``df`` whose ``key`` appears in ``side`` (rows passing
-    ``keep``). Only when the side is broadcastable: a map-side filter that
-    never moves ``df``; otherwise ``df`` is returned unchanged, since a
-    shuffle of the unreduced input would cost more than it saves."""
-    if not side.broadcastable:
-        return df
-    keys = side.df
-    if keep is not None:
-        keys = keys.where(keep)
-    return df.join(F.broadcast(keys.select(key)), on=key, how="left_semi")
+    ``keep``); the result does not depend on the side's size, only the plan:
+
+    * a broadcastable side is a map-side filter that never moves ``df``;
+    * a larger one is a shuffled semi-join. Spark puts a Bloom filter of the
+      side's keys in front of that shuffle (``runtime_filter_conf``), so rows
+      without a partner are mostly dropped where they are read, and adaptive
+      execution splits a hot key's rows. In a stream the side is partitioned
+      on the key beforehand (``colocated``) and only the micro-batch moves.
+    """
+    keys = side.df if keep is None else side.df.where(keep)
+    keys = keys.select(key)
+    return df.join(F.broadcast(keys) if side.broadcastable else keys, on=key, how="left_semi")
+
+
+def runtime_filter_conf(side_bytes: int = 1 << 30, input_bytes: int = 10 << 30) -> dict[str, str]:
+    """Settings that let Spark build a Bloom filter from the smaller side of a
+    shuffled semi-join: sides of up to ``side_bytes`` (its own default of
+    10 MB is near the broadcast bound), inputs of at least ``input_bytes``.
+    The filter itself has at most 8 MB."""
+    prefix = "spark.sql.optimizer.runtime.bloomFilter"
+    return {
+        f"{prefix}.enabled": "true",
+        f"{prefix}.creationSideThreshold": str(side_bytes),
+        f"{prefix}.applicationSideScanSizeThreshold": str(input_bytes),
+    }

@@ -84,17 +84,33 @@ def with_congestion_band(df: DataFrame, col: str = "congestion") -> DataFrame:
 _WITH_BATCH = T.StructType(list(schemas.ALERT.fields) + [T.StructField("batch", T.LongType(), True)])
 
 
-def read_sent(spark, path: str) -> DataFrame:
-    """Read all ``batch=<id>`` partitions of the SEND sink (none: 0 rows).
-    Reading the root (not a ``/**`` glob) keeps the partition column ``batch``."""
+def _published(spark, path: str, sink: str) -> list[str] | None:
+    """The files of a sink to read: those its commit log names, the whole
+    folder where there is no log, None if there is nothing."""
+    from surgecast.streaming.commits import CommitLog
+
     if not path_exists(spark, path):
+        return None
+    log = CommitLog.at(spark, path)
+    if log is None:
+        return [path]
+    return [f"{path}/{name}" for name in log.files(sink)] or None
+
+
+def read_sent(spark, path: str) -> DataFrame:
+    """Read all published ``batch=<id>`` partitions of the SEND sink (none: 0
+    rows); the partition column ``batch`` is kept."""
+    files = _published(spark, path, "sent")
+    if files is None:
         return spark.createDataFrame([], _WITH_BATCH)
-    return spark.read.schema(_WITH_BATCH).option("basePath", path).parquet(path)
+    return spark.read.schema(_WITH_BATCH).option("basePath", path).parquet(*files)
 
 
 def read_feed(spark, path: str) -> DataFrame:
     """Read the CSV dashboard feed (header, declared schema). Nulls are
-    written as ``\\N``, so empty texts and nulls both read back as written."""
-    if not path_exists(spark, path):
+    written as ``\\N``, so empty texts and nulls both read back as written.
+    Published batches only."""
+    files = _published(spark, path, "feed")
+    if files is None:
         return spark.createDataFrame([], _WITH_BATCH)
-    return spark.read.option("header", "true").option("nullValue", CSV_NULL).schema(_WITH_BATCH).csv(path)
+    return spark.read.option("header", "true").option("nullValue", CSV_NULL).option("basePath", path).schema(_WITH_BATCH).csv(files)

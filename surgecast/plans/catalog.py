@@ -90,6 +90,15 @@ def q_clean_events(spark, sf_dir):
     return C.clean(FX.geo_events(FX.read_events(spark, sf_dir)))
 
 
+def q_guarded_rejects(spark, sf_dir):
+    """The reject table with a bound on event times: messages of a far future
+    are rejected beside the malformed ones."""
+    events = FX.read_events(spark, sf_dir)
+    messages = FX.wire_messages(events).select("key", "value").unionByName(FX.future_messages(events))
+    decoded = wire.decode(messages, keep=["key", "value"])
+    return C.rejects(decoded, "value", CampaignConfig.max_ahead).select("key", "value", "rejectReason")
+
+
 def _decoded_wire(spark, sf_dir):
     return wire.decode(FX.wire_messages(FX.read_events(spark, sf_dir)), keep=["key", "value"])
 
@@ -128,16 +137,25 @@ def q_window_tumbling(spark, sf_dir):
     return flat(W.tumbling_aggregate(deduped_for(spark, sf_dir)))
 
 
+def q_dedup_conflicts(spark, sf_dir):
+    """De-duplication where copies of a key differ."""
+    events = FX.conflicting_events(FX.read_events(spark, sf_dir)).withColumn("eventTime", event_time("timestamp"))
+    d = DD.dedup(C.clean(events))
+    return d.select("clientId", "cellId", epoch_millis("eventTime").alias("eventTimeMs"), "signalDbm", "congestion", "technology")
+
+
 def q_clients_per_cell(spark, sf_dir):
-    """The sketch beside the exact count (one row per client in the window
-    aggregate), with a flag: is the sketch within three standard errors?"""
-    rsd = 0.05
-    deduped = deduped_for(spark, sf_dir)
-    sketch = flat(W.clients_per_cell(deduped, rsd=rsd))
-    exact = flat(W.window_aggregate(deduped)).groupBy("windowStart", "windowEnd", "cellId").agg(F.count(F.lit(1)).alias("clients"))
-    both = sketch.join(exact, ["windowStart", "windowEnd", "cellId"])
-    near = F.abs(F.col("approxClients") - F.col("clients")) <= F.greatest(F.lit(1.0), 3 * rsd * F.col("clients"))
-    return both.select("windowStart", "windowEnd", "cellId", "clients", "eventCount", near.alias("withinError"))
+    """The sketches' estimates, which are exact for few clients (a sketch
+    lists up to some hundreds of them)."""
+    return flat(W.clients_per_cell(deduped_for(spark, sf_dir)))
+
+
+def q_clients_per_hour(spark, sf_dir):
+    """Sketches of two-minute windows, merged to hours."""
+    cfg = CampaignConfig(slide_duration=CampaignConfig.window_duration)
+    sketches = W.client_sketches(deduped_for(spark, sf_dir), cfg)
+    hour = F.floor(epoch_millis(F.col("window.start")) / 3_600_000).cast("long")
+    return W.merged_clients(sketches, hour.alias("hour"), "cellId").select("hour", "cellId", "approxClients", "eventCount")
 
 
 # ----------------------------------------------------------------- joins / candidates
@@ -223,6 +241,26 @@ def derived_replies(candidates: DataFrame) -> DataFrame:
     return one.where(F.col("reply").isNotNull()).select("window", "clientId", "cellId", F.explode(twice).alias("reply"))
 
 
+def reply_table(candidates: DataFrame) -> DataFrame:
+    """The derived replies as a reply table (``schemas.REPLY``): a minute after
+    the window's end, those of kind 6 too late (ten minutes)."""
+    start = epoch_millis(F.col("window.start"))
+    one = derived_replies(candidates).select(start.alias("windowStart"), "clientId", "cellId", "reply", epoch_millis(F.col("window.end")).alias("_end"), reply_kind().alias("_kind"))
+    wait = F.when(F.col("_kind") == 6, F.lit(600_000)).otherwise(F.lit(60_000))
+    return one.select("windowStart", "clientId", "cellId", "reply", (F.col("_end") + wait).alias("repliedAt"))
+
+
+def _with_replies(spark, sf_dir) -> CampaignPlan:
+    consents, cells = _tables(spark, CampaignConfig())
+    replies = reply_table(plan_for(spark, sf_dir).candidates)
+    return campaign_plan(events_for(spark, sf_dir), consents, cells, CampaignConfig(), replies=replies)
+
+
+def q_reply_alerts(spark, sf_dir):
+    """The chain with a reply table: replies in time decide, else the rules."""
+    return R.alerts(_with_replies(spark, sf_dir).decisions, with_stamp=False, extra=["decisionSource"])
+
+
 def q_external_decisions(spark, sf_dir):
     # a reply table of its own, joined; the two sides share the chain's
     # exchanges, which Spark reuses
@@ -266,6 +304,40 @@ def q_results_roundtrip(spark, sf_dir):
     return R.read_sent(spark, run.sent_path).select(*ALERT_NO_STAMP)
 
 
+def q_live_summary(spark, sf_dir):
+    """The running summary (complete mode) after the stream's last batch."""
+    from surgecast.session import path_exists, work_path
+    from surgecast.sources.reference_tables import read_table
+    from surgecast.streaming.replay import replay_events_stream
+    from surgecast.streaming.runner import start_summary
+
+    run = replay_events_stream(spark, sf_dir)
+    path = f"{work_path(spark, 'summary')}/table"
+    q = start_summary(spark, run.feed_path, path, f"{path}-checkpoint", available_now=True)
+    q.awaitTermination()
+    return read_table(spark, path) if path_exists(spark, path) else spark.createDataFrame([], "segment string, aiDecision string, alerts long")
+
+
+def _full_run(spark, sf_dir):
+    from surgecast.streaming.replay import replay_full
+
+    return replay_full(spark, sf_dir, lambda: reply_table(plan_for(spark, sf_dir).candidates))
+
+
+def q_stream_reply_alerts(spark, sf_dir):
+    """Intake, pipeline and reply lookup as streams, with messages of a far
+    future among the others."""
+    return R.read_feed(spark, _full_run(spark, sf_dir).feed_path).select(*ALERT_NO_STAMP)
+
+
+def q_intake_rejects(spark, sf_dir):
+    """The reject part of the intake table; an empty message is ''."""
+    from surgecast.streaming.runner import read_rejects
+
+    rejected = read_rejects(spark, _full_run(spark, sf_dir).intake_path)
+    return rejected.select(F.coalesce("value", F.lit("")).alias("value"), "rejectReason")
+
+
 def q_stream_tally(spark, sf_dir):
     from surgecast.streaming.replay import replay_events_stream
 
@@ -282,10 +354,13 @@ QUERIES: dict[str, Query] = {
     "reject_summary": q_reject_summary,
     "cleaning_metric": q_cleaning_metric,
     "congestion_band": q_congestion_band,
+    "guarded_rejects": q_guarded_rejects,
     "dedup_events": q_dedup_events,
+    "dedup_conflicts": q_dedup_conflicts,
     "window_agg": q_window_agg,
     "window_tumbling": q_window_tumbling,
     "clients_per_cell": q_clients_per_cell,
+    "clients_per_hour": q_clients_per_hour,
     "with_consent": q_with_consent,
     "with_cells": q_with_cells,
     "candidates": q_candidates,
@@ -296,6 +371,7 @@ QUERIES: dict[str, Query] = {
     "sent_alerts": q_sent_alerts,
     "signal_floor_decisions": q_signal_floor_decisions,
     "external_decisions": q_external_decisions,
+    "reply_alerts": q_reply_alerts,
     "sms_length": q_sms_length,
     "alert_lines": q_alert_lines,
     "alert_summary": q_alert_summary,
@@ -303,4 +379,7 @@ QUERIES: dict[str, Query] = {
     "stream_alerts": q_stream_alerts,
     "results_roundtrip": q_results_roundtrip,
     "stream_tally": q_stream_tally,
+    "live_summary": q_live_summary,
+    "stream_reply_alerts": q_stream_reply_alerts,
+    "intake_rejects": q_intake_rejects,
 }

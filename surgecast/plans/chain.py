@@ -52,20 +52,24 @@ def campaign_plan(
     cells: DataFrame | StaticSide,
     cfg: CampaignConfig | None = None,
     prefilter: bool | None = None,
+    replies: DataFrame | None = None,
 ) -> CampaignPlan:
     """Wire the chain over ``events`` (8 geo fields, eventTime optional).
 
     With ``prefilter`` (default from the config) events of non-consenting
-    clients and inactive cells are dropped before the stateful stages, when
-    those tables are small enough to broadcast; ``aggregated`` then holds
-    eligible traffic only, and every later frame is unchanged.
+    clients and inactive cells are dropped before the stateful stages, however
+    large those tables are; ``deduped`` and ``aggregated`` then hold eligible
+    traffic only, and every later frame is unchanged.
+
+    ``replies`` (see ``operators.decide.REPLY_KEYS``) are decisions of an
+    outside service; the rules decide where none is usable.
     """
     cfg = cfg or CampaignConfig()
     consents_side = as_side(consents, "consents", cfg.broadcast_max_bytes)
     cells_side = as_side(cells, "cells", cfg.broadcast_max_bytes)
     prefilter = cfg.prefilter_eligible if prefilter is None else prefilter
 
-    cleaned = C.clean(with_event_time(events))
+    cleaned = C.clean(with_event_time(events), cfg.max_ahead)
     watermarked = DD.with_watermark(cleaned, cfg.watermark_delay)
     if prefilter:
         watermarked = E.eligible_events(watermarked, consents_side, cells_side)
@@ -74,7 +78,7 @@ def campaign_plan(
     wc = E.with_consents(aggregated, consents_side)
     wcell = E.with_cells(wc, cells_side)
     cands = E.candidates(wcell, cfg)
-    decisions = D.decide(cands, cfg)
+    decisions = D.decide(cands, cfg) if replies is None else D.decide_with_replies(cands, replies, cfg)
     return CampaignPlan(
         cleaned=cleaned,
         deduped=deduped,

@@ -216,6 +216,12 @@ decoded AS (
   FROM msgs
 )"""
 
+# one more message per m = 13, 6000 years later
+FUTURE_WIRE = WIRE.replace("\n),\ndecoded AS", """
+  UNION ALL SELECT key, regexp_replace(value, '"timestamp":[0-9]+', '"timestamp":' || (ts + 189341712000000)) FROM wire WHERE m = 13
+),
+decoded AS""")
+
 REASON = """
 CASE WHEN value IS NULL OR trim(value) = '' THEN 'empty_message'
      WHEN NOT parsed THEN 'malformed_json'
@@ -262,6 +268,24 @@ SELECT CASE WHEN NOT coalesce({VALID}, false) THEN 'dirty'
        count(*) AS events
 FROM geo GROUP BY 1"""
 
+GUARDED_REASON = REASON.replace("\nEND", """
+     WHEN "timestamp" > 4102444800000 THEN 'future_timestamp'
+END""")
+_GUARDED = _with(PER_EVENT, FUTURE_WIRE) + f"""
+SELECT key, value, rejectReason AS "rejectReason" FROM (SELECT key, value, {GUARDED_REASON} AS rejectReason FROM decoded) r
+WHERE rejectReason IS NOT NULL"""
+SQL["guarded_rejects"] = _GUARDED
+SQL["intake_rejects"] = f"""SELECT value, "rejectReason" FROM ({_GUARDED})"""
+
+SQL["dedup_conflicts"] = _with(PER_EVENT) + f"""
+SELECT "clientId", "cellId", "timestamp" AS "eventTimeMs", "signalDbm", congestion, technology FROM (
+  SELECT * FROM geo
+  UNION ALL
+  SELECT "clientId", "cellId", latitude, longitude, "signalDbm" - 1, 100 - congestion,
+         CASE technology WHEN '5G' THEN '4G' ELSE '5G' END, "timestamp" FROM pe WHERE m = 23
+) x WHERE {VALID}
+QUALIFY row_number() OVER (PARTITION BY "clientId", "cellId", "timestamp" ORDER BY latitude, longitude, "signalDbm", congestion, technology) = 1"""
+
 SQL["dedup_events"] = _with(PER_EVENT, CLEAN, DEDUP) + """
 SELECT "clientId", "cellId", "timestamp" AS "eventTimeMs", "signalDbm", congestion, technology FROM dedup"""
 
@@ -302,9 +326,19 @@ SELECT "windowStart", "windowEnd", "clientId", "cellId", segment, "avgCongestion
 FROM rep"""
 
 SQL["clients_per_cell"] = _with(PER_EVENT, CLEAN, DEDUP, WINDOWS) + """
-SELECT "windowStart", "windowEnd", "cellId", count(*) AS clients, CAST(sum("eventCount") AS BIGINT) AS "eventCount", true AS "withinError"
+SELECT "windowStart", "windowEnd", "cellId", count(*) AS "approxClients", CAST(sum("eventCount") AS BIGINT) AS "eventCount"
 FROM agg GROUP BY ALL"""
 
+SQL["clients_per_hour"] = _with(PER_EVENT, CLEAN, DEDUP) + """
+SELECT "timestamp" // 3600000 AS hour, "cellId", count(DISTINCT "clientId") AS "approxClients", count(*) AS "eventCount"
+FROM dedup GROUP BY ALL"""
+
+# kind 6 came too late
+SQL["reply_alerts"] = SQL["external_decisions"].replace("sel IN (0, 1, 5, 6)", "sel IN (0, 1, 5)").replace(
+    'SELECT "windowStart", "windowEnd", "clientId", "cellId", segment, "avgCongestion", technology,',
+    'SELECT "clientId", "cellId", city, "avgCongestion" AS congestion, technology, segment,',
+)
+
 SQL["sms_length"] = _chain() + f"""
 SELECT "windowStart", "clientId", "cellId", "aiDecision", CAST(length("smsText") AS INTEGER) AS "smsLength",
        length("smsText") <= {FV.SMS_MAX_CHARS} AS "smsFits" FROM dec"""
@@ -326,3 +360,5 @@ SELECT count(*) AS candidates, count(*) FILTER (WHERE "aiDecision" = 'SEND') AS
 SQL["stream_alerts"] = SQL["alerts"]
 SQL["results_roundtrip"] = SQL["sent_alerts"]
 SQL["stream_tally"] = SQL["batch_tally"]
+SQL["live_summary"] = SQL["alert_summary"]
+SQL["stream_reply_alerts"] = f"""SELECT * EXCLUDE ("decisionSource") FROM ({SQL["reply_alerts"]})"""

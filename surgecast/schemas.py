@@ -49,6 +49,17 @@ DECISION_REPLY = T.StructType(
     ]
 )
 
+# Reply table: the replies of an outside service, by window, client and cell.
+REPLY = T.StructType(
+    [
+        T.StructField("windowStart", T.LongType(), True),  # epoch millis
+        T.StructField("clientId", T.StringType(), True),
+        T.StructField("cellId", T.StringType(), True),
+        T.StructField("reply", T.StringType(), True),  # the service's text
+        T.StructField("repliedAt", T.LongType(), True),  # epoch millis
+    ]
+)
+
 ALERT_COLUMNS = [
     "clientId",
     "cellId",

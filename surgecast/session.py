@@ -14,6 +14,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from surgecast.operators.joins import runtime_filter_conf
+
 CHECKPOINT_DIR_KEY = "spark.checkpoint.dir"
 
 
@@ -52,7 +54,7 @@ def build_session(
         .config("spark.sql.streaming.noDataMicroBatches.enabled", "true")
         .config("spark.driver.memory", os.environ.get("SURGECAST_DRIVER_MEMORY", "8g"))
     )
-    for k, v in (extra or {}).items():
+    for k, v in (runtime_filter_conf() | (extra or {})).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("WARN")
@@ -115,3 +117,44 @@ def work_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared checkpoint folder."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/surgecast/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def list_names(spark: SparkSession, path: str, pattern: str = "*") -> list[str]:
+    """Names in a folder that match a glob pattern, hidden ones included."""
+    fs, p = _path(spark, path)
+    found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(p, pattern))
+    return sorted(s.getPath().getName() for s in found or [])
+
+
+def rename_path(spark: SparkSession, source: str, target: str) -> bool:
+    """Move a file; False if the target is there already."""
+    fs, p = _path(spark, source)
+    to = spark._jvm.org.apache.hadoop.fs.Path(target)
+    return not fs.exists(to) and fs.rename(p, to)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _path(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _path(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def replace_path(spark: SparkSession, source: str, target: str) -> None:
+    """Move a file over another one in one step."""
+    jvm = spark._jvm
+    fs = jvm.org.apache.hadoop.fs
+    p = fs.Path(source)
+    context = fs.FileContext.getFileContext(p.toUri(), spark._jsparkSession.sessionState().newHadoopConf())
+    how = spark.sparkContext._gateway.new_array(getattr(fs, "Options$Rename"), 1)
+    how[0] = getattr(fs, "Options$Rename").OVERWRITE
+    context.rename(p, fs.Path(target), how)

@@ -125,6 +125,31 @@ def wire_messages(events: DataFrame) -> DataFrame:
     )
 
 
+FUTURE_MS = 6000 * 31_556_952_000  # 6000 years
+
+
+def future_messages(events: DataFrame) -> DataFrame:
+    """For each event with m=13 one more message, valid but for its time, 6000
+    years later: it would move a watermark past everything else."""
+    late = _per_event(events).where(F.col("m") == 13).withColumn("timestamp", F.col("timestamp") + F.lit(FUTURE_MS))
+    return late.select(wire.message_key().alias("key"), wire.event_json().alias("value"))
+
+
+def conflicting_events(events: DataFrame) -> DataFrame:
+    """The geo events and, for m=23, a second one of the same client, cell and
+    time with other values (100 less its congestion, signal one less, the other
+    technology)."""
+    other = _per_event(events).where(F.col("m") == 23)
+    changed = other.withColumns(
+        {
+            "congestion": (F.lit(100) - F.col("congestion")).cast("int"),
+            "signalDbm": (F.col("signalDbm") - 1).cast("int"),
+            "technology": F.when(F.col("technology") == "5G", F.lit("4G")).otherwise(F.lit("5G")),
+        }
+    )
+    return geo_events(events).unionByName(changed.select(*schemas.GEO_EVENT_FIELDS))
+
+
 def sentinel_message(events: DataFrame) -> DataFrame:
     """One valid message 600 s after the last event, for a client with no
     consent row: it passes cleaning, advances the watermark past every open

@@ -2,20 +2,23 @@
 
 The builders express the reference's generating formulas as column
 expressions over ``spark.range`` (no driver-side sequences). The tables are
-written with ``overwrite`` so the setup job can be re-run, and are read back
-with declared schemas.
+written as versions so the setup job can be re-run while they are in use, and
+are read back with declared schemas.
 """
 
 from __future__ import annotations
 
 import logging
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from surgecast import schemas
 from surgecast.functions import fixed_values as FV
 from surgecast.operators.joins import StaticSide, bounded
+from surgecast.session import delete_path, list_names, path_exists, read_text, replace_path, write_text
 
 log = logging.getLogger(__name__)
 
@@ -103,17 +106,67 @@ def cells_side(spark: SparkSession, n_cells: int = FV.CELL_COUNT, limit: int | N
     return bounded(build_cells(spark, n_cells), "cells", n_cells, row, limit)
 
 
+_VERSION = "_version"
+
+
 def write_table(df: DataFrame, path: str) -> None:
-    """Re-runnable write: a second run replaces, never duplicates or fails."""
-    df.write.mode("overwrite").parquet(path)
+    """Re-runnable write: a second run replaces, never duplicates or fails.
+
+    The rows go to a folder of their own (``version=<id>``), and one small
+    file then names it: readers see the old table or the new one, never a part
+    of either. The version before stays for plans that still read it; older
+    ones are removed."""
+    spark = df.sparkSession
+    before, version = table_version(spark, path), uuid.uuid4().hex
+    df.write.parquet(f"{path}/version={version}")
+    staged = f"{path}/{_VERSION}-{version}"
+    write_text(spark, staged, version)
+    replace_path(spark, staged, f"{path}/{_VERSION}")
+    for name in list_names(spark, path):
+        if name not in (f"version={version}", f"version={before}", _VERSION):
+            delete_path(spark, f"{path}/{name}")
+
+
+def table_version(spark: SparkSession, path: str) -> str | None:
+    """The id of the table's present version, None if it was written by other
+    means (or not at all)."""
+    return read_text(spark, f"{path}/{_VERSION}").strip() if path_exists(spark, f"{path}/{_VERSION}") else None
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The present version of a table; a folder of plain Parquet files if it
+    has no versions."""
+    version = table_version(spark, path)
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path if version is None else f"{path}/version={version}")
 
 
 def read_consents(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.CONSENT).parquet(path)
+    return read_table(spark, path, schemas.CONSENT)
 
 
 def read_cells(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.CELL).parquet(path)
+    return read_table(spark, path, schemas.CELL)
+
+
+DAY_MS = 86_400_000
+
+
+def write_replies(replies: DataFrame, path: str) -> None:
+    """Append to the reply table, a folder per day of the windows."""
+    day = F.floor(F.col("windowStart") / DAY_MS).cast("int")
+    replies.select(*schemas.REPLY.names, day.alias("day")).write.mode("append").partitionBy("day").parquet(path)
+
+
+def read_replies(spark: SparkSession, path: str, first_ms: int | None = None, last_ms: int | None = None) -> DataFrame:
+    """The replies for windows that start between two times; only the folders
+    of those days are read. No table yet: no replies."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schemas.REPLY)
+    rows = spark.read.schema(T.StructType([*schemas.REPLY.fields, T.StructField("day", T.IntegerType())])).parquet(path)
+    if first_ms is not None:
+        rows = rows.where(F.col("day").between(first_ms // DAY_MS, last_ms // DAY_MS) & F.col("windowStart").between(first_ms, last_ms))
+    return rows.drop("day")
 
 
 def setup_tables(spark: SparkSession, base: str) -> dict[str, str]:
@@ -122,5 +175,5 @@ def setup_tables(spark: SparkSession, base: str) -> dict[str, str]:
     write_table(build_consents(spark), paths["consents"])
     write_table(build_cells(spark), paths["cells"])
     for name, p in paths.items():
-        log.warning("[setup] %s: %d rows at %s", name, spark.read.parquet(p).count(), p)
+        log.warning("[setup] %s: %d rows at %s", name, read_table(spark, p).count(), p)
     return paths

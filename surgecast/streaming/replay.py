@@ -6,6 +6,9 @@ a final slice holds the sentinel event that closes every open window. The
 streaming pipeline then runs with ``availableNow`` and one slice per
 micro-batch, late-data rules and state included, over the whole table.
 
+``replay_full`` runs every optional part too: messages of a far future among
+the others, the intake that decodes once, a reply table, the running summary.
+
 Everything lives under the session's shared checkpoint folder.
 """
 
@@ -14,16 +17,18 @@ from __future__ import annotations
 import contextlib
 import io
 import logging
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from surgecast.config import CampaignConfig
 from surgecast.session import file_states, work_path
 from surgecast.sources import fixtures as FX
-from surgecast.sources.reference_tables import build_cells, build_consents, write_table
-from surgecast.streaming.runner import start_pipeline
+from surgecast.sources.reference_tables import build_cells, build_consents, write_replies, write_table
+from surgecast.streaming.runner import clean_events, start_intake, start_pipeline, start_summary
 from surgecast.streaming.sources import file_messages
 
 log = logging.getLogger(__name__)
@@ -41,29 +46,48 @@ class ReplayRun:
     tallies: list = field(default_factory=list)
     progress: list = field(default_factory=list)
     plan: str = ""
+    intake_plan: str = ""
+
+    @property
+    def intake_path(self) -> str:
+        return f"{self.work}/intake"
+
+    @property
+    def summary_path(self) -> str:
+        return f"{self.work}/summary"
 
 
 BYTES_PER_FILE = 128 << 20
 MESSAGE_BYTES = 220  # of one event as JSON, about
 
 
-def write_inbox(spark: SparkSession, sf_dir: str, inbox: str, n_slices: int = 5) -> int:
-    """Write the event messages as ``n_slices`` time-ordered slices plus one
-    with the sentinel; returns the files of a slice.
+def write_inbox(spark: SparkSession, sf_dir: str, inbox: str, n_slices: int = 5, future: bool = False) -> int:
+    """Write the event messages as at most ``n_slices`` time-ordered slices plus
+    one with the sentinel; returns the files of a slice.
 
-    A slice is one parallel job into the same number of files, sized by the
-    table (``BYTES_PER_FILE``), so a micro-batch of that many files is one
-    slice; the files' times put the slices in order. Rows without event_id
-    go with the first slice.
+    Slices begin at quantiles of event_id, so each has rows, and about as many
+    as the others, however sparse or repeated the ids are. A slice is one
+    parallel job into the same number of files, sized by the table
+    (``BYTES_PER_FILE``), so a micro-batch of that many files is one slice; the
+    files' times put the slices in order. Rows without event_id go with the
+    first slice. With ``future`` every slice has messages of a far future, too.
     """
     events = FX.read_events(spark, sf_dir)
-    b = events.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    lo, hi = int(b["lo"] or 0), int(b["hi"] or 0)
-    step = max(1, -(-(hi - lo + 1) // n_slices))
-    files = max(1, -(-int(b["n"]) * MESSAGE_BYTES // (n_slices * BYTES_PER_FILE)))
-    for i in range(n_slices):
-        part = events.where(F.col("event_id").between(lo + i * step, lo + (i + 1) * step - 1) | (F.col("event_id").isNull() & F.lit(i == 0)))
-        FX.wire_messages(part).select("value").repartition(files).write.mode("overwrite").text(f"{inbox}/slice-{i:05d}")
+    n = events.count()
+    known = events.where(F.col("event_id").isNotNull())
+    cuts = sorted({int(q) for q in known.approxQuantile("event_id", [i / n_slices for i in range(n_slices)], 0.01)})
+    files = max(1, -(-n * MESSAGE_BYTES // (n_slices * BYTES_PER_FILE)))
+    for i in range(max(1, len(cuts))):
+        part = events
+        if i:
+            part = part.where(F.col("event_id") >= cuts[i])
+        if i + 1 < len(cuts):
+            before = F.col("event_id") < cuts[i + 1]
+            part = part.where(before if i else before | F.col("event_id").isNull())
+        messages = FX.wire_messages(part).select("value")
+        if future:
+            messages = messages.unionByName(FX.future_messages(part).select("value"))
+        messages.repartition(files).write.mode("overwrite").text(f"{inbox}/slice-{i:05d}")
     FX.sentinel_message(events).select("value").coalesce(1).write.mode("overwrite").text(f"{inbox}/slice-{n_slices:05d}-sentinel")
     return files
 
@@ -98,6 +122,56 @@ def replay_events_stream(
     write_table(build_cells(spark), f"{tables}/cells")
     files = write_inbox(spark, sf_dir, run.inbox, n_slices)
     q, sink = _start(spark, run, tables, cfg, refresh_tables, files)
+    _finish(q)
+    run.tallies = list(sink.tallies)
+    run.progress = list(q.recentProgress)  # one per slice and one or two more
+    late = sum(int(op.get("numRowsDroppedByWatermark", 0)) for p in run.progress for op in p["stateOperators"])
+    if late:
+        raise RuntimeError(f"{late} events came after the watermark: the slices were read out of order")
+    run.plan = _explained(q)
+    _RUNS[key] = run
+    return run
+
+
+def replay_full(spark: SparkSession, sf_dir: str, replies: Callable[[], DataFrame], n_slices: int = 5, reuse: bool = True) -> ReplayRun:
+    """Run the pipeline with all its optional parts over ``events``; one hop
+    after the other, each with ``availableNow``."""
+    cfg = CampaignConfig()
+    state = tuple(file_states(spark, f"{sf_dir.rstrip('/')}/events.parquet"))
+    key = (spark.sparkContext.applicationId, sf_dir, state, n_slices, "full")
+    if reuse and key in _RUNS:
+        return _RUNS[key]
+    work = work_path(spark, "replay-full")
+    run = ReplayRun(work=work, inbox=f"{work}/inbox", feed_path=f"{work}/dashboard-feed", sent_path=f"{work}/sent", checkpoint=f"{work}/checkpoint")
+    tables = f"{work}/tables"
+    write_table(build_consents(spark), f"{tables}/consents")
+    write_table(build_cells(spark), f"{tables}/cells")
+    write_replies(replies(), f"{work}/replies")
+    files = write_inbox(spark, sf_dir, run.inbox, n_slices, future=True)
+    intake = start_intake(spark, file_messages(spark, f"{run.inbox}/*", files), run.intake_path, f"{work}/intake-checkpoint", cfg, available_now=True)
+    _finish(intake)
+    run.intake_plan = _explained(intake)
+    q, sink = start_pipeline(
+        spark,
+        clean_events(spark, run.intake_path),
+        f"{tables}/consents",
+        f"{tables}/cells",
+        run.feed_path,
+        run.sent_path,
+        run.checkpoint,
+        cfg,
+        available_now=True,
+        replies_path=f"{work}/replies",
+    )
+    _finish(q)
+    run.tallies, run.progress = list(sink.tallies), list(q.recentProgress)
+    _finish(start_summary(spark, run.feed_path, run.summary_path, f"{work}/summary-checkpoint", cfg, available_now=True))
+    _RUNS[key] = run
+    return run
+
+
+def _finish(q: StreamingQuery) -> None:
+    """Wait for a bounded run; raises what ended it."""
     try:
         q.awaitTermination()
         if q.exception() is not None:
@@ -105,17 +179,14 @@ def replay_events_stream(
     finally:
         if q.isActive:
             q.stop()
-    run.tallies = list(sink.tallies)
-    run.progress = list(q.recentProgress)  # one per slice and one or two more
-    late = sum(int(op.get("numRowsDroppedByWatermark", 0)) for p in run.progress for op in p["stateOperators"])
-    if late:
-        raise RuntimeError(f"{late} events came after the watermark: the slices were read out of order")
+
+
+def _explained(q: StreamingQuery) -> str:
+    """The physical plan of the last micro-batch."""
     out = io.StringIO()
     with contextlib.redirect_stdout(out):
-        q.explain()  # physical plan of the last micro-batch
-    run.plan = out.getvalue()
-    _RUNS[key] = run
-    return run
+        q.explain()
+    return out.getvalue()
 
 
 def _start(spark, run, tables, cfg, refresh_tables, files):
