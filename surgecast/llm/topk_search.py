@@ -9,9 +9,11 @@ score array of the block; partition selection then keeps the k best of the
 block, a task merges its blocks, and a last step merges the tasks.
 
 The queries are the stated set (``vec_id`` divisible by ``every``). They are
-taken in groups of ``GROUP`` by hash, so what is broadcast at once is bounded
-by GROUP vectors however many queries there are; each group is compared with
-all rows. The work is queries x rows by definition.
+written in groups of about ``GROUP`` (by hash), a folder each, and the groups
+are run one after the other: a group's vectors are read, broadcast, compared
+with all rows, its results written to the shared folder, the broadcast removed.
+Driver and tasks so hold one group at a time, however many queries there are.
+The work is queries x rows by definition.
 
 Defined results: components are floor(1024 * x) of x as double, scores are
 64-bit integers; vectors that are null or hold null or non-finite components
@@ -26,10 +28,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from surgecast.llm import common as C
+from surgecast.session import work_path
 
 K = 10
 EVERY = 100
@@ -50,7 +55,7 @@ def integer_vectors(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
 
 def _matrix(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Components as triples: member, term, weight (non-zero ones)."""
-    size = np.array([len(x) for x in column], np.int64) if column.offset else np.diff(column.offsets.to_numpy())
+    size = pc.list_value_length(column).to_numpy(zero_copy_only=False)
     weight = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
     member = np.repeat(np.arange(len(size)), size)
     term = C.ranges(np.zeros(len(size), np.int64), size.astype(np.int64))
@@ -76,6 +81,14 @@ def best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     return at[np.lexsort((ids[at], -scores[at]))][:k]
 
 
+def _sparse(batch: pa.Table) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(query_id, terms, weights) of each row of (vec_id, v)."""
+    ids = batch.column("vec_id").to_pylist()
+    member, term, weight = _matrix(batch.column("v").combine_chunks())
+    at = np.searchsorted(member, np.arange(len(ids) + 1))
+    return [(i, term[a:b], weight[a:b]) for i, a, b in zip(ids, at[:-1], at[1:])]
+
+
 def _search(batches: Iterator[pa.RecordBatch], queries: list, k: int) -> Iterator[pa.RecordBatch]:
     """A task's k best rows for each query (query_id, terms, weights)."""
     tops = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in queries]
@@ -86,7 +99,7 @@ def _search(batches: Iterator[pa.RecordBatch], queries: list, k: int) -> Iterato
             index = _postings(*_matrix(part.column("v")))
             for i, (query_id, terms, weights) in enumerate(queries):
                 scores = np.zeros(len(ids), np.int64)
-                for t, w in zip(terms, weights):
+                for t, w in zip(terms.tolist(), weights.tolist()):
                     if t in index:
                         docs, values = index[t]
                         if len(docs) == len(ids):
@@ -106,20 +119,28 @@ def _search(batches: Iterator[pa.RecordBatch], queries: list, k: int) -> Iterato
         )
 
 
+def _group(spark: SparkSession, path: str, asked: DataFrame, g: int) -> pa.Table:
+    """The queries of one group, in order; only its folder is read."""
+    rows = spark.read.schema(T.StructType([*asked.schema.fields, T.StructField("g", T.LongType())])).parquet(path)
+    return rows.where(F.col("g") == g).select("vec_id", "v").orderBy("vec_id").toArrow()
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best rows of ``vectors`` for
     each row of ``queries`` (both: vec_id, v array<long>)."""
     spark = vectors.sparkSession
-    asked = queries.groupBy("vec_id").agg(F.min("v").alias("v"))
+    work = work_path(spark, "top-k")
+    asked = C.cut(queries.groupBy("vec_id").agg(F.min("v").alias("v")))
     groups = -(-max(1, asked.count()) // GROUP)
-    found = None
+    # GROUP rows on average (by hash), bounded, whatever the table's size
+    named = asked.withColumn("g", F.pmod(F.xxhash64("vec_id"), F.lit(groups)))
+    named.repartition("g").write.partitionBy("g").parquet(f"{work}/queries")
     for g in range(groups):
-        # GROUP rows on average (by hash), bounded, whatever the table's size
-        rows = asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(groups)) == g).orderBy("vec_id").collect()
-        sparse = [(r["vec_id"], *zip(*[(t, w) for t, w in enumerate(r["v"]) if w])) if any(r["v"]) else (r["vec_id"], (), ()) for r in rows]
-        sent = spark.sparkContext.broadcast(sparse)
-        part = vectors.mapInArrow(lambda it, sent=sent: _search(it, sent.value, k), _OUT)
-        found = part if found is None else found.unionByName(part)
+        sent = spark.sparkContext.broadcast(_sparse(_group(spark, f"{work}/queries", asked, g)))
+        part = vectors.mapInArrow(C.frugal(lambda it, sent=sent: _search(it, sent.value, k)), _OUT)
+        part.write.mode("append").parquet(f"{work}/found")
+        sent.destroy()
+    found = spark.read.schema(_OUT).parquet(f"{work}/found")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
