@@ -15,6 +15,12 @@ whole sequence; A-Z lower-cased). Two documents link when 100 * intersection
   is held to the smaller l of its two documents. A match also counts only
   if the intersection can still reach a: one, the fewer of the two documents'
   shared tokens before it, and the fewer of their tokens after it.
+* Hot prefix tokens. Documents that hold a token in their prefix differ, for
+  the conditions on a match, in four numbers only (size, l, and the token's
+  place). Where over ``HOT_TOKEN`` documents hold a token, the conditions are
+  tried between these shapes, of which there are few, and only pairs of shapes
+  that can match are filled with their documents: a boilerplate that all
+  documents have, too short to link them, costs its shapes and no pairs.
 * Frequencies. Chunks of documents send (hash, document) to hash blocks;
   only hashes with two or more documents come back. A document whose unshared
   tokens already fill its prefix links with nothing and drops out here. The
@@ -37,6 +43,8 @@ of them is linked with only through their text classes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -304,6 +312,18 @@ def _labelled(profile: DataFrame, comps: DataFrame | None) -> DataFrame:
     return joined.withColumn("comp", F.coalesce("component", "rep")).drop("node", "component")
 
 
+HOT_TOKEN = 256  # documents of different components that hold a token
+_SHAPE = ["n", "ell", "before", "rest"]
+
+
+def _can_match(percent: int, left: str = "l_"):
+    """The conditions on a match between two shapes; the second one's columns
+    begin with ``left``."""
+    n, ell, before, rest = ((F.col(c), F.col(left + c)) for c in _SHAPE)
+    both = F.ceil((n[0] + n[1]).cast("long") * percent / (100 + percent))  # least intersection
+    return (F.greatest(*rest) + both <= F.least(*ell)) & (F.least(*before) + 1 - F.greatest(*rest) >= both) & _similar_size("n", left + "n", percent)
+
+
 def _across(profile: DataFrame, percent: int) -> DataFrame:
     """The multi-match prefix join between different components."""
     post = profile.select("rep", "n", "ell", "comp", F.posexplode(F.arrays_zip("pre", "pos")).alias("before", "x"))
@@ -311,19 +331,29 @@ def _across(profile: DataFrame, percent: int) -> DataFrame:
     # rest: how far from the document's end the token stands (negative)
     post = post.select("rep", "n", "ell", "comp", "before", F.col("x.pre").alias("tok"), (F.col("x.pos") - F.col("n")).alias("rest"))
     per = post.groupBy("tok", "comp").agg(F.count(F.lit(1)).alias("size"))
-    stat = per.groupBy("tok").agg(F.max_by("comp", "size").alias("most"), F.count(F.lit(1)).alias("comps")).where("comps > 1")
-    post = post.join(stat.select("tok", "most"), "tok").withColumn("big", F.col("comp") == F.col("most")).drop("most")
-    left = post.where(~F.col("big")).select("tok", *[F.col(c).alias(f"l_{c}") for c in ("rep", "n", "ell", "comp", "before", "rest")])
-    both = F.ceil((F.col("n") + F.col("l_n")).cast("long") * percent / (100 + percent))  # least intersection
-    ok = (
-        (F.col("comp") != F.col("l_comp"))
-        & (F.col("big") | (F.col("l_rep") < F.col("rep")))
-        & (F.greatest("rest", "l_rest") + both <= F.least("ell", "l_ell"))
-        & (F.least("before", "l_before") + 1 - F.greatest("rest", "l_rest") >= both)
-        & _similar_size("n", "l_n", percent)
-    )
-    right = post.withColumnRenamed("tok", "r_tok")
-    pairs = left.join(right, (F.col("tok") == F.col("r_tok")) & ok)
+    stat = per.groupBy("tok").agg(F.max_by("comp", "size").alias("most"), F.count(F.lit(1)).alias("comps"), F.sum("size").alias("docs")).where("comps > 1")
+    hot = F.col("docs") > HOT_TOKEN
+    post = post.join(stat.select("tok", "most", hot.alias("hot")), "tok").withColumn("big", F.col("comp") == F.col("most")).drop("most")
+    apart = (F.col("comp") != F.col("l_comp")) & (F.col("big") | (F.col("l_rep") < F.col("rep")))
+    every = ["rep", "n", "ell", "comp", "before", "rest"]
+
+    def pairs_of(rows: DataFrame, key: list[str], condition) -> DataFrame:
+        left = rows.where(~F.col("big")).select(*key, *[F.col(c).alias(f"l_{c}") for c in every])
+        right = rows.select(*[F.col(k).alias(f"r_{k}") for k in key], "big", *every)
+        on = [F.col(k) == F.col(f"r_{k}") for k in key]
+        found = left.join(right, reduce(and_, on, condition))
+        return found.select("rep", "l_rep", "ell", "l_ell")
+
+    few = pairs_of(post.where(~F.col("hot")).drop("hot"), ["tok"], apart & _can_match(percent))
+    # hot tokens: shapes first, then the documents of those that can match
+    many = post.where("hot").drop("hot")
+    shapes = many.groupBy("tok", *_SHAPE).agg(F.max((~F.col("big")).cast("int")).alias("small"))
+    l_shapes = shapes.where("small = 1").select(F.col("tok").alias("l_tok"), *[F.col(c).alias(f"l_{c}") for c in _SHAPE])
+    able = l_shapes.join(shapes.drop("small"), (F.col("l_tok") == F.col("tok")) & _can_match(percent)).drop("l_tok")
+    left = many.where(~F.col("big")).select("tok", *[F.col(c).alias(f"l_{c}") for c in every])
+    left = left.join(able, ["tok", *[f"l_{c}" for c in _SHAPE]])
+    found = left.join(many, ["tok", *_SHAPE]).where(apart).select("rep", "l_rep", "ell", "l_ell")
+    pairs = few.unionByName(found)
     pairs = pairs.groupBy(F.least("rep", "l_rep").alias("a"), F.greatest("rep", "l_rep").alias("b"))
     pairs = pairs.agg(F.count(F.lit(1)).alias("shared"), F.min(F.least("ell", "l_ell")).alias("need"))
     return pairs.where("shared >= need").select("a", "b")
