@@ -46,7 +46,7 @@ from pyspark.sql import types as T
 
 from surgecast.llm import common as C
 
-PAGES = 500  # labelled pages that the model is trained on
+PAGES = 1000  # labelled pages that the model is trained on
 EPOCHS = 60
 NEAR = 12  # innermost elements whose class words are features
 BINS = 1 << 14
@@ -137,7 +137,7 @@ class _Stack:
         words = dict.fromkeys(w for _, ws in self.open[-NEAR:] for w in ws)
         out += ["word " + w for w in words] or ["wordless " + (near[-1] if near else own), "wordless"]
         inner = next((ws for _, ws in reversed(self.open[-NEAR:]) if ws), ())
-        out += ["near " + w for w in inner]
+        out += ["near " + w for w in inner] + ["stem " + w[:4] for w in inner]
         return own, out
 
 
@@ -339,7 +339,7 @@ _NAMES = {
     "ad": "ad ads advert advertisement adsense sponsor sponsored promo promotion banner-ad ad-slot google-ad",
     "side": "sidebar side aside widget widgets rail secondary column-right panel",
     "form": "newsletter subscribe signup login search search-form contact-form survey poll",
-    "related": "related related-posts recommended more-stories see-also popular trending read-next tags share social",
+    "related": "related related-posts recommended more-stories see-also popular trending read-next tags share share-buttons sharing social social-links",
     "comments": "comments comment-list discussion responses replies disqus respond reader-comments",
     "footer": "footer site-footer page-footer bottom colophon copyright legal credits",
     "main": "content main article post entry entry-content article-body story post-body text page-content body-text",
@@ -393,7 +393,7 @@ class _Composer:
         """``inside`` in an element that shows what it is by tag, class, id or
         role."""
         rng = self.rng
-        name = rng.choice(_NAMES[kind])
+        name = rng.choice(_NAMES[kind]) + rng.choice(["", "", "", "", "-area", "list", "Box", "_2"])
         shown = rng.random()
         if self.semantic and kind in _TAGS and shown < 0.6:
             extra = f' class="{name}"' if rng.random() < 0.4 else ""
@@ -401,6 +401,7 @@ class _Composer:
         if kind in _ROLE and shown > 0.9:
             return f'<{element} role="{_ROLE[kind]}">{inside}</{element}>'
         where = rng.choice(["class", "class", "id"])
+        name = name + " " + self.words(1) if where == "class" and rng.random() < 0.15 else name
         more = rng.choice(["", "", " box", " block", " wrap", " container"]) if where == "class" else ""
         inside = f"<div>{inside}</div>" if rng.random() < 0.2 else inside
         return f'<{element} {where}="{name}{more}">{inside}</{element}>'
@@ -452,9 +453,9 @@ class _Composer:
             return f"<blockquote>{self.tag('p', self.sentences(3))}</blockquote>"
         if r < 0.91:
             return "<table>" + "".join(f"<tr><td>{self.text(1)}<td>{self.text(rng.randrange(1, 5))}</tr>" for _ in range(rng.randrange(1, 4))) + "</table>"
-        if r < 0.94:
+        if r < 0.93:
             return f"<figure><img src=x><figcaption>{self.text(7)}</figcaption></figure>"
-        if r < 0.97:
+        if r < 0.95:
             return f"<pre>{self.text(6)}\n  {self.words(4)}</pre>"
         return f"<div>{self.sentences()}</div>"
 
@@ -478,9 +479,15 @@ class _Composer:
             body = self.around("main", body)
         elif r < 0.95:
             body = f"<table><tr><td>{body}</td></tr></table>"
-        if not alone and rng.random() < 0.3:
+        if not alone and rng.random() < 0.35:
             comments = self.other("comments")
             body = body[: -len("</article>")] + comments + "</article>" if body.endswith("</article>") and rng.random() < 0.3 else body + comments
+        if not alone and rng.random() < 0.4:
+            # what stands around the article may lie in one element with it
+            near = [self.other(k) for k in ("side", "related", "ad", "notice") if rng.random() < 0.3]
+            body = rng.choice(near + [""]) + body + "".join(near)
+            outer = rng.choice("page wrapper container primary site layout content main row col-8 center inner".split())
+            body = f'<div {rng.choice(["class", "id"])}="{outer}">{body}</div>'
         before = [k for k in ("notice", "header", "nav", "ad", "form", "side") if rng.random() < 0.5]
         after = [k for k in ("related", "side", "ad", "form", "nav") if rng.random() < 0.3] + (["footer"] if rng.random() < 0.9 else [])
         if alone:
