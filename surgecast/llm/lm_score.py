@@ -20,7 +20,8 @@ frequencies, and are trained on every token of every training document by
 truncated back-propagation inside Spark. In each of ``ROUNDS`` rounds every
 partition goes on from the common weights over its documents of that round
 (dealt by hash), and the weights of all partitions are averaged by their
-tokens, piece by piece, in tasks; the driver only gets the average. Texts are
+tokens, piece by piece, in two steps: first within ``GROUPS`` groups of
+partitions, then those; the driver only gets the average. Texts are
 lanes of one batch; one of over ``STRETCH`` tokens becomes several lanes, which
 begin with an empty state but the right previous token. The weights depend on how rows
 lie in partitions, as with any averaged training. A document is scored
@@ -54,9 +55,11 @@ SPREAD, LEAST = 64, 2  # size of the vocabulary, see above
 IN_CLASS = 64
 HIDDEN = 32
 WINDOW = 64
-LANES, TRAIN_WINDOW, STRETCH = 256, 32, 4096
+LANES, TRAIN_WINDOW, STRETCH = 256, 32, 2048
 ROUNDS, RATE = 3, 0.004
 PIECE = 1 << 16  # weights averaged together
+GROUPS = 64  # of partitions, averaged apart first
+ROWS_AT_ONCE = 4096  # of the output layer, so that they stay in the cache
 SLICE = 4 << 20
 END = np.uint64(0x9D5C_1F3A_77E1_0B2D)  # stands for the end token among word hashes
 
@@ -243,7 +246,23 @@ def _collect_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1.0 / (1.0 + np.exp(-x))
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
+def _logits(h: np.ndarray, weights: np.ndarray, calm: bool) -> np.ndarray:
+    s = h @ weights.T
+    if not calm:
+        s -= s.max(axis=1, keepdims=True)
+    return s
+
+
+def _log_softmax(h: np.ndarray, weights: np.ndarray, target: np.ndarray, calm: bool) -> np.ndarray:
+    s = _logits(h, weights, calm)
+    hit = s[np.arange(len(s)), target]
+    return hit - np.log(np.exp(s, out=s).sum(axis=1))
 
 
 class GruModel:
@@ -288,22 +307,38 @@ class GruModel:
         n = np.tanh(a[:, 2 * HIDDEN :] + (r * h) @ self.p["cand"])
         return n + z * (h - n), z, r, n
 
-    def log_prob(self, h: np.ndarray, y: np.ndarray) -> np.ndarray:
+    def output(self) -> tuple[np.ndarray, np.ndarray, bool, bool]:
+        """Weights of classes and words with their biases as a last column (the
+        state gets a last component 1), and whether their exponentials can
+        neither overflow nor all vanish: components of a state are within 1."""
+        cls = np.concatenate((self.p["cls"].T, self.p["cls_b"][:, None]), axis=1)
+        word = np.concatenate((self.p["word"], self.p["word_b"][:, None]), axis=1)
+
+        def calm(table: np.ndarray, group: int) -> bool:
+            most = np.sqrt(HIDDEN * np.einsum("ij,ij->i", table[:, :-1], table[:, :-1]))
+            high, low = (table[:, -1] + most).max(initial=0), (table[:, -1] - most).reshape(-1, group).max(axis=1).min(initial=0)
+            return high < 60 and low > -60
+
+        return cls, word, calm(cls, len(cls)), calm(word, self.in_class)
+
+    def log_prob(self, h: np.ndarray, y: np.ndarray, output=None) -> np.ndarray:
         """Natural log P(y | state), the spelling of unknown words apart."""
-        cls = np.minimum(y // self.in_class, self.classes - 1)
-        cls[y == self.size] = self.classes - 1
-        logits = h @ self.p["cls"] + self.p["cls_b"]
-        top = logits.max(axis=1)
-        out = logits[np.arange(len(y)), cls] - top - np.log(np.exp(logits - top[:, None]).sum(axis=1))
+        by_class, by_word, calm_class, calm_word = output or self.output()
+        h = np.concatenate((h, np.ones((len(h), 1), np.float32)), axis=1)
+        cls = np.where(y == self.size, self.classes - 1, y // self.in_class)
+        out = np.empty(len(y), np.float32)
+        for lo in range(0, len(y), ROWS_AT_ONCE):
+            part = slice(lo, lo + ROWS_AT_ONCE)
+            out[part] = _log_softmax(h[part], by_class, cls[part], calm_class)
         order = np.argsort(cls, kind="stable")
         cuts = np.searchsorted(cls[order], np.arange(self.classes))
+        h, hits, more = h[order], y[order] % self.in_class, np.zeros(len(y), np.float32)
         for c in range(self.classes - 1):
-            at = order[cuts[c] : cuts[c + 1]]
-            if len(at):
-                w = slice(c * self.in_class, (c + 1) * self.in_class)
-                s = h[at] @ self.p["word"][w].T + self.p["word_b"][w]
-                m = s.max(axis=1)
-                out[at] += s[np.arange(len(at)), y[at] - c * self.in_class] - m - np.log(np.exp(s - m[:, None]).sum(axis=1))
+            w = slice(c * self.in_class, (c + 1) * self.in_class)
+            for lo in range(int(cuts[c]), int(cuts[c + 1]), ROWS_AT_ONCE):
+                at = slice(lo, min(lo + ROWS_AT_ONCE, int(cuts[c + 1])))
+                more[at] = _log_softmax(h[at], by_word[w], hits[at], calm_word)
+        out[order] += more
         return out
 
     def score(self, y: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -314,6 +349,7 @@ class GruModel:
         first = (np.cumsum(counts) - counts)[lane]
         h = np.zeros((len(lane), HIDDEN), np.float32)
         prev = np.full(len(lane), self.size + 1)
+        output = self.output()
         for lo in range(0, int(size[0]) if len(size) else 0, WINDOW):
             states, targets, owners = [], [], []
             for t in range(lo, min(lo + WINDOW, int(size[0]))):
@@ -324,71 +360,99 @@ class GruModel:
                 states.append(h)
                 targets.append(prev)
                 owners.append(lane[:live])
-            logs = self.log_prob(np.concatenate(states), np.concatenate(targets))
+            logs = self.log_prob(np.concatenate(states), np.concatenate(targets), output)
             total += np.bincount(np.concatenate(owners), logs, minlength=len(counts))
         return total
 
     # ------------------------------------------------------------- training
 
-    def window_gradients(self, x: np.ndarray, y: np.ndarray, fresh: np.ndarray, h: np.ndarray, inside: np.ndarray | None = None):
+    def window_gradients(self, x: np.ndarray, y: np.ndarray, fresh: np.ndarray, h: np.ndarray, inside: np.ndarray | None = None, g: dict | None = None):
         """One truncated window: x, y, fresh, inside (steps, lanes); gradients
         of the mean loss, the loss, and the state to carry on. Places that are
-        not ``inside`` lie behind the end of their lane and do not count."""
+        not ``inside`` lie behind the end of their lane and do not count. ``g``:
+        gradients of an earlier window, whose tables are used again."""
         p, steps, lanes = self.p, *x.shape
-        kept, out = [], np.empty((steps, lanes, HIDDEN), np.float32)
+        a, new = p["input"][x], fresh.any(axis=1)
+        hp, rh, n, out = (np.empty((steps, lanes, HIDDEN), np.float32) for _ in range(4))
+        zr = np.empty((steps, lanes, 2 * HIDDEN), np.float32)
         for t in range(steps):
-            h = np.where(fresh[t][:, None], 0, h).astype(np.float32)
-            out[t], z, r, n = self.step(x[t], h)
-            kept.append((h, z, r, n))
+            hp[t] = np.where(fresh[t][:, None], np.float32(0), h) if new[t] else h
+            np.matmul(hp[t], p["gates"], out=zr[t])
+            zr[t] += a[t, :, : 2 * HIDDEN]
+            _sigmoid(zr[t])
+            np.multiply(zr[t, :, HIDDEN:], hp[t], out=rh[t])
+            np.matmul(rh[t], p["cand"], out=n[t])
+            n[t] += a[t, :, 2 * HIDDEN :]
+            np.tanh(n[t], out=n[t])
             h = out[t]
+            np.subtract(hp[t], n[t], out=h)
+            h *= zr[t, :, :HIDDEN]
+            h += n[t]
+        z, r = zr[:, :, :HIDDEN], zr[:, :, HIDDEN:]
         flat, target = out.reshape(-1, HIDDEN), y.reshape(-1)
-        at = slice(None) if inside is None else np.flatnonzero(inside.reshape(-1))
+        at = slice(None) if inside is None or inside.all() else np.flatnonzero(inside.reshape(-1))
         flat, target = flat[at], target[at]
         d_all, whole = np.zeros((steps * lanes, HIDDEN), np.float32), at
         count = len(target)
         cls = np.where(target == self.size, self.classes - 1, target // self.in_class)
-        g = {k: np.zeros(v.shape, v.dtype) for k, v in p.items()}  # pages not touched cost nothing
-        logits = flat @ p["cls"] + p["cls_b"]
-        logits -= logits.max(axis=1, keepdims=True)
-        prob = np.exp(logits)
-        prob /= prob.sum(axis=1, keepdims=True)
-        loss = -np.log(prob[np.arange(count), cls] + 1e-30).sum()
-        prob[np.arange(count), cls] -= 1
-        prob /= count
-        g["cls"], g["cls_b"] = flat.T @ prob, prob.sum(axis=0)
-        d_out = prob @ p["cls"].T
+        g = g or {k: np.empty(p[k].shape, p[k].dtype) for k in ("input", "word", "word_b")}
+        for k in ("input", "word", "word_b"):
+            g[k].fill(0)
+        by_class, by_word, calm_class, calm_word = self.output()
+        with_one = np.concatenate((flat, np.ones((count, 1), np.float32)), axis=1)
+        share = np.float32(1 / max(1, count))
+
+        def miss(h: np.ndarray, weights: np.ndarray, hit: np.ndarray, calm: bool) -> tuple[np.ndarray, float]:
+            """(probabilities less the target) / count, and the loss."""
+            s, i = _logits(h, weights, calm), np.arange(len(h))
+            wanted = s[i, hit].astype(np.float64)
+            total = np.exp(s, out=s).sum(axis=1)
+            s *= (share / total)[:, None]
+            s[i, hit] -= share
+            return s, float((np.log(total) - wanted).sum())
+
+        prob, loss = miss(with_one, by_class, cls, calm_class)
+        both = prob.T @ with_one
+        g["cls"], g["cls_b"] = both[:, :-1].T, both[:, -1]
+        d_out = prob @ by_class[:, :-1]
         order = np.argsort(cls, kind="stable")
         cuts = np.searchsorted(cls[order], np.arange(self.classes))
+        sorted_h, hits, d_sorted = with_one[order], target[order] % self.in_class, np.zeros((count, HIDDEN), np.float32)
         for c in range(self.classes - 1):
-            at = order[cuts[c] : cuts[c + 1]]
-            if len(at):
+            lo, hi = int(cuts[c]), int(cuts[c + 1])
+            if lo < hi:
                 w = slice(c * self.in_class, (c + 1) * self.in_class)
-                s = flat[at] @ p["word"][w].T + p["word_b"][w]
-                s = np.exp(s - s.max(axis=1, keepdims=True))
-                s /= s.sum(axis=1, keepdims=True)
-                hit = target[at] - c * self.in_class
-                loss -= np.log(s[np.arange(len(at)), hit] + 1e-30).sum()
-                s[np.arange(len(at)), hit] -= 1
-                s /= count
-                g["word"][w], g["word_b"][w] = s.T @ flat[at], s.sum(axis=0)
-                d_out[at] += s @ p["word"][w]
+                s, more = miss(sorted_h[lo:hi], by_word[w], hits[lo:hi], calm_word)
+                loss += more
+                both = s.T @ sorted_h[lo:hi]
+                g["word"][w], g["word_b"][w] = both[:, :-1], both[:, -1]
+                np.matmul(s, by_word[w, :-1], out=d_sorted[lo:hi])
+        d_out[order] += d_sorted
         d_all[whole] = d_out
         d_out = d_all.reshape(steps, lanes, HIDDEN)
+        # how the inputs of the three gates move the next state
+        by_n = (1 - z) * (1 - n * n)
+        by_z = (hp - n) * z * (1 - z)
+        by_r = hp * r * (1 - r)
         dh = np.zeros((lanes, HIDDEN), np.float32)
         d_in = np.empty((steps, lanes, 3 * HIDDEN), np.float32)
+        to_cand, to_gates = np.ascontiguousarray(p["cand"].T), np.ascontiguousarray(p["gates"].T)
         for t in range(steps - 1, -1, -1):
-            hp, z, r, n = kept[t]
-            d = dh + d_out[t]
-            dn = d * (1 - z) * (1 - n * n)
-            dz = d * (hp - n) * z * (1 - z)
-            drh = dn @ p["cand"].T
-            dr = drh * hp * r * (1 - r)
-            gates = np.concatenate((dz, dr), axis=1)
-            g["cand"] += (r * hp).T @ dn
-            g["gates"] += hp.T @ gates
-            d_in[t] = np.concatenate((gates, dn), axis=1)
-            dh = d * z + drh * r + gates @ p["gates"].T
-            dh = np.where(fresh[t][:, None], 0, dh).astype(np.float32)
+            d = dh
+            d += d_out[t]
+            dn, gates = d_in[t, :, 2 * HIDDEN :], d_in[t, :, : 2 * HIDDEN]
+            np.multiply(d, by_n[t], out=dn)
+            np.multiply(d, by_z[t], out=gates[:, :HIDDEN])
+            drh = dn @ to_cand
+            np.multiply(drh, by_r[t], out=gates[:, HIDDEN:])
+            d *= z[t]
+            drh *= r[t]
+            d += drh
+            d += gates @ to_gates
+            dh = np.where(fresh[t][:, None], np.float32(0), d) if new[t] else d
+        every = d_in.reshape(-1, 3 * HIDDEN)
+        g["cand"] = rh.reshape(-1, HIDDEN).T @ every[:, 2 * HIDDEN :]
+        g["gates"] = hp.reshape(-1, HIDDEN).T @ every[:, : 2 * HIDDEN]
         order = np.argsort(x, axis=None, kind="stable")
         rows, first = np.unique(x.reshape(-1)[order], return_index=True)
         g["input"][rows] = np.add.reduceat(d_in.reshape(-1, 3 * HIDDEN)[order], first)
@@ -398,15 +462,18 @@ class GruModel:
         """Adam over windows of the texts, all of each; the tokens trained on."""
         adam, tokens = adam or Adam(self.p), 0
         for _ in range(passes):
-            lanes: list[list] = [[] for _ in range(min(LANES, sum(-(-len(t) // STRETCH) for t in texts)))]
-            load = [(0, i) for i in range(len(lanes))]
+            pieces = []
             for t in texts:
                 prev = np.append(self.size + 1, t[:-1])
-                for lo in range(0, len(t), STRETCH):
-                    part = slice(lo, lo + STRETCH)
-                    n, i = load[0]
-                    lanes[i].append((prev[part], t[part]))
-                    heapq.heapreplace(load, (n + len(t[part]), i))
+                pieces += [(prev[lo : lo + STRETCH], t[lo : lo + STRETCH]) for lo in range(0, len(t), STRETCH)]
+            # the longest first, each to the shortest lane; in a lane as they came
+            dealt: list[list[int]] = [[] for _ in range(min(LANES, len(pieces)))]
+            load = [(0, i) for i in range(len(dealt))]
+            for k in sorted(range(len(pieces)), key=lambda k: -len(pieces[k][1])):
+                n, i = load[0]
+                dealt[i].append(k)
+                heapq.heapreplace(load, (n + len(pieces[k][1]), i))
+            lanes = [[pieces[k] for k in sorted(ks)] for ks in dealt]
             lanes.sort(key=lambda lane: -sum(len(t) for _, t in lane))
             size = np.array([sum(len(t) for _, t in lane) for lane in lanes], np.int64)
             x, y = (np.zeros((int(size.max(initial=0)), len(lanes)), np.int32) for _ in range(2))
@@ -415,12 +482,12 @@ class GruModel:
                 x[: size[i], i] = np.concatenate([a for a, _ in lane])
                 y[: size[i], i] = np.concatenate([t for _, t in lane])
                 begins[np.cumsum([0] + [len(t) for _, t in lane[:-1]]), i] = True
-            h = np.zeros((len(lanes), HIDDEN), np.float32)
+            h, g = np.zeros((len(lanes), HIDDEN), np.float32), None
             for lo in range(0, len(x), TRAIN_WINDOW):
                 live = int(np.searchsorted(-size, -lo, "left"))
                 s = slice(lo, lo + TRAIN_WINDOW), slice(0, live)
                 inside = np.arange(lo, lo + len(x[s]))[:, None] < size[:live]
-                g, _, h = self.window_gradients(x[s], y[s], begins[s], h[:live], inside)
+                g, _, h = self.window_gradients(x[s], y[s], begins[s], h[:live], inside, g)
                 known = y[s][inside & (y[s] < self.size)]
                 cls = np.unique(known // self.in_class)
                 words = (cls[:, None] * self.in_class + np.arange(self.in_class)).reshape(-1)
@@ -431,7 +498,8 @@ class GruModel:
 
 
 class Adam:
-    """Moments of the weights; of tables only the rows in use are moved."""
+    """Moments of the weights; of a table most of whose rows are not in use only
+    those in use are moved."""
 
     def __init__(self, p: dict):
         self.m, self.v = ({k: np.zeros(a.shape, a.dtype) for k, a in p.items()} for _ in range(2))
@@ -439,16 +507,32 @@ class Adam:
 
     def step(self, p: dict, g: dict, rows: dict, rate: float, share: float) -> None:
         self.n += 1
-        at = {k: rows.get(k, slice(None)) for k in p}
-        used = {k: g[k][at[k]] for k in p}
-        norm = share * np.sqrt(sum(float((a * a).sum()) for a in used.values()))
+        at = {k: rows[k] if k in rows and 2 * len(rows[k]) < len(p[k]) else None for k in p}
+        used = {k: g[k] if at[k] is None else g[k][at[k]] for k in p}
+        norm = share * np.sqrt(sum(float(np.vdot(a, a)) for a in used.values()))
         scale = np.float32(share * min(1.0, 1.0 / (norm + 1e-9)))
+        least = np.float32(1e-7 * np.sqrt(1 - 0.99**self.n))
+        speed = np.float32(rate * np.sqrt(1 - 0.99**self.n) / (1 - 0.9**self.n))
         for k, a in used.items():
-            i, a = at[k], a * scale
-            m = self.m[k][i] + np.float32(0.1) * (a - self.m[k][i])
-            v = self.v[k][i] + np.float32(0.01) * (a * a - self.v[k][i])
-            self.m[k][i], self.v[k][i] = m, v
-            p[k][i] -= np.float32(rate) * (m / np.float32(1 - 0.9**self.n)) / (np.sqrt(v / np.float32(1 - 0.99**self.n)) + np.float32(1e-7))
+            i = at[k]
+            m, v = (self.m[k], self.v[k]) if i is None else (self.m[k][i], self.v[k][i])
+            a = np.multiply(a, scale)
+            t = np.subtract(a, m)
+            t *= np.float32(0.1)
+            m += t
+            np.multiply(a, a, out=a)
+            a -= v
+            a *= np.float32(0.01)
+            v += a
+            np.sqrt(v, out=t)
+            t += least
+            np.divide(m, t, out=t)
+            t *= speed
+            if i is None:
+                p[k] -= t
+            else:
+                self.m[k][i], self.v[k][i] = m, v
+                p[k][i] -= t
 
 
 # ------------------------------------------------------------------- the query
@@ -508,35 +592,43 @@ def _train_part(batches: Iterator[pa.RecordBatch], model: GruModel) -> Iterator[
 
 
 def _average(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per piece the mean weights; rows come sorted, so that reruns agree."""
+    """Per piece and group (``to``) the mean weights, summed up as they come;
+    rows come sorted, so that reruns agree."""
     now, total, n = None, None, 0
 
     def out():
-        return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([0], pa.int32()), pa.array([n]), pa.array([C.blob((total / n).astype(np.float32))], pa.binary())], ["piece", "part", "tokens", "w"])
+        return pa.RecordBatch.from_arrays([pa.array([now[0]], pa.int32()), pa.array([now[1]], pa.int32()), pa.array([n]), pa.array([C.blob((total / n).astype(np.float32))], pa.binary())], ["piece", "part", "tokens", "w"])
 
     for batch in batches:
-        for piece, tokens, w in zip(*(batch.column(c) for c in ("piece", "tokens", "w"))):
-            if piece.as_py() != now:
+        for piece, to, tokens, w in zip(*(batch.column(c) for c in ("piece", "to", "tokens", "w"))):
+            if (piece.as_py(), to.as_py()) != now:
                 if now is not None:
                     yield out()
-                now, total, n = piece.as_py(), 0.0, 0
+                now, total, n = (piece.as_py(), to.as_py()), 0.0, 0
             total = total + np.frombuffer(w.as_py(), np.float32).astype(np.float64) * tokens.as_py()
             n += tokens.as_py()
     if now is not None:
         yield out()
 
 
+def _averaged(parts: DataFrame, tasks: int, to) -> DataFrame:
+    rows = parts.withColumn("to", to.cast("int")).repartition(tasks, "piece", "to").sortWithinPartitions("piece", "to", "part")
+    return rows.mapInArrow(C.frugal(_average), _WEIGHTS)
+
+
 def train_rounds(rows: DataFrame, model: GruModel, rounds: int = ROUNDS) -> int:
     """Train ``model`` on all training rows (doc_id, text, th, train), each in
     one of the rounds; the number of tokens trained on."""
     spark, seen = rows.sparkSession, 0
     size = sum(v.size for v in model.p.values())
-    tasks = min(-(-size // PIECE), C.partitions(spark, 0, 1))
+    pieces = -(-size // PIECE)
+    tasks = C.partitions(spark, 0, 1)
     for r in range(rounds):
         sent = spark.sparkContext.broadcast(model)
         mine = rows.where(F.col("train") & (F.pmod(F.xxhash64(F.lit("round"), "doc_id", "th"), F.lit(rounds)) == r))
-        parts = mine.select("text").mapInArrow(lambda b, sent=sent: _train_part(b, sent.value), _WEIGHTS)
-        mean = parts.repartition(tasks, "piece").sortWithinPartitions("piece", "part").mapInArrow(_average, _WEIGHTS)
+        parts = mine.select("text").mapInArrow(C.frugal(lambda b, sent=sent: _train_part(b, sent.value)), _WEIGHTS)
+        some = _averaged(parts, min(pieces * GROUPS, tasks), F.pmod(F.col("part"), F.lit(GROUPS)))
+        mean = _averaged(some, min(pieces, tasks), F.lit(0))
         got = sorted(mean.select("piece", "tokens", "w").collect())  # one model
         sent.unpersist()
         if not got:
@@ -586,7 +678,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
 
     cold = counted.where("kind in (0, 1)").repartition(tasks, "chunk").mapInArrow(_collect_chunks, "doc_id long, th long, cold_sum double, cold_known long")
     cold = cold.groupBy("doc_id", "th").agg(F.min("cold_sum").alias("cold_sum"), F.min("cold_known").alias("cold_known")).withColumnsRenamed({"doc_id": "_d", "th": "_t"})
-    scored = rows.select("doc_id", "th", "text").mapInArrow(lambda b: _score(b, *sent_model.value), "doc_id long, th long, n_tokens long, hot_sum double, hot_known long, score double")
+    scored = rows.select("doc_id", "th", "text").mapInArrow(C.frugal(lambda b: _score(b, *sent_model.value)), "doc_id long, th long, n_tokens long, hot_sum double, hot_known long, score double")
     both = scored.join(cold, scored["doc_id"].eqNullSafe(cold["_d"]) & scored["th"].eqNullSafe(cold["_t"]), "left")
     end = float(np.log10(train_docs + 0.5))
     shared = float(np.log10(tokens + 0.5 * (distinct + 1)))
