@@ -42,7 +42,7 @@ from surgecast.llm import common as C
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 LONG = 64
-CACHE = 200_000  # pieces a worker remembers
+CACHE = 100_000  # pieces a worker remembers
 
 # ------------------------------------------------------------ pre-tokenisation
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from surgecast.session import shared_dir
 
 U64 = np.uint64
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 SEPARATORS = bytes([0x20, 9, 10, 11, 12, 13])
 WORD = r"[^\x20\x09-\x0D]+"
 _CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"

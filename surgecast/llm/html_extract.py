@@ -21,7 +21,7 @@ field over DOM leaf blocks.
   piece of text is labelled as it is made. The number is a parameter.
 
 Work is one pass over the pages, with no shuffle; a task holds a slice of about
-2 MB of pages, or one page.
+half a MB of pages, or one page.
 
 Defined results: null or empty html, and pages without main text, give an
 empty text; character references are decoded, white space (as Python's
