@@ -376,7 +376,9 @@ class GruModel:
         hp, rh, n, out = (np.empty((steps, lanes, HIDDEN), np.float32) for _ in range(4))
         zr = np.empty((steps, lanes, 2 * HIDDEN), np.float32)
         for t in range(steps):
-            hp[t] = np.where(fresh[t][:, None], np.float32(0), h) if new[t] else h
+            hp[t] = h
+            if new[t]:
+                hp[t][fresh[t]] = 0
             np.matmul(hp[t], p["gates"], out=zr[t])
             zr[t] += a[t, :, : 2 * HIDDEN]
             _sigmoid(zr[t])
@@ -431,14 +433,18 @@ class GruModel:
         d_all[whole] = d_out
         d_out = d_all.reshape(steps, lanes, HIDDEN)
         # how the inputs of the three gates move the next state
-        by_n = (1 - z) * (1 - n * n)
-        by_z = (hp - n) * z * (1 - z)
-        by_r = hp * r * (1 - r)
-        dh = np.zeros((lanes, HIDDEN), np.float32)
+        off = 1 - zr
+        by_n = n * n
+        np.subtract(1, by_n, out=by_n)
+        by_n *= off[:, :, :HIDDEN]
+        by_z = hp - n
+        off *= zr
+        by_z *= off[:, :, :HIDDEN]
+        by_r = np.multiply(hp, off[:, :, HIDDEN:])
+        d = np.zeros((lanes, HIDDEN), np.float32)
         d_in = np.empty((steps, lanes, 3 * HIDDEN), np.float32)
         to_cand, to_gates = np.ascontiguousarray(p["cand"].T), np.ascontiguousarray(p["gates"].T)
         for t in range(steps - 1, -1, -1):
-            d = dh
             d += d_out[t]
             dn, gates = d_in[t, :, 2 * HIDDEN :], d_in[t, :, : 2 * HIDDEN]
             np.multiply(d, by_n[t], out=dn)
@@ -449,7 +455,8 @@ class GruModel:
             drh *= r[t]
             d += drh
             d += gates @ to_gates
-            dh = np.where(fresh[t][:, None], np.float32(0), d) if new[t] else d
+            if new[t]:
+                d[fresh[t]] = 0
         every = d_in.reshape(-1, 3 * HIDDEN)
         g["cand"] = rh.reshape(-1, HIDDEN).T @ every[:, 2 * HIDDEN :]
         g["gates"] = hp.reshape(-1, HIDDEN).T @ every[:, : 2 * HIDDEN]
@@ -562,7 +569,8 @@ def _score(batches: Iterator[pa.RecordBatch], model: GruModel, hot: np.ndarray,
         hot_known = np.bincount(doc[at >= 0], c > 0, minlength=n).astype(np.int64)
         y, counts = _sequence(model, words, h)
         total = model.score(y, counts)
-        unknown = np.flatnonzero(model.numbers(h) == model.size)
+        end = np.cumsum(counts) - 1
+        unknown = np.flatnonzero(np.delete(y, end) == model.size)
         if len(unknown):
             code, first = _bigrams(words, unknown)
             total += np.bincount(doc[unknown], np.add.reduceat(model.spelling[code], first), minlength=n)
