@@ -20,8 +20,8 @@ frequencies, and are trained on every token of every training document by
 truncated back-propagation inside Spark. In each of ``ROUNDS`` rounds every
 partition goes on from the common weights over its documents of that round
 (dealt by hash), and the weights of all partitions are averaged by their
-tokens, piece by piece, in two steps: first within ``GROUPS`` groups of
-partitions, then those; the driver only gets the average. Texts are
+tokens, piece by piece, in two steps: within groups of about the square root of the
+number of partitions, then the groups; the driver only gets the average. Texts are
 lanes of one batch; one of over ``STRETCH`` tokens becomes several lanes, which
 begin with an empty state but the right previous token. The weights depend on how rows
 lie in partitions, as with any averaged training. A document is scored
@@ -39,6 +39,7 @@ from __future__ import annotations
 import copy
 import heapq
 from collections.abc import Iterator
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -58,7 +59,6 @@ WINDOW = 64
 LANES, TRAIN_WINDOW, STRETCH = 256, 32, 2048
 ROUNDS, RATE = 3, 0.004
 PIECE = 1 << 16  # weights averaged together
-GROUPS = 64  # of partitions, averaged apart first
 ROWS_AT_ONCE = 4096  # of the output layer, so that they stay in the cache
 SLICE = 4 << 20
 END = np.uint64(0x9D5C_1F3A_77E1_0B2D)  # stands for the end token among word hashes
@@ -629,13 +629,13 @@ def train_rounds(rows: DataFrame, model: GruModel, rounds: int = ROUNDS) -> int:
     one of the rounds; the number of tokens trained on."""
     spark, seen = rows.sparkSession, 0
     size = sum(v.size for v in model.p.values())
-    pieces = -(-size // PIECE)
-    tasks = C.partitions(spark, 0, 1)
+    pieces, tasks = -(-size // PIECE), C.partitions(spark, 0, 1)
+    groups = max(1, isqrt(rows.select("text")._jdf.rdd().getNumPartitions()))
     for r in range(rounds):
         sent = spark.sparkContext.broadcast(model)
         mine = rows.where(F.col("train") & (F.pmod(F.xxhash64(F.lit("round"), "doc_id", "th"), F.lit(rounds)) == r))
         parts = mine.select("text").mapInArrow(C.frugal(lambda b, sent=sent: _train_part(b, sent.value)), _WEIGHTS)
-        some = _averaged(parts, min(pieces * GROUPS, tasks), F.pmod(F.col("part"), F.lit(GROUPS)))
+        some = _averaged(parts, min(pieces * groups, tasks), F.pmod(F.col("part"), F.lit(groups)))
         mean = _averaged(some, min(pieces, tasks), F.lit(0))
         got = sorted(mean.select("piece", "tokens", "w").collect())  # one model
         sent.unpersist()
