@@ -268,15 +268,17 @@ def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 # ------------------------------------------------------- connected components
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of ``edges`` (a, b: long); component is
     the smallest node reachable. Alternating large and small stars: each step
     is a grouped minimum (combined map-side) and a join back, so no node's
-    neighbours are collected; each step ends in a checkpoint."""
+    neighbours are collected; each step ends in a checkpoint. It goes on as long
+    as a step changes an edge: every change replaces a node by a smaller one of
+    its component, so that the steps come to an end."""
     e = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     e = cut(e)
     last = None
-    for _ in range(rounds):
+    while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -288,8 +290,6 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if tuple(state) == last:
             break
         last = tuple(state)
-    else:
-        raise RuntimeError("components did not settle")
     stars = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return stars.unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component"))).distinct()
 
