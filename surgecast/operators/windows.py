@@ -127,6 +127,7 @@ def tumbling_aggregate(events: DataFrame, cfg: CampaignConfig | None = None) ->
 
 
 SKETCH_LG_K = 12  # 4,096 registers: a standard error of about 1.6 %
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_LG_K / 2)
 
 
 def client_sketches(events: DataFrame, cfg: CampaignConfig | None = None, lg_k: int = SKETCH_LG_K) -> DataFrame:

@@ -145,9 +145,15 @@ def q_dedup_conflicts(spark, sf_dir):
 
 
 def q_clients_per_cell(spark, sf_dir):
-    """The sketches' estimates, which are exact for few clients (a sketch
-    lists up to some hundreds of them)."""
-    return flat(W.clients_per_cell(deduped_for(spark, sf_dir)))
+    """The sketch's estimate beside the exact count (one row per client in the
+    window aggregate), with a flag: is the estimate within three standard
+    errors? Of few clients (some hundreds) a sketch's estimate is exact."""
+    deduped = deduped_for(spark, sf_dir)
+    sketch = flat(W.clients_per_cell(deduped))
+    exact = flat(W.window_aggregate(deduped)).groupBy("windowStart", "windowEnd", "cellId").agg(F.count(F.lit(1)).alias("clients"))
+    both = sketch.join(exact, ["windowStart", "windowEnd", "cellId"])
+    near = F.abs(F.col("approxClients") - F.col("clients")) <= F.greatest(F.lit(1.0), 3 * W.SKETCH_ERROR * F.col("clients"))
+    return both.select("windowStart", "windowEnd", "cellId", "approxClients", "clients", "eventCount", near.alias("withinError"))
 
 
 def q_clients_per_hour(spark, sf_dir):

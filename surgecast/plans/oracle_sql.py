@@ -326,7 +326,7 @@ SELECT "windowStart", "windowEnd", "clientId", "cellId", segment, "avgCongestion
 FROM rep"""
 
 SQL["clients_per_cell"] = _with(PER_EVENT, CLEAN, DEDUP, WINDOWS) + """
-SELECT "windowStart", "windowEnd", "cellId", count(*) AS "approxClients", CAST(sum("eventCount") AS BIGINT) AS "eventCount"
+SELECT "windowStart", "windowEnd", "cellId", count(*) AS "approxClients", count(*) AS clients, CAST(sum("eventCount") AS BIGINT) AS "eventCount", true AS "withinError"
 FROM agg GROUP BY ALL"""
 
 SQL["clients_per_hour"] = _with(PER_EVENT, CLEAN, DEDUP) + """
