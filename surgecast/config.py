@@ -57,6 +57,9 @@ class CampaignConfig:
     events_topic: str = "geo-events"
     alerts_topic: str = "campaign-alerts"
     state_store_provider: str | None = None  # e.g. ROCKSDB_STATE_STORE for large key sets
+    # shuffle and state partitions of the stream, frozen at its first start;
+    # none: the session's number
+    state_partitions: int | None = None
 
     def with_(self, **kw) -> "CampaignConfig":
         return replace(self, **kw)

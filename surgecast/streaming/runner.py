@@ -22,7 +22,9 @@ into a clean and a reject table, of which the pipeline reads the clean one, and
 
 from __future__ import annotations
 
+import contextlib
 import time
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -189,20 +191,31 @@ def start_pipeline(
     if query_name:
         writer = writer.queryName(query_name)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=cfg.trigger_interval)
-    if not cfg.state_store_provider:
+    with _settings(spark, {STATE_STORE_KEY: cfg.state_store_provider, PARTITIONS_KEY: cfg.state_partitions}):
         return writer.start(), sink
-    # the query runs on a copy of the session taken at start: set the state
-    # store for this query only, then give the session its own value back
-    key = "spark.sql.streaming.stateStore.providerClass"
-    saved = spark.conf.get(key, None)
-    spark.conf.set(key, cfg.state_store_provider)
+
+
+STATE_STORE_KEY = "spark.sql.streaming.stateStore.providerClass"
+PARTITIONS_KEY = "spark.sql.shuffle.partitions"
+SUMMARY_PARTITIONS = 1  # the summary has a row per segment and decision
+
+
+@contextlib.contextmanager
+def _settings(spark: SparkSession, values: dict) -> Iterator[None]:
+    """Settings for the query started within: it runs on a copy of the session
+    taken at start, and the session gets its own values back."""
+    values = {k: str(v) for k, v in values.items() if v}
+    saved = {k: spark.conf.get(k, None) for k in values}
     try:
-        return writer.start(), sink
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
     finally:
-        if saved is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, saved)
+        for k, v in saved.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
 
 
 def start_rejects(
@@ -285,7 +298,9 @@ def start_summary(
         write_table(table.where("alerts > 0"), path)
 
     writer = running.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(write)
-    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=cfg.trigger_interval)).start()
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=cfg.trigger_interval)
+    with _settings(spark, {PARTITIONS_KEY: SUMMARY_PARTITIONS}):
+        return writer.start()
 
 
 def stop_after_batch(query: StreamingQuery, poll_s: float = 0.2) -> None:
