@@ -153,9 +153,11 @@ DAY_MS = 86_400_000
 
 
 def write_replies(replies: DataFrame, path: str) -> None:
-    """Append to the reply table, a folder per day of the windows."""
+    """Append to the reply table, a folder per day of the windows. The rows of
+    a day are brought together first (in parts, if many), so that the files do
+    not grow with days times tasks: every micro-batch lists them."""
     day = F.floor(F.col("windowStart") / DAY_MS).cast("int")
-    replies.select(*schemas.REPLY.names, day.alias("day")).write.mode("append").partitionBy("day").parquet(path)
+    replies.select(*schemas.REPLY.names, day.alias("day")).hint("rebalance", F.col("day")).write.mode("append").partitionBy("day").parquet(path)
 
 
 def read_replies(spark: SparkSession, path: str, first_ms: int | None = None, last_ms: int | None = None) -> DataFrame:

@@ -1,11 +1,14 @@
 """Replays of the events as bounded micro-batches: a larger table makes more of
 them, not larger ones, and the stream's state partitions follow their size."""
 
+import glob
+
 import pytest
 from pyspark.sql import functions as F
 
 from surgecast.plans import catalog
 from surgecast.operators import reports as R
+from surgecast.sources.reference_tables import DAY_MS, read_replies, write_replies
 from surgecast.streaming import replay as RP
 from tests.helpers import spark_rows
 
@@ -44,3 +47,13 @@ def test_full_run_batches_are_bounded(spark, events):
     _bounded(catalog._full_run(spark, events))
     assert alerts and alerts == spark_rows(catalog.q_reply_alerts(spark, events).select(*catalog.ALERT_NO_STAMP))
     assert rejects and rejects == spark_rows(catalog.q_guarded_rejects(spark, events).select("value", "rejectReason"))
+
+
+def test_reply_files_do_not_grow_with_days_times_tasks(spark, scratch):
+    day = F.col("id") % 6
+    rows = spark.range(0, 600, 1, 5).select(
+        (day * DAY_MS + F.col("id")).alias("windowStart"), F.lit("CLIENT_0001").alias("clientId"), F.lit("CELL_001").alias("cellId"), F.lit("x").alias("reply"), F.col("id").alias("repliedAt")
+    )
+    write_replies(rows, f"{scratch}/replies")
+    assert len(glob.glob(f"{scratch}/replies/day=*/*.parquet")) == 6
+    assert spark_rows(read_replies(spark, f"{scratch}/replies")) == spark_rows(rows)
