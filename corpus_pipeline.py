@@ -29,7 +29,7 @@ ORACLE_SQL = None
 
 
 def identify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return language_id.keep_identified(docs, language_id.fit(language_id.training_sample(docs)))
+    return language_id.keep_identified(docs, language_id.trained(docs))
 
 
 def drop_linked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

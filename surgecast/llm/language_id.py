@@ -55,14 +55,15 @@ class Features:
 
     def __init__(self, column: pa.Array):
         self.words = w = C.Words(column)
-        b = C.fold(w.data).astype(np.int64)
+        b = C.fold(w.data).astype(np.int32)
         n = len(b)
         # how many bytes of its word lie at and after each byte
-        room = np.zeros(n + 1, np.int64)
+        room = np.zeros(n + 1, np.int32)
         if len(w):
             size = w.end - w.start
             at = C.ranges(w.start, size)
             room[at] = np.repeat(w.end, size) - at
+            del at
         nxt, nxt2 = np.roll(b, -1), np.roll(b, -2)
         self.two = np.where(room[:n] >= 2, b * 256 + nxt, _BINS)
         self.three = np.where(room[:n] >= 3, (b * 65599 + nxt * 257 + nxt2 * 40503) & (_BINS - 1), _BINS)
@@ -71,15 +72,33 @@ class Features:
         self.affixes = []
         for k in (1, 2, 3):
             for side in (0, 1):
-                code = np.full(len(w), 7919 * k + 104729 * side, np.int64)
+                code = np.full(len(w), 7919 * k + 104729 * side, np.int64)  # passes 32 bits
                 for j in range(k):
                     place = np.minimum(w.start + j, n - 1) if side == 0 else np.maximum(w.end - 1 - j, 0)
                     code = code * 263 + b[place] if n else code
-                self.affixes.append(np.where(size >= k, (code ^ (code >> 15)) & (_BINS - 1), _BINS))
+                self.affixes.append(np.where(size >= k, (code ^ (code >> 15)) & (_BINS - 1), _BINS).astype(np.int32))
         letter = ((b >= 97) & (b <= 122)) | (b >= 128)
         self.lettered = np.add.reduceat(letter, w.start) > 0 if len(w) else np.zeros(0, bool)
 
 
+class Corpus:
+    """Features of the words of all training texts, made a slice of texts at
+    a time: the driver holds 8 bytes a byte of text and 44 a word."""
+
+    def __init__(self, texts: list[str], limit: int = SLICE):
+        parts, counts, start, size, base = [], [], [], [], 0
+        column = pa.RecordBatch.from_arrays([pa.array(texts, pa.large_string())], ["text"])
+        for piece in C.text_slices(iter([column]), limit=limit):
+            f = Features(piece.column("text"))
+            counts.append(f.words.counts)
+            start.append(f.words.start + base)
+            size.append((f.words.end - f.words.start).astype(np.int32))
+            base += len(f.words.data)
+            parts.append((f.two, f.three, f.hash, *f.affixes))
+        self.counts, self.start, self.size = (np.concatenate(x) for x in (counts, start, size))
+        self.two, self.three, self.hash, *self.affixes = (np.concatenate(x) for x in zip(*parts))
+
+
 class CrfModel:
     def __init__(self, languages: list[str]):
         k = len(languages)
@@ -198,8 +217,9 @@ def fit(texts: list[tuple[str, str]], epochs: int = EPOCHS, seed: int = 7) -> Cr
     k = len(languages)
     if k < 2:
         return model
-    f = Features(pa.array([t for _, t in texts], pa.large_string()))
-    counts = f.words.counts
+    f = Corpus([t for _, t in texts])
+    counts = f.counts
+    last = np.cumsum(counts)
     label = np.repeat([languages.index(lang) for lang, _ in texts], counts)
     # lexicon: words found at least LEXICON times, nine in ten of them in one language
     names, at = np.unique(f.hash, return_inverse=True)
@@ -210,7 +230,7 @@ def fit(texts: list[tuple[str, str]], epochs: int = EPOCHS, seed: int = 7) -> Cr
     # training sequences: runs of 4 to 24 words, shuffled over all texts
     rng = np.random.default_rng(seed)
     runs = []
-    for lo, hi in zip(f.words.first[:-1].tolist(), f.words.first[1:].tolist()):
+    for lo, hi in zip((last - counts).tolist(), last.tolist()):
         while lo < hi:
             size = int(rng.integers(4, 25))
             runs.append((lo, min(hi, lo + size)))
@@ -230,12 +250,12 @@ def fit(texts: list[tuple[str, str]], epochs: int = EPOCHS, seed: int = 7) -> Cr
     same = np.arange(1, len(word)) % STEP != 0
     gold_pairs = np.zeros((k, k))
     np.add.at(gold_pairs, (gold[:-1][same], gold[1:][same]), 1.0)
-    size = f.words.end - f.words.start
-    bytes_of = C.ranges(f.words.start[word], size[word])
-    owner = np.repeat(np.arange(len(word)), size[word])
+    bytes_of = C.ranges(f.start[word], f.size[word])
+    owner = np.repeat(np.arange(len(word)), f.size[word])
     two, three = f.two[bytes_of], f.three[bytes_of]
     affixes = [a[word] for a in f.affixes]
     index = model.lexicon_index(f.hash)
+    del f, bytes_of
     # the lexicon is made of the same texts: hide it from a third of the words
     index[rng.random(len(index)) < 0.33] = k
     index = index[word]
@@ -272,6 +292,14 @@ def fit(texts: list[tuple[str, str]], epochs: int = EPOCHS, seed: int = 7) -> Cr
     return model
 
 
+def trained(docs: DataFrame) -> CrfModel:
+    """The model of a table's sample; the driver's memory for it is given back."""
+    try:
+        return fit(training_sample(docs))
+    finally:
+        C.give_back()
+
+
 def training_sample(docs: DataFrame, per_language: int = SAMPLE) -> list[tuple[str, str]]:
     """(lang, text) of about ``per_language`` texts of each language, in order."""
     train = docs.where(F.col("lang").isNotNull() & (C.crc_mod5(F.col("doc_id")) != 0))
@@ -334,6 +362,6 @@ def keep_identified(docs: DataFrame, model: CrfModel) -> DataFrame:
 
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = C.read(spark, sf_dir, "documents")
-    found = predict(docs, fit(training_sample(docs)))
+    found = predict(docs, trained(docs))
     held = (C.crc_mod5(F.col("doc_id")) == 0).alias("held_out")
     return found.select("doc_id", held, "lang_pred", "score")
