@@ -202,21 +202,48 @@ def mix(x: np.ndarray) -> np.ndarray:
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool, piece: int = 1 << 18) -> np.ndarray:
     """64-bit hash of every word, in pieces of words so that scratch memory
     stays bounded however long the texts are."""
-    exact, folded, powers = _tables()
-    table = folded if lower else exact
     out = np.empty(len(start), np.uint64)
     for lo in range(0, len(start), piece):
         s, e = start[lo : lo + piece], end[lo : lo + piece]
-        size = e - s
-        at = np.concatenate(([0], np.cumsum(size)))
-        within = np.arange(at[-1]) - np.repeat(at[:-1], size)
-        chars = data[within + np.repeat(s, size)]
-        # beyond the table of powers the position is folded into the byte's term
-        power = powers[within & 4095] if at[-1] == 0 or size.max() <= 4096 else powers[within & 4095] + (within >> 12).astype(np.uint64) * U64(0x2545F4914F6CDD1D)
-        out[lo : lo + piece] = mix(np.add.reduceat(table[chars] * power, at[:-1]) + size.astype(np.uint64))
+        size = np.minimum(e - s, _SHORT + 1).astype(np.uint8)
+        # the longest first: the words that have a j-th byte are the first ones
+        order = np.argsort(_SHORT + 1 - size, kind="stable")
+        counts = np.bincount(size, minlength=_SHORT + 2)
+        long, left = order[: counts[-1]], order[counts[-1] :]
+        some = out[lo : lo + piece]
+        some[long] = _long_hashes(data, s[long], e[long], lower)
+        some[left] = _short_hashes(data, s[left], size[left], np.cumsum(counts[_SHORT:0:-1])[::-1], lower)
     return out
 
 
+_SHORT = 24  # bytes of a word that is hashed byte by byte with the others
+
+
+def _short_hashes(data: np.ndarray, start: np.ndarray, size: np.ndarray, live: np.ndarray, lower: bool) -> np.ndarray:
+    """Words of at most ``_SHORT`` bytes; the first ``live[j]`` have a j-th."""
+    exact, folded, powers = _tables()
+    table = folded if lower else exact
+    total = size.astype(np.uint64)
+    for j, n in enumerate(live.tolist()):
+        if not n:
+            break
+        total[:n] += (table * powers[j])[data[start[:n] + j]]
+    return mix(total)
+
+
+def _long_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool) -> np.ndarray:
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    exact, folded, powers = _tables()
+    table, size = folded if lower else exact, end - start
+    at = np.concatenate(([0], np.cumsum(size)))
+    within = np.arange(at[-1]) - np.repeat(at[:-1], size)
+    chars = data[within + np.repeat(start, size)]
+    # beyond the table of powers the position is folded into the byte's term
+    power = powers[within & 4095] if size.max() <= 4096 else powers[within & 4095] + (within >> 12).astype(np.uint64) * U64(0x2545F4914F6CDD1D)
+    return mix(np.add.reduceat(table[chars] * power, at[:-1]) + size.astype(np.uint64))
+
+
 _SPREAD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
 

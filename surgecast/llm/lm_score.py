@@ -26,7 +26,8 @@ lanes of one batch; one of over ``STRETCH`` tokens becomes several lanes, which
 begin with an empty state but the right previous token. The weights depend on how rows
 lie in partitions, as with any averaged training. A document is scored
 whole: windows of ``WINDOW`` tokens, the state carried from one to the next;
-the documents of a slice are lanes of one batch.
+documents of several slices, the longest first, are lanes of batches of about
+one length, so that few steps run with few lanes.
 
 Defined results: null text is empty (one token, the end); null doc_id is
 held out (held_out null) and not counted; repeated rows are counted and
@@ -39,6 +40,7 @@ from __future__ import annotations
 import copy
 import heapq
 from collections.abc import Iterator
+from functools import cached_property
 from math import isqrt
 
 import numpy as np
@@ -55,11 +57,13 @@ PER_TASK = 1_000_000
 SPREAD, LEAST = 64, 2  # size of the vocabulary, see above
 IN_CLASS = 64
 HIDDEN = 32
-WINDOW = 64
+WINDOW, BATCH = 64, 512
+TOGETHER = 3 << 20  # tokens of texts that are scored together
 LANES, TRAIN_WINDOW, STRETCH = 256, 32, 2048
 ROUNDS, RATE = 3, 0.004
 PIECE = 1 << 16  # weights averaged together
-ROWS_AT_ONCE = 4096  # of the output layer, so that they stay in the cache
+ROWS_AT_ONCE = 1024  # of the output layer, so that they stay in the cache
+AT_ONCE = 1 << 14  # weights moved together, for the same reason
 SLICE = 4 << 20
 END = np.uint64(0x9D5C_1F3A_77E1_0B2D)  # stands for the end token among word hashes
 
@@ -118,13 +122,13 @@ def _tokens(batches: Iterator[pa.RecordBatch], hot: np.ndarray, blocks: int) ->
     numbers, top bit set for training documents (kind 1); and the training
     counts of hot words (kind 2)."""
     hashes, numbers, ids, ths, docs, size = [], [], [], [], 0, 0
-    names_of_chunks = C.chunk_names()
+    names_of_chunks, places = C.chunk_names(), Places(hot)
 
     def rows(kind, key, chunk, a, b, c):
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), kind, np.int32)), pa.array(key, pa.int64()), pa.array([chunk] * len(a), pa.int64()), *(pa.array(x, pa.binary()) for x in (a, b, c))], ["kind", "key", "chunk", "a", "b", "c"])
 
     def by_block(h, *others):
-        block = ((h >> np.uint64(32)) % np.uint64(blocks)).astype(np.int32)
+        block = ((h >> np.uint64(32)) % np.uint64(blocks)).astype(np.int16 if blocks < 1 << 15 else np.int32)
         order = np.argsort(block, kind="stable")
         names, lo = np.unique(block[order], return_index=True)
         cuts = list(zip(lo, np.append(lo[1:], len(order))))
@@ -137,10 +141,10 @@ def _tokens(batches: Iterator[pa.RecordBatch], hot: np.ndarray, blocks: int) ->
         chunk = next(names_of_chunks)
         known = doc_ids.is_valid().to_numpy(zero_copy_only=False)
         yield rows(0, [chunk], chunk, [C.blob(doc_ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))], [C.blob(th)], [C.blob(known)])
-        at = C.member(h, hot)
-        k, c = np.unique(h[(at >= 0) & (number >= 1 << 15)], return_counts=True)
-        if len(k):
-            names, (a, b) = by_block(k, c.astype(np.int64))
+        at = places(h)
+        c = np.bincount(at[(at >= 0) & (number >= 1 << 15)], minlength=len(hot))
+        if c.any():
+            names, (a, b) = by_block(hot[c > 0], c[c > 0].astype(np.int64))
             yield rows(2, names, chunk, a, b, [b""] * len(names))
         h, number = h[at < 0], number[at < 0]
         if len(h):
@@ -252,17 +256,58 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
-def _logits(h: np.ndarray, weights: np.ndarray, calm: bool) -> np.ndarray:
-    s = h @ weights.T
+def _softmax_parts(s: np.ndarray, target: np.ndarray, calm: bool, hit: np.ndarray, total: np.ndarray) -> None:
+    """Turns rows of logits into exponentials; fills in their targets' logits
+    and their sums."""
     if not calm:
         s -= s.max(axis=1, keepdims=True)
-    return s
+    hit[:] = s[np.arange(len(s)), target]
+    np.matmul(np.exp(s, out=s), np.ones(s.shape[1], s.dtype), out=total)
+
+
+class Places:
+    """Index of each value among sorted ``keys``, or -1, as ``C.member`` gives
+    it, by a table over the top bits: hashes spread evenly over it."""
+
+    def __init__(self, keys: np.ndarray):
+        bits = min(20, 2 + len(keys).bit_length())
+        self.keys, self.shift = keys, np.uint64(64 - bits)
+        self.count = np.bincount((keys >> self.shift).astype(np.int64), minlength=1 << bits)
+        self.first = (np.cumsum(self.count) - self.count).astype(np.int32)
+        self.most = int(self.count.max())
+
+    def __call__(self, values: np.ndarray) -> np.ndarray:
+        if not len(self.keys) or self.most > 16:
+            return C.member(values, self.keys)
+        slot = (values >> self.shift).view(np.int64)
+        out = self.first[slot].astype(np.int64)
+        left = np.flatnonzero(self.keys.take(out, mode="clip") != values)
+        at, size = out[left], self.count[slot[left]]
+        out[left] = -1
+        for k in range(1, self.most):
+            more = np.flatnonzero(size > k)
+            left, at, size = left[more], at[more], size[more]
+            out[left] = np.where(self.keys[at + k] == values[left], at + k, out[left])
+        return out
 
 
-def _log_softmax(h: np.ndarray, weights: np.ndarray, target: np.ndarray, calm: bool) -> np.ndarray:
-    s = _logits(h, weights, calm)
-    hit = s[np.arange(len(s)), target]
-    return hit - np.log(np.exp(s, out=s).sum(axis=1))
+def _sums_by(x: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of ``x`` and the sum of the ``rows`` of each: first rows
+    with first rows, seconds with seconds, ...; of values with many, one by one."""
+    x = x.astype(np.uint16) if x.max(initial=0) < 1 << 16 else x
+    order = np.argsort(x, kind="stable")
+    ordered = x[order]
+    first = np.flatnonzero(np.concatenate((ordered[:1] == ordered[:1], ordered[1:] != ordered[:-1])))
+    n = np.diff(np.append(first, len(x)))
+    rows = rows.take(order, axis=0, mode="clip")
+    out, ones = rows.take(first, axis=0), np.ones(int(n.max(initial=0)), rows.dtype)
+    many = np.flatnonzero(n > 8)
+    for i, a, size in zip(many.tolist(), first[many].tolist(), n[many].tolist()):
+        np.matmul(ones[:size], rows[a : a + size], out=out[i])
+    for k in range(1, 8):
+        at = np.flatnonzero((n > k) & (n <= 8))
+        out[at] += rows.take(first[at] + k, axis=0)
+    return ordered[first], out
 
 
 class GruModel:
@@ -276,6 +321,8 @@ class GruModel:
         self.size = len(words)
         self.in_class = max(IN_CLASS, int(np.ceil(np.sqrt(self.size))))
         self.classes = -(-self.size // self.in_class) + 1
+        self.cls, self.hit = (x.astype(np.int16) for x in divmod(np.arange(self.size + 1), self.in_class))
+        self.cls[self.size] = self.classes - 1
         rng = np.random.default_rng(seed)
         table = lambda *shape: (rng.standard_normal(shape) * 0.1).astype(np.float32)
         self.p = {
@@ -296,16 +343,32 @@ class GruModel:
         grams = spelling.reshape(256, 256) + 0.5
         self.spelling = np.log(grams / grams.sum(axis=1, keepdims=True)).astype(np.float32).reshape(-1)
 
-    def numbers(self, hashes: np.ndarray) -> np.ndarray:
-        at = C.member(hashes, self.sorted)
-        return np.where(at >= 0, self.rank[at] if self.size else 0, self.size)
+    @cached_property
+    def places(self) -> Places:
+        return Places(self.sorted)
 
-    def step(self, x: np.ndarray, h: np.ndarray):
-        a = self.p["input"][x]
-        g = _sigmoid(a[:, : 2 * HIDDEN] + h @ self.p["gates"])
-        z, r = g[:, :HIDDEN], g[:, HIDDEN:]
-        n = np.tanh(a[:, 2 * HIDDEN :] + (r * h) @ self.p["cand"])
-        return n + z * (h - n), z, r, n
+    def numbers(self, hashes: np.ndarray) -> np.ndarray:
+        return np.append(self.rank, self.size)[self.places(hashes)]  # -1: the last
+
+    def by_gate(self) -> tuple[np.ndarray, np.ndarray]:
+        """Inputs (gate, token) and weights of the gates apart, so that what a step works on
+        lies together."""
+        inputs = self.p["input"].reshape(-1, 3, HIDDEN).transpose(1, 0, 2)
+        return np.ascontiguousarray(inputs), np.stack((self.p["gates"][:, :HIDDEN], self.p["gates"][:, HIDDEN:]))
+
+    def step(self, x: np.ndarray, h: np.ndarray, by_gate=None):
+        inputs, gates = by_gate or self.by_gate()
+        a = inputs.take(x, axis=1, mode="clip")
+        g = h @ gates
+        g += a[:2]
+        z, r = _sigmoid(g)
+        n = (r * h) @ self.p["cand"]
+        n += a[2]
+        np.tanh(n, out=n)
+        h = h - n
+        h *= z
+        h += n
+        return h, z, r, n
 
     def output(self) -> tuple[np.ndarray, np.ndarray, bool, bool]:
         """Weights of classes and words with their biases as a last column (the
@@ -322,46 +385,62 @@ class GruModel:
         return cls, word, calm(cls, len(cls)), calm(word, self.in_class)
 
     def log_prob(self, h: np.ndarray, y: np.ndarray, output=None) -> np.ndarray:
-        """Natural log P(y | state), the spelling of unknown words apart."""
+        """Natural log P(y | state), the spelling of unknown words apart; the
+        states may have their last component 1 already."""
         by_class, by_word, calm_class, calm_word = output or self.output()
-        h = np.concatenate((h, np.ones((len(h), 1), np.float32)), axis=1)
-        cls = np.where(y == self.size, self.classes - 1, y // self.in_class)
-        out = np.empty(len(y), np.float32)
-        for lo in range(0, len(y), ROWS_AT_ONCE):
-            part = slice(lo, lo + ROWS_AT_ONCE)
-            out[part] = _log_softmax(h[part], by_class, cls[part], calm_class)
-        order = np.argsort(cls, kind="stable")
-        cuts = np.searchsorted(cls[order], np.arange(self.classes))
-        h, hits, more = h[order], y[order] % self.in_class, np.zeros(len(y), np.float32)
+        if h.shape[1] == HIDDEN:
+            h = np.concatenate((h, np.ones((len(h), 1), np.float32)), axis=1)
+        cls, group = self.cls[y], self.in_class
+        hit, total = np.empty((2, len(y)), h.dtype)
+        s = np.empty((min(ROWS_AT_ONCE, len(y)), max(self.classes, group)), h.dtype).reshape(-1)
+
+        def part(rows: np.ndarray, weights: np.ndarray, target: np.ndarray, calm: bool, lo: int, hi: int) -> None:
+            for a in range(lo, hi, ROWS_AT_ONCE):
+                b = min(a + ROWS_AT_ONCE, hi)
+                at = np.matmul(rows[a:b], weights.T, out=s[: (b - a) * len(weights)].reshape(b - a, -1))
+                _softmax_parts(at, target[a:b], calm, hit[a:b], total[a:b])
+
+        part(h, by_class, cls, calm_class, 0, len(y))
+        out = hit - np.log(total)
+        order, cuts = self.known(cls)
+        h, target = h[order], self.hit[y[order]]
         for c in range(self.classes - 1):
-            w = slice(c * self.in_class, (c + 1) * self.in_class)
-            for lo in range(int(cuts[c]), int(cuts[c + 1]), ROWS_AT_ONCE):
-                at = slice(lo, min(lo + ROWS_AT_ONCE, int(cuts[c + 1])))
-                more[at] = _log_softmax(h[at], by_word[w], hits[at], calm_word)
-        out[order] += more
+            part(h, by_word[c * group : (c + 1) * group], target, calm_word, int(cuts[c]), int(cuts[c + 1]))
+        out[order] += hit[: len(order)] - np.log(total[: len(order)])
         return out
 
+    def known(self, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Known words ordered by class, and where each class begins."""
+        cuts = np.append(0, np.cumsum(np.bincount(cls, minlength=self.classes)))
+        return np.argsort(cls, kind="stable")[: cuts[self.classes - 1]], cuts
+
     def score(self, y: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """Sum of natural logs per text; ``y``: all texts' tokens end to end."""
+        """Sum of natural logs per text; ``y``: all texts' tokens end to end.
+        Texts of about the same length are lanes of one batch."""
         total = np.zeros(len(counts))
-        lane = np.argsort(-counts, kind="stable")
-        size = counts[lane]
-        first = (np.cumsum(counts) - counts)[lane]
-        h = np.zeros((len(lane), HIDDEN), np.float32)
-        prev = np.full(len(lane), self.size + 1)
-        output = self.output()
-        for lo in range(0, int(size[0]) if len(size) else 0, WINDOW):
-            states, targets, owners = [], [], []
-            for t in range(lo, min(lo + WINDOW, int(size[0]))):
-                live = int(np.searchsorted(-size, -t, "left"))
-                h = h[:live]
-                h = self.step(prev[:live], h)[0]
-                prev = y[first[:live] + t]
-                states.append(h)
-                targets.append(prev)
-                owners.append(lane[:live])
-            logs = self.log_prob(np.concatenate(states), np.concatenate(targets), output)
-            total += np.bincount(np.concatenate(owners), logs, minlength=len(counts))
+        order, starts = np.argsort(-counts, kind="stable"), np.cumsum(counts) - counts
+        output, by_gate = self.output(), self.by_gate()
+        for lo in range(0, len(order), BATCH):
+            lane = order[lo : lo + BATCH]
+            total[lane] = self._score_lanes(y, starts[lane], counts[lane], output, by_gate)
+        return total
+
+    def _score_lanes(self, y: np.ndarray, first: np.ndarray, size: np.ndarray, output, by_gate) -> np.ndarray:
+        total, longest = np.zeros(len(size)), int(size[0])
+        live = np.searchsorted(-size, -np.arange(longest), "left")
+        h = np.zeros((len(size), HIDDEN), np.float32)
+        prev = np.full(len(size), self.size + 1)
+        states = np.ones((int(live[:WINDOW].sum()), HIDDEN + 1), np.float32)
+        targets = np.empty(len(states), np.int64)
+        for lo in range(0, longest, WINDOW):
+            ends = np.append(0, np.cumsum(live[lo : lo + WINDOW])).tolist()
+            for t, (a, b) in enumerate(zip(ends, ends[1:]), lo):
+                h = self.step(prev[: b - a], h[: b - a], by_gate)[0]
+                states[a:b, :HIDDEN] = h
+                prev = targets[a:b] = y[first[: b - a] + t]
+            logs = self.log_prob(states[: ends[-1]], targets[: ends[-1]], output)
+            for a, b in zip(ends, ends[1:]):
+                total[: b - a] += logs[a:b]
         return total
 
     # ------------------------------------------------------------- training
@@ -372,98 +451,104 @@ class GruModel:
         not ``inside`` lie behind the end of their lane and do not count. ``g``:
         gradients of an earlier window, whose tables are used again."""
         p, steps, lanes = self.p, *x.shape
-        a, new = p["input"][x], fresh.any(axis=1)
-        hp, rh, n, out = (np.empty((steps, lanes, HIDDEN), np.float32) for _ in range(4))
-        zr = np.empty((steps, lanes, 2 * HIDDEN), np.float32)
-        for t in range(steps):
-            hp[t] = h
+        inputs, w_gates = self.by_gate()
+        new = fresh.any(axis=1)
+        hp, rh, out = (np.empty((steps, lanes, HIDDEN), np.float32) for _ in range(3))
+        gates, n = np.empty((steps, 2, lanes, HIDDEN), np.float32), np.empty((steps, lanes, HIDDEN), np.float32)
+        z, r = gates[:, 0], gates[:, 1]
+        for t, (prev, g_t, r_t, z_t, rh_t, n_t, next_h) in enumerate(zip(hp, gates, r, z, rh, n, out)):
+            prev[:] = h
             if new[t]:
-                hp[t][fresh[t]] = 0
-            np.matmul(hp[t], p["gates"], out=zr[t])
-            zr[t] += a[t, :, : 2 * HIDDEN]
-            _sigmoid(zr[t])
-            np.multiply(zr[t, :, HIDDEN:], hp[t], out=rh[t])
-            np.matmul(rh[t], p["cand"], out=n[t])
-            n[t] += a[t, :, 2 * HIDDEN :]
-            np.tanh(n[t], out=n[t])
-            h = out[t]
-            np.subtract(hp[t], n[t], out=h)
-            h *= zr[t, :, :HIDDEN]
-            h += n[t]
-        z, r = zr[:, :, :HIDDEN], zr[:, :, HIDDEN:]
+                prev[fresh[t]] = 0
+            np.matmul(prev, w_gates, out=g_t)
+            a = inputs.take(x[t], axis=1, mode="clip")
+            g_t += a[:2]
+            _sigmoid(g_t)
+            np.multiply(r_t, prev, out=rh_t)
+            np.matmul(rh_t, p["cand"], out=n_t)
+            n_t += a[2]
+            np.tanh(n_t, out=n_t)
+            h = np.subtract(prev, n_t, out=next_h)
+            h *= z_t
+            h += n_t
         flat, target = out.reshape(-1, HIDDEN), y.reshape(-1)
         at = slice(None) if inside is None or inside.all() else np.flatnonzero(inside.reshape(-1))
         flat, target = flat[at], target[at]
         d_all, whole = np.zeros((steps * lanes, HIDDEN), np.float32), at
-        count = len(target)
-        cls = np.where(target == self.size, self.classes - 1, target // self.in_class)
-        g = g or {k: np.empty(p[k].shape, p[k].dtype) for k in ("input", "word", "word_b")}
-        for k in ("input", "word", "word_b"):
-            g[k].fill(0)
+        count, group = len(target), self.in_class
+        cls = self.cls[target]
+        g = g or {k: np.zeros(p[k].shape, p[k].dtype) for k in ("input", "word", "word_b")} | {"both": np.empty((len(p["word"]), HIDDEN + 1), p["word"].dtype)}
+        g["input"].fill(0)
         by_class, by_word, calm_class, calm_word = self.output()
         with_one = np.concatenate((flat, np.ones((count, 1), np.float32)), axis=1)
         share = np.float32(1 / max(1, count))
 
-        def miss(h: np.ndarray, weights: np.ndarray, hit: np.ndarray, calm: bool) -> tuple[np.ndarray, float]:
-            """(probabilities less the target) / count, and the loss."""
-            s, i = _logits(h, weights, calm), np.arange(len(h))
-            wanted = s[i, hit].astype(np.float64)
-            total = np.exp(s, out=s).sum(axis=1)
-            s *= (share / total)[:, None]
-            s[i, hit] -= share
-            return s, float((np.log(total) - wanted).sum())
-
-        prob, loss = miss(with_one, by_class, cls, calm_class)
+        def miss(s: np.ndarray, hit: np.ndarray, calm: bool) -> float:
+            """Turns logits into (probabilities less the target) / count; the loss."""
+            loss = 0.0
+            for lo in range(0, len(s), ROWS_AT_ONCE):
+                part, goal = s[lo : lo + ROWS_AT_ONCE], hit[lo : lo + ROWS_AT_ONCE]
+                wanted, total = np.empty((2, len(part)), s.dtype)
+                _softmax_parts(part, goal, calm, wanted, total)
+                part *= (share / total)[:, None]
+                part[np.arange(len(part)), goal] -= share
+                loss += float((np.log(total) - wanted).sum(dtype=np.float64))
+            return loss
+
+        prob = with_one @ by_class.T
+        loss = miss(prob, cls, calm_class)
         both = prob.T @ with_one
         g["cls"], g["cls_b"] = both[:, :-1].T, both[:, -1]
         d_out = prob @ by_class[:, :-1]
-        order = np.argsort(cls, kind="stable")
-        cuts = np.searchsorted(cls[order], np.arange(self.classes))
-        sorted_h, hits, d_sorted = with_one[order], target[order] % self.in_class, np.zeros((count, HIDDEN), np.float32)
-        for c in range(self.classes - 1):
-            lo, hi = int(cuts[c]), int(cuts[c + 1])
-            if lo < hi:
-                w = slice(c * self.in_class, (c + 1) * self.in_class)
-                s, more = miss(sorted_h[lo:hi], by_word[w], hits[lo:hi], calm_word)
-                loss += more
-                both = s.T @ sorted_h[lo:hi]
-                g["word"][w], g["word_b"][w] = both[:, :-1], both[:, -1]
-                np.matmul(s, by_word[w, :-1], out=d_sorted[lo:hi])
+        order, cuts = self.known(cls)
+        cuts = cuts[: self.classes].tolist()
+        parts = [(slice(lo, hi), slice(c * group, (c + 1) * group)) for c, (lo, hi) in enumerate(zip(cuts, cuts[1:]))]
+        sorted_h = with_one[order]
+        s, d_sorted = np.empty((len(order), group), sorted_h.dtype), np.empty((len(order), HIDDEN), np.float32)
+        for rows, w in parts:
+            np.matmul(sorted_h[rows], by_word[w].T, out=s[rows])
+        loss += miss(s, self.hit[target[order]], calm_word)
+        for rows, w in parts:
+            np.matmul(s[rows].T, sorted_h[rows], out=g["both"][w])
+            np.matmul(s[rows], p["word"][w], out=d_sorted[rows])
+        g["word"][:], g["word_b"][:] = g["both"][:, :-1], g["both"][:, -1]
         d_out[order] += d_sorted
         d_all[whole] = d_out
         d_out = d_all.reshape(steps, lanes, HIDDEN)
         # how the inputs of the three gates move the next state
-        off = 1 - zr
+        off = 1 - gates
+        off *= gates
         by_n = n * n
         np.subtract(1, by_n, out=by_n)
-        by_n *= off[:, :, :HIDDEN]
+        by_n *= 1 - z
         by_z = hp - n
-        off *= zr
-        by_z *= off[:, :, :HIDDEN]
-        by_r = np.multiply(hp, off[:, :, HIDDEN:])
+        by_z *= off[:, 0]
+        by_r = np.multiply(hp, off[:, 1])
         d = np.zeros((lanes, HIDDEN), np.float32)
         d_in = np.empty((steps, lanes, 3 * HIDDEN), np.float32)
+        dz, dr, dn = (d_in[:, :, k * HIDDEN : (k + 1) * HIDDEN] for k in range(3))
         to_cand, to_gates = np.ascontiguousarray(p["cand"].T), np.ascontiguousarray(p["gates"].T)
+        every = list(zip(d_out, by_n, by_z, by_r, z, r, dn, dz, dr, d_in[:, :, : 2 * HIDDEN]))
         for t in range(steps - 1, -1, -1):
-            d += d_out[t]
-            dn, gates = d_in[t, :, 2 * HIDDEN :], d_in[t, :, : 2 * HIDDEN]
-            np.multiply(d, by_n[t], out=dn)
-            np.multiply(d, by_z[t], out=gates[:, :HIDDEN])
-            drh = dn @ to_cand
-            np.multiply(drh, by_r[t], out=gates[:, HIDDEN:])
-            d *= z[t]
-            drh *= r[t]
+            d_t, n_t, bz_t, br_t, z_t, r_t, dn_t, dz_t, dr_t, gates_t = every[t]
+            d += d_t
+            dn_t[:] = d_n = d * n_t
+            np.multiply(d, bz_t, out=dz_t)
+            drh = d_n @ to_cand
+            np.multiply(drh, br_t, out=dr_t)
+            d *= z_t
+            drh *= r_t
             d += drh
-            d += gates @ to_gates
+            d += gates_t @ to_gates
             if new[t]:
                 d[fresh[t]] = 0
-        every = d_in.reshape(-1, 3 * HIDDEN)
-        g["cand"] = rh.reshape(-1, HIDDEN).T @ every[:, 2 * HIDDEN :]
-        g["gates"] = hp.reshape(-1, HIDDEN).T @ every[:, : 2 * HIDDEN]
-        order = np.argsort(x, axis=None, kind="stable")
-        rows, first = np.unique(x.reshape(-1)[order], return_index=True)
-        g["input"][rows] = np.add.reduceat(d_in.reshape(-1, 3 * HIDDEN)[order], first)
-        return g, loss / count, h
+        d_in = d_in.reshape(-1, 3 * HIDDEN)
+        g["cand"] = rh.reshape(-1, HIDDEN).T @ d_in[:, 2 * HIDDEN :]
+        g["gates"] = hp.reshape(-1, HIDDEN).T @ d_in[:, : 2 * HIDDEN]
+        rows, sums = _sums_by(x.reshape(-1), d_in)
+        g["input"][rows] = sums
+        g["used"] = rows, np.flatnonzero(np.diff(cuts))
+        return g, loss / max(1, count), h
 
     def train(self, texts: list[np.ndarray], passes: int = 1, rate: float = RATE, adam: Adam | None = None) -> int:
         """Adam over windows of the texts, all of each; the tokens trained on."""
@@ -495,11 +580,10 @@ class GruModel:
                 s = slice(lo, lo + TRAIN_WINDOW), slice(0, live)
                 inside = np.arange(lo, lo + len(x[s]))[:, None] < size[:live]
                 g, _, h = self.window_gradients(x[s], y[s], begins[s], h[:live], inside, g)
-                known = y[s][inside & (y[s] < self.size)]
-                cls = np.unique(known // self.in_class)
+                inputs, cls = g["used"]
                 words = (cls[:, None] * self.in_class + np.arange(self.in_class)).reshape(-1)
                 # the end of a batch, with few lanes left, takes smaller steps
-                adam.step(self.p, g, {"input": np.unique(x[s]), "word": words, "word_b": words}, rate, inside.sum() / (TRAIN_WINDOW * len(lanes)))
+                adam.step(self.p, g, {"input": inputs, "word": words, "word_b": words}, rate, inside.sum() / (TRAIN_WINDOW * len(lanes)))
             tokens += int(size.sum())
         return tokens
 
@@ -521,25 +605,27 @@ class Adam:
         least = np.float32(1e-7 * np.sqrt(1 - 0.99**self.n))
         speed = np.float32(rate * np.sqrt(1 - 0.99**self.n) / (1 - 0.9**self.n))
         for k, a in used.items():
-            i = at[k]
-            m, v = (self.m[k], self.v[k]) if i is None else (self.m[k][i], self.v[k][i])
-            a = np.multiply(a, scale)
-            t = np.subtract(a, m)
-            t *= np.float32(0.1)
-            m += t
-            np.multiply(a, a, out=a)
-            a -= v
-            a *= np.float32(0.01)
-            v += a
-            np.sqrt(v, out=t)
-            t += least
-            np.divide(m, t, out=t)
-            t *= speed
-            if i is None:
-                p[k] -= t
-            else:
-                self.m[k][i], self.v[k][i] = m, v
-                p[k][i] -= t
+            i, tables = at[k], (self.m[k], self.v[k], p[k])
+            some = tables if i is None else [x[i] for x in tables]
+            a, *flat = (x.reshape(-1) for x in (a, *some))
+            for lo in range(0, len(a), AT_ONCE):
+                m, v, w = (x[lo : lo + AT_ONCE] for x in flat)
+                b = np.multiply(a[lo : lo + AT_ONCE], scale)
+                t = np.subtract(b, m)
+                t *= np.float32(0.1)
+                m += t
+                np.multiply(b, b, out=b)
+                b -= v
+                b *= np.float32(0.01)
+                v += b
+                np.sqrt(v, out=t)
+                t += least
+                np.divide(m, t, out=t)
+                t *= speed
+                w -= t
+            if i is not None:
+                for x, new in zip(tables, some):
+                    x[i] = new
 
 
 # ------------------------------------------------------------------- the query
@@ -558,26 +644,40 @@ def _sequence(model: GruModel, words: C.Words, h: np.ndarray) -> tuple[np.ndarra
 
 
 def _score(batches: Iterator[pa.RecordBatch], model: GruModel, hot: np.ndarray, hot_n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    places, log_n = Places(hot), np.log10(hot_n + 0.5)
+    held: list[tuple] = []
+
+    def flush():
+        columns, y, counts, spelled = zip(*held)
+        total = model.score(np.concatenate(y), np.concatenate(counts)) + np.concatenate(spelled)
+        lo = 0
+        for some, n in zip(columns, map(len, counts)):
+            yield pa.RecordBatch.from_arrays([*some, pa.array(total[lo : lo + n] / np.log(10))], ["doc_id", "th", "n_tokens", "hot_sum", "hot_known", "score"])
+            lo += n
+
     for piece in C.text_slices(batches, limit=SLICE):
         n = piece.num_rows
         words = C.Words(piece.column("text"))
         h = words.hashes(lower=True)
         doc = words.doc()
-        at = C.member(h, hot)
-        c = hot_n[at[at >= 0]]
-        hot_sum = np.bincount(doc[at >= 0], np.log10(c + 0.5), minlength=n)
-        hot_known = np.bincount(doc[at >= 0], c > 0, minlength=n).astype(np.int64)
+        at = places(h)
+        of_hot, at = doc[at >= 0], at[at >= 0]
+        hot_sum = np.bincount(of_hot, log_n[at], minlength=n)
+        hot_known = np.bincount(of_hot, hot_n[at] > 0, minlength=n).astype(np.int64)
         y, counts = _sequence(model, words, h)
-        total = model.score(y, counts)
+        spelled = np.zeros(n)
         end = np.cumsum(counts) - 1
         unknown = np.flatnonzero(np.delete(y, end) == model.size)
         if len(unknown):
             code, first = _bigrams(words, unknown)
-            total += np.bincount(doc[unknown], np.add.reduceat(model.spelling[code], first), minlength=n)
-        yield pa.RecordBatch.from_arrays(
-            [piece.column("doc_id"), piece.column("th"), pa.array(counts.astype(np.int64)), pa.array(hot_sum), pa.array(hot_known), pa.array(total / np.log(10))],
-            ["doc_id", "th", "n_tokens", "hot_sum", "hot_known", "score"],
-        )
+            spelled += np.bincount(doc[unknown], np.add.reduceat(model.spelling[code], first), minlength=n)
+        columns = [piece.column("doc_id"), piece.column("th"), pa.array(counts.astype(np.int64)), pa.array(hot_sum), pa.array(hot_known)]
+        held.append((columns, y.astype(np.int32), counts, spelled))
+        if sum(len(x[1]) for x in held) >= TOGETHER:
+            yield from flush()
+            held.clear()
+    if held:
+        yield from flush()
 
 
 _WEIGHTS = "piece int, part int, tokens long, w binary"

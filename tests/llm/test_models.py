@@ -50,3 +50,57 @@ def test_each_language_has_its_share_of_training_words(monkeypatch):
     batch = __import__("pyarrow").RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["ba1da ba3da ba9da", "zu1ku zu2ku zu8ku"]})
     (got,) = L._predict(iter([batch]), model)
     assert got.column("lang_pred").to_pylist() == ["aa", "bb"]
+
+
+def small_lm(words=300):
+    rng = np.random.default_rng(3)
+    keys = C.mix(np.arange(1, words + 1, dtype=np.uint64))
+    m = G.GruModel(np.append(G.END, keys), np.arange(words + 1, 0, -1).astype(float), 40.0, np.ones(1 << 16))
+    m.p = {k: (v + rng.normal(size=v.shape) * 0.3 * (k != "word_b")).astype(np.float32) for k, v in m.p.items()}
+    return m
+
+
+def test_lm_scores_texts_of_several_slices_together(monkeypatch):
+    """A step of the network costs the same whether one text or hundreds take
+    it: texts of all slices share their steps, and score as each would alone."""
+    import pyarrow as pa
+
+    sizes = [300, 1, 280, 0, 7, 299, 40] * 6
+    texts = [" ".join(f"w{(i * j) % 90}" for j in range(n)) if n else None for i, n in enumerate(sizes)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts, "th": list(range(len(texts)))})
+    m, hot = small_lm(), np.zeros(0, np.uint64)
+    steps, step = [], G.GruModel.step
+    monkeypatch.setattr(G.GruModel, "step", lambda self, x, *a: steps.append(len(x)) or step(self, x, *a))
+    alone = [r.column("score")[0].as_py() for i in range(len(texts)) for r in G._score(iter([batch.slice(i, 1)]), m, hot, np.zeros(0, np.int64))]
+    steps.clear()
+    monkeypatch.setattr(G, "SLICE", 1000)
+    got = pa.Table.from_batches(G._score(iter([batch]), m, hot, np.zeros(0, np.int64))).to_pydict()
+    assert got["doc_id"] == list(range(len(texts))) and got["n_tokens"] == [n + 1 for n in sizes]
+    assert np.allclose(got["score"], alone, rtol=1e-5)
+    assert len(steps) == max(sizes) + 1 and sum(steps) == sum(sizes) + len(sizes)
+
+
+def test_lm_lookup_and_sums():
+    rng = np.random.default_rng(4)
+    for keys in (np.sort(C.mix(np.arange(1, 5000, dtype=np.uint64))), np.arange(1, 200, dtype=np.uint64), np.zeros(0, np.uint64), np.array([7], np.uint64)):
+        values = np.concatenate((keys, keys[::3] + np.uint64(1), rng.integers(0, 1 << 63, 500).astype(np.uint64)))
+        assert np.array_equal(G.Places(keys)(values), C.member(values, keys))
+    x, rows = rng.zipf(1.4, 3000) % 70_000, rng.normal(size=(3000, 96)).astype(np.float32)
+    found, sums = G._sums_by(x, rows)
+    want = np.zeros((70_000, 96))
+    np.add.at(want, x, rows.astype(float))
+    assert np.array_equal(found, np.unique(x)) and np.allclose(sums, want[found], atol=1e-3)
+
+
+def test_hash_of_words_of_any_length():
+    import pyarrow as pa
+
+    texts = ["a", "", None, " ".join("Ab" * n for n in range(1, 40)), "x" * 23 + " " + "y" * 24 + " " + "z" * 25, "Q" * 9001 + " q"]
+    words = C.Words(pa.array(texts, pa.string()))
+    for lower in (True, False):
+        table, powers = C._tables()[1 if lower else 0], C._tables()[2]
+        for i, got in enumerate(words.hashes(lower)):
+            total = len(words.bytes_of(i))
+            for j, byte in enumerate(words.bytes_of(i)):
+                total += int(table[byte]) * ((int(powers[j & 4095]) + (j >> 12) * 0x2545F4914F6CDD1D) % (1 << 64))
+            assert got == C.mix(np.array([total % (1 << 64)], np.uint64))[0]
